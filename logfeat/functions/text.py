@@ -27,17 +27,13 @@ def list_to_text(arr: Column | str) -> Column:
 def with_ngrams(arr: Column | str, n_max: int) -> Column:
     """The tokens followed by their 2-grams … n_max-grams, joined without a separator."""
     arr = _c(arr)
-    grams = [
-        F.when(
-            F.size(arr) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.size(arr) - (n - 1)),
-                lambda i, n=n: F.array_join(F.slice(arr, i, n), ""),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(2, n_max + 1)
-    ]
-    return F.concat(arr, *grams) if grams else arr
+
+    def grams(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(arr) - (n - 1))
+        found = F.transform(starts, lambda i: F.array_join(F.slice(arr, i, n), ""))
+        return F.when(F.size(arr) >= n, found).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(arr, *[grams(n) for n in range(2, n_max + 1)])
 
 
 def pad_sequence(arr: Column | str, n: int, fill: int = 0) -> Column:

@@ -27,6 +27,7 @@ SMALL_SLICE = 1_000
 SAMPLE_PER_SLICE = 32
 
 SLICE = "__slice"
+_PLACE = "__place_in_slice"
 _CUT_TYPES = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType,
               T.BooleanType)
 
@@ -118,6 +119,9 @@ def over_ordered(
     prev, before = dict(prev or {}), dict(before or {})
     group, order = list(group), list(order)
     keys = group + [k for k in order if k not in group]
+    taken = {SLICE, _PLACE, index, size, *prev, *before} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns exist already: {sorted(taken)}")
     _key_schema(df, keys)
     source = df if source is None else source
     cuts = cut_points(source, keys, slices, rows)
@@ -127,7 +131,7 @@ def over_ordered(
     ordered = Window.partitionBy(*parts).orderBy(*by_order)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
 
-    position = "__pos" if index is None else index
+    position = _PLACE if index is None else index
     local: dict[str, Column] = {position: F.row_number().over(ordered).cast("long") - 1}
     if size:
         local[size] = F.count(F.lit(1)).over(Window.partitionBy(*parts))
@@ -136,7 +140,7 @@ def over_ordered(
     for out, src in before.items():
         local[out] = F.coalesce(F.sum(src).over(earlier), F.lit(0))
     result = sliced.withColumns(local)
-    wanted = [*df.columns, *(c for c in local if c != "__pos")]
+    wanted = [*df.columns, *(c for c in local if c != _PLACE)]
     if not cuts:
         return result.select(*wanted)
 

@@ -24,6 +24,7 @@ def rollup_stats(
     *,
     fill: float | None = None,
     extra: Sequence[Column] = (),
+    source: DataFrame | None = None,
     group_rows: int = GROUP_ROWS,
     slices: int | None = None,
 ) -> DataFrame:
@@ -37,14 +38,18 @@ def rollup_stats(
     Mean, std, min and max combine before the shuffle.  Exact percentiles keep a
     value-count map per group, so groups of more than ``group_rows`` rows are
     taken out and ranked over the whole cluster instead; the result is the same.
+    Groups are counted on ``source``, a cheaper DataFrame with the same rows per
+    key, where one is given.
     """
+    source = df if source is None else source
     df = df.where(F.col(by).isNotNull())
     ranked = [s for s in stats if s in _RANKED]
     out = [f"{c}_{s}" for c in cols for s in stats]
     if ranked:
-        hot = settle(
-            df.groupBy(by).count().where(F.col("count") > group_rows).select(by), "hot")
+        sizes = source.where(F.col(by).isNotNull()).groupBy(by).count()
+        hot = settle(sizes.where(F.col("count") > group_rows).select(by), "hot")
         if not hot.isEmpty():
+            df = settle(df, "rollup")  # read three times below
             cold = _rollup(df.join(hot, by, "left_anti"), by, cols, stats, ranked, extra)
             large = df.join(hot, by, "left_semi")
             plain = [s for s in stats if s not in _RANKED]

@@ -33,9 +33,10 @@ RANKS = {"user": 350, "product": 100, "gap_entity": 300, "gap_actor": 50, "gap_p
 def target_rollup(log: DataFrame, **options) -> DataFrame:
     """54 columns per entity: nine statistics of the six target statistics, -1 for none."""
     stats = {k: target_stats(log, k) for k in ("actor", "product")}
+    rows = log
     for key, table in stats.items():
-        log = attach_by_fold(log, table, key)
-    return rollup_stats(log, "entity", TARGET_COLS, fill=-1.0, **options)
+        rows = attach_by_fold(rows, table, key)
+    return rollup_stats(rows, "entity", TARGET_COLS, fill=-1.0, source=log, **options)
 
 
 def feature_table(
@@ -55,7 +56,7 @@ def feature_table(
     latest = log.agg(F.max("us")).first()[0]
     cols = [*TARGET_COLS, *DATE_PARTS, *GAP_COLS]
     per_entity = rollup_stats(
-        rows, "entity", cols, group_rows=group_rows, slices=slices,
+        rows, "entity", cols, source=log, group_rows=group_rows, slices=slices,
         extra=[F.count(F.lit(1)).alias("n_rows"), *char_totals(), *age_points()])
     filled = [f"{c}_{s}" for c in TARGET_COLS for s in STATS]
     per_entity = with_ages(per_entity.fillna(-1.0, subset=filled), latest)
