@@ -357,6 +357,7 @@ SELECT actor AS feature, CAST(count(DISTINCT entity) AS BIGINT) AS df FROM ev GR
     words2 = f"{WORDS}, {gram_rows('words', 'token', 'place', 1.5, 1.0)}"
     q["hashed_ngrams"] = f"""WITH {words2}, {hashed(2**28, 'max')}
 SELECT entity, feature, {rd('value')} AS value FROM coo"""
+    q["hashed_lists"] = q["hashed_ngrams"]
     q["hashed_counts"] = f"""WITH {EVENTS}, {gram_rows('ev', 'product', 'us, rid', 1.0, 1.0)},
 {hashed(2**29, 'sum')} SELECT entity, feature, {rd('value')} AS value FROM coo"""
     q["min_doc_freq"] = f"""WITH {words2}, {hashed(2**28, 'max')}

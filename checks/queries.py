@@ -41,15 +41,14 @@ def tidy(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
     digits, out = digits or {}, []
     for name, kind in df.dtypes:
         if name == "fold":  # no nullable integers: they come back in different types
-            out.append(F.coalesce(F.col(name).cast("long"), F.lit(-1)).alias(name))
-            continue
-        if kind in ("double", "float"):
-            out.append(F.round(F.col(name).cast("double"), digits.get(name, 6)).alias(name))
+            out.append("coalesce(CAST(fold AS BIGINT), -1) AS fold")
+        elif kind in ("double", "float"):
+            out.append(f"round(CAST(`{name}` AS DOUBLE), {digits.get(name, 6)}) AS `{name}`")
         elif kind in ("int", "smallint", "tinyint"):
-            out.append(F.col(name).cast("long").alias(name))
+            out.append(f"CAST(`{name}` AS BIGINT) AS `{name}`")
         else:
-            out.append(F.col(name))
-    return df.select(*out)
+            out.append(f"`{name}`")
+    return df.selectExpr(*out)
 
 
 # -- cleaning, joins, folds
@@ -372,6 +371,13 @@ def hashed_ngrams(spark, d):
     return tidy(_word_cells(spark, d))
 
 
+@query
+def hashed_lists(spark, d):
+    docs = src.table(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("entity"), F.split("text", " ").alias("words"))
+    return tidy(matrix.hashed_list_ngrams(docs, "words", hashing="md5"))
+
+
 @query
 def hashed_counts(spark, d):
     return tidy(matrix.hashed_ngrams(
@@ -443,7 +449,7 @@ ALL["latent_factors"] = ALL.pop("latent_factor_rows")
 
 def _with_holes(spark, d):
     rows = src.embedding_columns(spark, d)
-    return rows.select("entity", *[F.when(F.col(c) > 0, F.col(c)).alias(c) for c in src.DIMS])
+    return rows.selectExpr("entity", *[f"CASE WHEN {c} > 0 THEN {c} END AS {c}" for c in src.DIMS])
 
 
 @query

@@ -117,6 +117,6 @@ DIMS = [f"e{i}" for i in range(64)]
 
 
 def embedding_columns(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "embeddings").select(
-        F.col("vec_id").cast("string").alias("entity"), "label",
-        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(DIMS)])
+    return table(spark, d, "embeddings").selectExpr(
+        "CAST(vec_id AS STRING) AS entity", "label",
+        *[f"CAST(embedding[{i}] AS DOUBLE) AS {c}" for i, c in enumerate(DIMS)])

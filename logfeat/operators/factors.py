@@ -13,11 +13,13 @@ from .matrix import Matrix, array_to_coo
 
 def latent_factors(
     coo: DataFrame, rank: int, *, seed: int = 1, iterations: int = 10, reg: float = 0.1,
-    alpha: float = 1.0, slices: int | None = None,
+    alpha: float = 1.0, blocks: int | None = None, slices: int | None = None,
 ) -> DataFrame:
     """(entity, factors): one vector of ``rank`` floats per entity that has a cell.
 
     Factors are only defined up to rotation: compare rankings, not coordinates.
+    ``blocks`` divides both sides of the matrix; it defaults to the cluster's
+    cores.  Row and column codes are 32-bit integers.
     """
     context = coo.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -26,8 +28,9 @@ def latent_factors(
     coded = label_codes(coded, "feature", "col", slices)
     coded = settle(coded.select("entity", F.col("row").cast("int"), F.col("col").cast("int"),
                                 F.col("value").cast("float")), "ratings")
+    blocks = blocks or context.defaultParallelism
     als = ALS(rank=rank, implicitPrefs=True, maxIter=iterations, regParam=reg, alpha=alpha,
-              seed=seed, userCol="row", itemCol="col", ratingCol="value")
+              numUserBlocks=blocks, numItemBlocks=blocks, seed=seed, userCol="row", itemCol="col", ratingCol="value")
     factors = als.fit(coded).userFactors
     rows = coded.select("entity", "row").distinct()
     return rows.join(factors, rows["row"] == factors["id"]).select(

@@ -36,7 +36,12 @@ def doc_freq(coo: DataFrame) -> DataFrame:
 
 
 def min_doc_freq(coo: DataFrame, t: int) -> DataFrame:
-    """Keep features that occur in strictly more than t entities."""
+    """Keep features that occur in strictly more than t entities.
+
+    The cells are stored first: counting needs only one of their columns, so the
+    two passes would share no work.
+    """
+    coo = settle(coo, "cells")
     kept = doc_freq(coo).where(F.col("df") > t).select("feature")
     return coo.join(kept, "feature", "left_semi").select(*coo.columns)
 
@@ -53,7 +58,8 @@ def reindex(coo: DataFrame, slices: int | None = None) -> Matrix:
 def hashed_ngrams(
     tokens: DataFrame, token: str, entity: str = "entity", order: Sequence[str] = ("us", "rid"),
     *, weights: Sequence[float] = (1.5, 1.0), buckets: int = 2**28, tf: str = "binary",
-    norm: bool = True, hashing: str = "xxhash64", slices: int | None = None,
+    norm: bool = True, hashing: str = "xxhash64", source: DataFrame | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Hash every token and every pair of neighbours into buckets; one row per (entity, bucket).
 
@@ -62,21 +68,50 @@ def hashed_ngrams(
     come from the ordered rows, so no token list is ever gathered.
     ``hashing='md5'`` exists for comparison with other engines.
     """
-    text = tokens.select(
-        entity, *[c for c in order if c != entity],
-        F.coalesce(F.col(token).cast("string"), F.lit("nan")).alias("__token"),
-    ).where(F.col(entity).isNotNull())
-    pairs = over_ordered(text, [entity], list(order), prev={"__prev": "__token"}, slices=slices)
+    def texts(df: DataFrame) -> DataFrame:
+        return df.where(F.col(entity).isNotNull()).select(
+            entity, *[c for c in order if c != entity],
+            F.coalesce(F.col(token).cast("string"), F.lit("nan")).alias("__token"))
+
+    pairs = over_ordered(texts(tokens), [entity], list(order), prev={"__prev": "__token"},
+                         source=None if source is None else texts(source), slices=slices)
     single = F.struct(F.col("__token").alias("gram"), F.lit(float(weights[0])).alias("w"))
     # the first token has no predecessor: its pair is null and drops out
     pair = F.struct(F.concat("__prev", F.lit(" "), "__token").alias("gram"),
                     F.lit(float(weights[1])).alias("w"))
     grams = pairs.select(F.col(entity).alias("entity"), F.explode(F.array(single, pair)).alias("g"))
-    grams = grams.where(F.col("g.gram").isNotNull()).select(
+    return _bag(grams.where(F.col("g.gram").isNotNull()), buckets, tf, norm, hashing)
+
+
+def hashed_list_ngrams(
+    df: DataFrame, column: str, entity: str = "entity",
+    *, weights: Sequence[float] = (1.5, 1.0), buckets: int = 2**28, tf: str = "binary",
+    norm: bool = True, hashing: str = "xxhash64",
+) -> DataFrame:
+    """hashed_ngrams() where each row already holds its tokens in an array column.
+
+    Pairs form inside the row, so nothing is sorted or windowed.
+    """
+    a = F.transform(F.col(column).cast("array<string>"), lambda x: F.coalesce(x, F.lit("nan")))
+    both = df.select(F.col(entity).alias("entity"), a.alias("__a")).where(F.size("__a") > 0)
+    a = F.col("__a")
+
+    def weigh(grams: Column, w: float) -> Column:
+        return F.transform(grams, lambda g: F.struct(g.alias("gram"), F.lit(float(w)).alias("w")))
+
+    pairs = F.zip_with(F.slice(a, 1, F.size(a) - 1), F.slice(a, 2, F.size(a)),
+                       lambda x, y: F.concat(x, F.lit(" "), y))
+    grams = both.select("entity", F.explode(
+        F.concat(weigh(a, weights[0]), weigh(pairs, weights[1]))).alias("g"))
+    return _bag(grams.where(F.col("g.gram").isNotNull()), buckets, tf, norm, hashing)
+
+
+def _bag(grams: DataFrame, buckets: int, tf: str, norm: bool, hashing: str) -> DataFrame:
+    cells = grams.select(
         "entity", bucket_of(F.col("g.gram"), buckets, hashing).alias("feature"),
         F.col("g.w").alias("w"))
     value = {"binary": F.max("w"), "count": F.sum("w")}[tf]
-    coo = grams.groupBy("entity", "feature").agg(value.alias("value"))
+    coo = cells.groupBy("entity", "feature").agg(value.alias("value"))
     return l2_rows(coo) if norm else coo
 
 
@@ -100,12 +135,9 @@ def l2_rows(coo: DataFrame) -> DataFrame:
 
 def to_coo(df: DataFrame, cols: Sequence[str], entity: str = "entity") -> Matrix:
     """Columns become features 0 … n-1; zeros and nulls leave no row."""
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(i).cast("long").alias("feature"), F.col(c).cast("double").alias("value"))
-        for i, c in enumerate(cols)
-    ])).alias("cell")
-    coo = df.select(F.col(entity).alias("entity"), cells).select("entity", "cell.*")
-    return Matrix(coo.where(F.col("value") != 0), len(cols))
+    cells = ", ".join(f"{i}L, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    coo = df.selectExpr(f"`{entity}` AS entity", f"stack({len(cols)}, {cells}) AS (feature, value)")
+    return Matrix(coo.where("value <> 0"), len(cols))
 
 
 def array_to_coo(df: DataFrame, column: str, width: int, entity: str = "entity") -> Matrix:

@@ -125,7 +125,8 @@ def over_ordered(
     _key_schema(df, keys)
     source = df if source is None else source
     cuts = cut_points(source, keys, slices, rows)
-    sliced = df.withColumn(SLICE, slice_number(df, keys, cuts)) if cuts else df
+    at_slice = slice_number(df, keys, cuts) if cuts else None
+    sliced = df.withColumn(SLICE, at_slice) if cuts else df
     parts = ([SLICE] if cuts else []) + group
     by_order = [F.col(k).asc_nulls_first() for k in order]
     ordered = Window.partitionBy(*parts).orderBy(*by_order)
@@ -145,7 +146,7 @@ def over_ordered(
         return result.select(*wanted)
 
     used = dict.fromkeys([*keys, *prev.values(), *before.values()])
-    narrow = source.select(*used).withColumn(SLICE, slice_number(source, keys, cuts))
+    narrow = source.select(*used).withColumn(SLICE, at_slice)
     carry = _carry(narrow, group, order, cuts, prev, before)
     r, c = result.alias("r"), F.broadcast(carry).alias("c")
     same = F.col(f"r.{SLICE}") == F.col(f"c.{SLICE}")

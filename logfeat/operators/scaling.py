@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,15 +13,12 @@ from .keys import with_global
 
 def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: sample std and null count."""
-    aggs = []
-    for c in cols:
-        aggs += [F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__std"),
-                 F.count_if(F.col(c).isNull()).alias(f"{c}__nulls")]
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"{c}__std").alias("std"),
-                 F.col(f"{c}__nulls").alias("nulls")) for c in cols
-    ])).alias("p")
-    return df.agg(*aggs).select(rows).select("p.*")
+    x = ", ".join(f"'{c}', std{i}, nulls{i}" for i, c in enumerate(cols))
+    return df.selectExpr(*[
+        part for i, c in enumerate(cols) for part in (
+            f"stddev_samp(CAST(`{c}` AS DOUBLE)) AS std{i}",
+            f"count_if(`{c}` IS NULL) AS nulls{i}")
+    ]).selectExpr(f"stack({len(cols)}, {x}) AS (column, std, nulls)")
 
 
 def drop_degenerate(
@@ -44,24 +42,23 @@ def scale_columns(
     """
     if nulls not in ("fill", "skip"):
         raise ValueError(nulls)
-    values = df.select(*[
-        (F.coalesce(F.col(c).cast("double"), F.lit(fill)) if nulls == "fill"
-         else F.col(c).cast("double")).alias(c) if c in cols else F.col(c)
-        for c in df.columns
-    ])
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
-    row = values.agg(*aggs).first()
+    number = {c: f"CAST(`{c}` AS DOUBLE)" for c in cols}
+    if nulls == "fill":
+        number = {c: f"coalesce({x}, {float(fill)}D)" for c, x in number.items()}
+    row = df.selectExpr(*[
+        part for i, c in enumerate(cols) for part in (
+            f"avg({number[c]}) AS m{i}", f"stddev_pop({number[c]}) AS s{i}")
+    ]).first()
     scaled = {}
     for i, c in enumerate(cols):
         mean, std = row[f"m{i}"], row[f"s{i}"]
-        if mean is None or std + mean + 1 == 0:
-            scaled[c] = F.lit(None).cast("double")
+        if mean is None or not math.isfinite(std + mean) or std + mean + 1 == 0:
+            scaled[c] = "CAST(NULL AS DOUBLE)"
             continue
-        x = (F.col(c) - F.lit(mean)) / F.lit(std + mean + 1)
-        scaled[c] = F.coalesce(x, F.lit(fill)) if nulls == "skip" else x
-    return values.withColumns(scaled) if scaled else values
+        x = f"({number[c]} - {mean!r}D) / {std + mean + 1!r}D"
+        scaled[c] = f"coalesce({x}, {float(fill)}D)" if nulls == "skip" else x
+    return df.selectExpr(*[
+        f"{scaled[c]} AS `{c}`" if c in scaled else f"`{c}`" for c in df.columns])
 
 
 def minmax(df: DataFrame, column: str, out: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from .gaps import global_gap, group_gap
 from .keys import attach, code_table
 from .ordered import over_ordered
 
-CHUNK_ROWS = 1_000_000
+CHUNK_ROWS = 100_000
 _GROUP_LIMIT = 1_000  # up to here Spark trims each group before the shuffle
 
 
