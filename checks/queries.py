@@ -149,13 +149,9 @@ def target_stats_events(spark, d):
 ALL["target_stats"] = ALL.pop("target_stats_events")
 
 
-def _folded_lines(spark, d):
-    return keys.attach(src.line_log(spark, d), src.line_entities(spark, d))
-
-
 @query
 def target_stats_lines(spark, d):
-    return tidy(target_stats(_folded_lines(spark, d), "actor"), MEAN_DIGITS)
+    return tidy(target_stats(src.folded_lines(spark, d), "actor"), MEAN_DIGITS)
 
 
 @query
@@ -170,20 +166,21 @@ def target_stats_real(spark, d):
 
 @query
 def fold_join(spark, d):
-    log = src.folded_events(spark, d)
-    for key in ("actor", "product"):
-        log = keys.attach_by_fold(log, target_stats(src.folded_events(spark, d), key), key)
+    log = src.prepared_events(spark, d)
+    stats = {key: target_stats(log, key) for key in ("actor", "product")}
+    for key, table in stats.items():
+        log = keys.attach_by_fold(log, table, key)
     return tidy(log.select("rid", *TARGET_COLS), MEAN_DIGITS)
 
 
 @query
 def target_stats_rollup(spark, d):
-    return tidy(target_rollup(src.folded_events(spark, d)), MEAN_DIGITS)
+    return tidy(target_rollup(src.prepared_events(spark, d)), MEAN_DIGITS)
 
 
 @query
 def target_rollup_lines(spark, d):
-    return tidy(target_rollup(_folded_lines(spark, d)), MEAN_DIGITS)
+    return tidy(target_rollup(settle(src.folded_lines(spark, d), "log")), MEAN_DIGITS)
 
 
 # -- counts and text
@@ -373,7 +370,7 @@ def hashed_ngrams(spark, d):
 
 @query
 def hashed_lists(spark, d):
-    docs = src.table(spark, d, "documents").select(
+    docs = src.documents(spark, d).select(
         F.col("doc_id").cast("string").alias("entity"), F.split("text", " ").alias("words"))
     return tidy(matrix.hashed_list_ngrams(docs, "words", hashing="md5"))
 
@@ -527,7 +524,7 @@ def final_predictions(spark, d):
 @query
 def crossfit_scores(spark, d):
     """Boosted trees on the event roll-up, three folds; rows only."""
-    log = src.folded_events(spark, d)
+    log = src.event_log(spark, d)
     rows = rollup.rollup_stats(log.select("entity", *date_parts(F.timestamp_micros("us"))),
                                "entity", ["hour", "weekday"], ["mean", "std", "min", "max"])
     cols = [c for c in rows.columns if c != "entity"]
@@ -575,7 +572,7 @@ def table_files(spark, d):
 
 @query
 def feature_table(spark, d):
-    log = src.folded_events(spark, d)
+    log = src.prepared_events(spark, d)
     table = plans.feature_table(log, src.event_entities(spark, d))
     return tidy(table, GAP_DIGITS | MEAN_DIGITS)
 
@@ -583,7 +580,7 @@ def feature_table(spark, d):
 @query
 def feature_matrix(spark, d):
     """Width and cells per entity of the assembled matrix, with small ranks; rows only."""
-    log = src.folded_events(spark, d)
+    log = src.prepared_events(spark, d)
     ranks = {"user": 4, "product": 3, "gap_entity": 3, "gap_actor": 2, "gap_product": 2}
     m = plans.feature_matrix(log, src.event_entities(spark, d), ranks=ranks, iterations=2)
     return m.coo.groupBy("entity").agg(F.count(F.lit(1)).alias("cells")).withColumn(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logfeat.functions import micros, sentinel_to_null
 from logfeat.operators.keys import attach, exclude, stratified_folds
+from logfeat.session import settle, spread
 
 LINE_TIE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
@@ -42,6 +43,11 @@ def folded_events(spark: SparkSession, d: str) -> DataFrame:
     return attach(event_log(spark, d), event_entities(spark, d))
 
 
+def prepared_events(spark: SparkSession, d: str) -> DataFrame:
+    """The folded log as a stored table, as the prepare plan leaves it."""
+    return settle(folded_events(spark, d), "log")
+
+
 def line_log(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("entity"),
@@ -60,6 +66,10 @@ def line_entities(spark: SparkSession, d: str) -> DataFrame:
     return stratified_folds(rows, 10)
 
 
+def folded_lines(spark: SparkSession, d: str) -> DataFrame:
+    return attach(line_log(spark, d), line_entities(spark, d))
+
+
 def document_labels(spark: SparkSession, d: str) -> DataFrame:
     """(entity, target) with 0.5 for unknown, as the raw label files have it."""
     labels = table(spark, d, "labels").select("doc_id", "quality")
@@ -78,9 +88,13 @@ def clean_labels(spark: SparkSession, d: str) -> DataFrame:
         "target", sentinel_to_null("target"))
 
 
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+
+
 def word_tokens(spark: SparkSession, d: str) -> DataFrame:
     """(entity, at, token): every word of every document."""
-    words = table(spark, d, "documents").select(
+    words = documents(spark, d).select(
         F.col("doc_id").cast("string").alias("entity"),
         F.posexplode(F.split("text", " ")).alias("at", "token"))
     return words.withColumn("at", F.col("at").cast("long"))

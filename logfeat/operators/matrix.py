@@ -75,12 +75,9 @@ def hashed_ngrams(
 
     pairs = over_ordered(texts(tokens), [entity], list(order), prev={"__prev": "__token"},
                          source=None if source is None else texts(source), slices=slices)
-    single = F.struct(F.col("__token").alias("gram"), F.lit(float(weights[0])).alias("w"))
-    # the first token has no predecessor: its pair is null and drops out
-    pair = F.struct(F.concat("__prev", F.lit(" "), "__token").alias("gram"),
-                    F.lit(float(weights[1])).alias("w"))
-    grams = pairs.select(F.col(entity).alias("entity"), F.explode(F.array(single, pair)).alias("g"))
-    return _bag(grams.where(F.col("g.gram").isNotNull()), buckets, tf, norm, hashing)
+    pairs = pairs.select(F.col(entity).alias("entity"), F.col("__token").alias("token"),
+                         F.concat("__prev", F.lit(" "), "__token").alias("pair"))
+    return _bag(pairs, weights, buckets, tf, norm, hashing)
 
 
 def hashed_list_ngrams(
@@ -92,24 +89,27 @@ def hashed_list_ngrams(
 
     Pairs form inside the row, so nothing is sorted or windowed.
     """
-    a = F.transform(F.col(column).cast("array<string>"), lambda x: F.coalesce(x, F.lit("nan")))
-    both = df.select(F.col(entity).alias("entity"), a.alias("__a")).where(F.size("__a") > 0)
-    a = F.col("__a")
-
-    def weigh(grams: Column, w: float) -> Column:
-        return F.transform(grams, lambda g: F.struct(g.alias("gram"), F.lit(float(w)).alias("w")))
-
-    pairs = F.zip_with(F.slice(a, 1, F.size(a) - 1), F.slice(a, 2, F.size(a)),
-                       lambda x, y: F.concat(x, F.lit(" "), y))
-    grams = both.select("entity", F.explode(
-        F.concat(weigh(a, weights[0]), weigh(pairs, weights[1]))).alias("g"))
-    return _bag(grams.where(F.col("g.gram").isNotNull()), buckets, tf, norm, hashing)
-
-
-def _bag(grams: DataFrame, buckets: int, tf: str, norm: bool, hashing: str) -> DataFrame:
-    cells = grams.select(
-        "entity", bucket_of(F.col("g.gram"), buckets, hashing).alias("feature"),
-        F.col("g.w").alias("w"))
+    text = F.transform(F.col(column).cast("array<string>"), lambda x: F.coalesce(x, F.lit("nan")))
+    rows = df.select(F.col(entity).alias("entity"), text.alias("__a")).where(F.size("__a") > 0)
+    # the last token has no successor: zip_with() gives it a null
+    neighbours = F.zip_with("__a", F.slice("__a", 2, F.size("__a")),
+                            lambda x, y: F.struct(x.alias("token"), y.alias("next")))
+    tokens = rows.select("entity", F.explode(neighbours).alias("t")).select("entity", "t.*")
+    pairs = tokens.select("entity", "token", F.concat("token", F.lit(" "), "next").alias("pair"))
+    return _bag(pairs, weights, buckets, tf, norm, hashing)
+
+
+def _bag(
+    pairs: DataFrame, weights: Sequence[float], buckets: int, tf: str, norm: bool, hashing: str
+) -> DataFrame:
+    """(entity, token, pair) to weighted buckets; a null pair counts for nothing."""
+    def item(c: str, w: float) -> Column:
+        return F.struct(bucket_of(F.col(c), buckets, hashing).alias("feature"),
+                        F.lit(float(w)).alias("w"))
+
+    items = F.explode(F.array(item("token", weights[0]), item("pair", weights[1]))).alias("i")
+    cells = pairs.select("entity", items).select("entity", "i.*").where(
+        F.col("feature").isNotNull())
     value = {"binary": F.max("w"), "count": F.sum("w")}[tf]
     coo = cells.groupBy("entity", "feature").agg(value.alias("value"))
     return l2_rows(coo) if norm else coo
@@ -118,7 +118,8 @@ def _bag(grams: DataFrame, buckets: int, tf: str, norm: bool, hashing: str) -> D
 def bucket_of(text: Column, buckets: int, hashing: str = "xxhash64") -> Column:
     if hashing == "md5":
         return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
-    return F.pmod(F.xxhash64(text), F.lit(buckets))
+    # xxhash64() takes a null for a value of its own
+    return F.when(text.isNotNull(), F.pmod(F.xxhash64(text), F.lit(buckets)))
 
 
 def l2_rows(coo: DataFrame) -> DataFrame:

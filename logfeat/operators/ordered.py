@@ -60,16 +60,19 @@ def cut_points(
     if slices <= 1 or rows == 0:
         return []
     stride = max(1, rows // (slices * SAMPLE_PER_SLICE))
-    sample = (
-        narrow.where(F.pmod(F.xxhash64(*keys), F.lit(stride)) == 0)
-        .distinct()
-        .orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-        .collect()
-    )
-    picked = [tuple(sample[i * len(sample) // slices]) for i in range(1, slices)] if sample else []
+    sample = narrow.where(F.pmod(F.xxhash64(*keys), F.lit(stride)) == 0).distinct().collect()
+    # UTF-8 bytes, Spark's string order, compare as code points do
+    ascending = sorted((tuple(r) for r in sample), key=lambda r: [_nulls_first(v) for v in r])
+    picked = [ascending[i * len(sample) // slices] for i in range(1, slices)] if sample else []
     return list(dict.fromkeys(picked))
 
 
+def _nulls_first(v):
+    if v is None:
+        return (0, 0)
+    return (2, 0) if v != v else (1, v)  # NaN comes after every number
+
+
 def slice_number(df: DataFrame, keys: Sequence[str], cuts: Sequence[tuple]) -> Column:
     """How many cut points are at or before the row's key: a binary search per row."""
     schema = _key_schema(df, keys)

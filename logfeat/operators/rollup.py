@@ -13,7 +13,7 @@ from .ordered import over_ordered
 
 STATS = ("mean", "std", "min", "median", "max", "10per", "25per", "75per", "90per")
 _RANKED = {"10per": 0.10, "25per": 0.25, "median": 0.50, "75per": 0.75, "90per": 0.90}
-GROUP_ROWS = 100_000
+GROUP_ROWS = 50_000
 
 
 def rollup_stats(
@@ -35,8 +35,8 @@ def rollup_stats(
     n - 1.  ``fill`` replaces nulls in the *result*; fill the input first where
     missing values should take part.  ``extra`` aggregates ride along.
 
-    Mean, std, min and max combine before the shuffle.  Exact percentiles keep a
-    value-count map per group, so groups of more than ``group_rows`` rows are
+    Mean, std, min and max combine before the shuffle.  Exact percentiles sort a
+    group's values in one row, so groups of more than ``group_rows`` rows are
     taken out and ranked over the whole cluster instead; the result is the same.
     Groups are counted on ``source``, a cheaper DataFrame with the same rows per
     key, where one is given.
@@ -77,26 +77,45 @@ _PLAIN = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 def _rollup(df, by, cols, stats, ranked, extra) -> DataFrame:
     """The wide aggregation as SQL text: one parsed list instead of hundreds of calls."""
-    points = ", ".join(f"{_RANKED[s]}D" for s in ranked)
-    aggs, values = [], []
+    aggs, points, values = [], [], []
     for i, c in enumerate(cols):
         x = f"CAST(`{c}` AS DOUBLE)"
-        if ranked:
-            aggs.append(f"percentile({x}, array({points})) AS p{i}")
-            aggs.append(f"count(`{c}`) = count(*) AS whole{i}")
+        aggs.append(f"count(`{c}`) AS n{i}")
+        points.append(_points(i, [_RANKED[s] for s in ranked]))
         for s in stats:
             if s in _PLAIN:
                 aggs.append(f"{_PLAIN[s]}({x}) AS {s}{i}")
                 value = f"__s.{s}{i}"
             else:
-                value = f"__s.p{i}[{ranked.index(s)}]"
+                value = f"get(__p{i}, {ranked.index(s)})"
                 if s != "median":
-                    value = f"CASE WHEN __s.whole{i} THEN {value} END"
+                    value = f"CASE WHEN __s.n{i} = __s.n THEN {value} END"
             values.append(f"{value} AS `{c}_{s}`")
+    if ranked:
+        row = ", ".join(f"CAST(`{c}` AS DOUBLE) AS x{i}" for i, c in enumerate(cols))
+        aggs += ["count(*) AS n", f"collect_list(struct({row})) AS rows"]
     if not aggs:
         return df.groupBy(by).agg(*extra)
     wide = df.groupBy(by).agg(F.expr(f"struct({', '.join(aggs)})").alias("__s"), *extra)
-    return wide.selectExpr(f"`{by}`", *values, *[f"`{c}`" for c in wide.columns[2:]])
+    riders = [f"`{c}`" for c in wide.columns[2:]]
+    if ranked:
+        wide = wide.selectExpr("*", *[
+            f"sort_array(__s.rows.x{i}) AS __a{i}" for i in range(len(cols))])
+        wide = wide.selectExpr("*", *points)
+    return wide.selectExpr(f"`{by}`", *values, *riders)
+
+
+def _points(i: int, shares: Sequence[float]) -> str:
+    """SQL for the interpolated percentiles of column i; its nulls sorted to the front."""
+    at = f"((__s.n{i} - 1) * p)"
+
+    def item(rank: str) -> str:
+        return f"get(__a{i}, CAST(__s.n - __s.n{i} + {rank} AS INT))"
+
+    low, high = item(f"floor({at})"), item(f"ceil({at})")
+    return (f"CASE WHEN __s.n{i} > 0 THEN transform(array({', '.join(f'{p}D' for p in shares)}), "
+            f"p -> CASE WHEN floor({at}) = ceil({at}) THEN {low} ELSE "
+            f"(ceil({at}) - {at}) * {low} + ({at} - floor({at})) * {high} END) END AS __p{i}")
 
 
 def ranked_points(
