@@ -7,24 +7,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, settle
-from .keys import label_codes
+from .keys import code_table, label_codes
 from .matrix import Matrix, array_to_coo
 
 
 def latent_factors(
     coo: DataFrame, rank: int, *, seed: int = 1, iterations: int = 10, reg: float = 0.1,
-    alpha: float = 1.0, blocks: int | None = None, slices: int | None = None,
+    alpha: float = 1.0, blocks: int | None = None, row_codes: DataFrame | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """(entity, factors): one vector of ``rank`` floats per entity that has a cell.
 
     Factors are only defined up to rotation: compare rankings, not coordinates.
     ``blocks`` divides both sides of the matrix; it defaults to the cluster's
-    cores.  Row and column codes are 32-bit integers.
+    cores.  Row and column codes are 32-bit integers; ``row_codes``, a code_table()
+    of all entities, saves numbering them again for every matrix.
     """
     context = coo.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_path(coo.sparkSession, "als"))
-    coded = label_codes(coo, "entity", "row", slices)
+    if row_codes is None:
+        row_codes = code_table(coo, "entity", slices)
+    coded = coo.join(row_codes.withColumnRenamed("code", "row"), "entity")
     coded = label_codes(coded, "feature", "col", slices)
     coded = settle(coded.select("entity", F.col("row").cast("int"), F.col("col").cast("int"),
                                 F.col("value").cast("float")), "ratings")

@@ -90,7 +90,8 @@ def hashed_list_ngrams(
     Pairs form inside the row, so nothing is sorted or windowed.
     """
     text = F.transform(F.col(column).cast("array<string>"), lambda x: F.coalesce(x, F.lit("nan")))
-    rows = df.select(F.col(entity).alias("entity"), text.alias("__a")).where(F.size("__a") > 0)
+    rows = df.select(F.col(entity).alias("entity"), text.alias("__a")).where(
+        F.col("entity").isNotNull())
     # the last token has no successor: zip_with() gives it a null
     neighbours = F.zip_with("__a", F.slice("__a", 2, F.size("__a")),
                             lambda x, y: F.struct(x.alias("token"), y.alias("next")))
@@ -126,7 +127,9 @@ def l2_rows(coo: DataFrame) -> DataFrame:
     """Scale every row to Euclidean length 1.
 
     The lengths are summed with a map-side combine and joined back, so a hot
-    entity does not become one window partition.
+    entity does not become one window partition.  Null entities must be gone
+    already: then both sides of the join are the same up to the first shuffle,
+    and Spark computes that once.
     """
     length = coo.groupBy("entity").agg(
         F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("__length"))

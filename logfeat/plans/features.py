@@ -11,7 +11,7 @@ from ..functions import date_parts
 from ..functions.columns import DATE_PARTS
 from ..operators.factors import factor_matrix
 from ..operators.gaps import all_gaps
-from ..operators.keys import attach, attach_by_fold
+from ..operators.keys import attach, attach_by_fold, code_table
 from ..operators.matrix import (
     Matrix, hashed_ngrams, hstack, interactions, min_doc_freq, reindex, to_coo)
 from ..operators.rollup import (
@@ -111,6 +111,7 @@ def feature_matrix(
     cols = feature_columns(table)
     scaled = scale_columns(settle(table, "features"), cols)
     gaps = settle(all_gaps(log, slices=slices), "gaps")
+    options["row_codes"] = settle(code_table(entities, "entity", slices), "rows")
     actor, product = token_matrices(log, ranks["product"], slices=slices, **options)
     return hstack([
         to_coo(scaled, cols),

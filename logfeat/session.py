@@ -28,7 +28,8 @@ def local_session(cores: int | str = "*", app: str = "logfeat") -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of its own: on a
+    Everything lies under one folder per application, to be removed once the
+    application has ended.  Only a local master may fall back to a temporary folder of its own: on a
     cluster the executors would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,7 +38,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="logfeat-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/logfeat-{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    return f"{root.rstrip('/')}/logfeat-{app}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
