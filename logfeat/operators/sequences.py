@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import count_char, count_digits, integer_div, pad_sequence
-from .gaps import global_gap, group_gap
+from ..session import settle
+from .gaps import group_gap
 from .keys import attach, code_table
 from .ordered import over_ordered
 
@@ -75,22 +76,6 @@ def _pad(tail: DataFrame, cols: Sequence[str], n: int, entity: str) -> DataFrame
     return lists.select(entity, *[pad_sequence(F.col("__items")[c], n).alias(c) for c in cols])
 
 
-def coded_log(
-    log: DataFrame, entity: str = "entity", actor: str = "actor", product: str = "product",
-    us: str = "us", tie: Sequence[str] = ("rid",), slices: int | None = None,
-) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The log with its global and actor gaps (-1 for none) and the code table of each column.
-
-    Null actors count as one actor here, because they are coded before gaps are taken.
-    """
-    shared = dict(us=us, tie=tie, source=log, rows=log.count(), slices=slices)
-    gaps = group_gap(log, None, "gap", **shared)
-    gaps = group_gap(gaps, actor, "gap_actor", null_group=True, **shared)
-    gaps = gaps.fillna(-1.0, subset=["gap", "gap_actor"])
-    tables = {c: code_table(gaps, c, slices) for c in (actor, product, "gap", "gap_actor")}
-    return gaps, tables
-
-
 def sequence_inputs(
     log: DataFrame, n: int = 500, entity: str = "entity", actor: str = "actor",
     product: str = "product", us: str = "us", tie: Sequence[str] = ("rid",),
@@ -102,10 +87,10 @@ def sequence_inputs(
     """
     shared = dict(us=us, tie=tie, source=log, rows=log.count(), slices=slices)
     gaps = group_gap(log, actor, "gap_actor", null_group=True, **shared)
-    gaps = gaps.fillna(-1.0, subset=["gap_actor"])
+    gaps = settle(gaps.fillna(-1.0, subset=["gap_actor"]), "gaps")
     tail = last_rows(gaps.where(F.col(entity).isNotNull()), n, entity, (us, *tie), slices)
     for c in (actor, product, "gap_actor"):
-        codes = code_table(gaps, c, slices).withColumnRenamed("code", f"{c}_code")
+        codes = code_table(gaps if c == "gap_actor" else log, c, slices).withColumnRenamed("code", f"{c}_code")
         tail = attach(tail, codes, c).withColumn(
             f"{c}_code", F.coalesce(f"{c}_code", F.lit(-1)))
     coded = [f"{c}_code" for c in (actor, product, "gap_actor")]
@@ -128,23 +113,24 @@ def vocab_sizes(
     log: DataFrame, entity: str = "entity", actor: str = "actor", product: str = "product",
     us: str = "us", tie: Sequence[str] = ("rid",), slices: int | None = None,
 ) -> DataFrame:
-    """One row with the index range a sequence model needs for each kind of input."""
-    gaps, tables = coded_log(log, entity, actor, product, us, tie, slices)
-    counts = log.where(F.col(entity).isNotNull()).groupBy(entity).agg(
-        F.count(F.lit(1)).alias("n_rows"))
-    chars = log.select(entity).where(F.col(entity).isNotNull()).distinct().select(
-        F.greatest(*char_counts(entity)).alias("most"))
-
-    def top(df: DataFrame, c: str):
-        return df.agg(F.max(c)).scalar()
-
-    largest = {c: top(t, "code") for c, t in tables.items()}
-    one = log.sparkSession.range(1)
-    return one.select(
-        (largest[actor] + 1).alias("actor_size"),
-        (largest[product] + 1).alias("product_size"),
-        (F.greatest(largest["gap"], largest["gap_actor"]) + 2).alias("gap_size"),
-        # an entity has at least as many rows as distinct actors or products
-        (top(counts, "n_rows") + 2).alias("count_size"),
-        (top(chars, "most") + 1).cast("long").alias("char_size"),
+    """One row with the index range a sequence model needs for each kind of input.
+
+    Codes run from 0 without holes, so the largest code + 1 is a distinct count.
+    Null actors count as one actor when gaps are taken, because they are coded first.
+    """
+    shared = dict(us=us, tie=tie, source=log, rows=log.count(), slices=slices)
+    gaps = group_gap(log, None, "gap", **shared)
+    gaps = group_gap(gaps, actor, "gap_actor", null_group=True, **shared)
+    gaps = gaps.fillna(-1.0, subset=["gap", "gap_actor"])
+    codes = gaps.agg(
+        F.count_distinct(actor).alias("actor_size"),
+        F.count_distinct(product).alias("product_size"),
+        (F.greatest(F.count_distinct("gap"), F.count_distinct("gap_actor")) + 1).alias("gap_size"),
     )
+    per_entity = log.where(F.col(entity).isNotNull()).groupBy(entity).agg(
+        F.count(F.lit(1)).alias("n"))
+    # an entity has at least as many rows as distinct actors or products
+    counts = per_entity.select("n", F.greatest(*char_counts(entity)).alias("most")).agg(
+        (F.max("n") + 2).alias("count_size"), (F.max("most") + 1).cast("long").alias("char_size"))
+    return codes.select("*", *[
+        counts.select(c).scalar().alias(c) for c in ("count_size", "char_size")])
