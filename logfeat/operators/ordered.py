@@ -149,8 +149,7 @@ def over_ordered(
         return result.select(*wanted)
 
     used = dict.fromkeys([*keys, *prev.values(), *before.values()])
-    narrow = source.select(*used).withColumn(SLICE, at_slice)
-    carry = _carry(narrow, group, order, cuts, prev, before)
+    carry = _carry(source.select(*used), at_slice, group, order, cuts, prev, before)
     r, c = result.alias("r"), F.broadcast(carry).alias("c")
     same = F.col(f"r.{SLICE}") == F.col(f"c.{SLICE}")
     for g in group:
@@ -170,19 +169,20 @@ def over_ordered(
     )
 
 
-def _carry(sliced, group, order, cuts, prev, before) -> DataFrame:
-    """What each slice of a cut group takes over from the group's earlier slices."""
+def _carry(rows, at_slice, group, order, cuts, prev, before) -> DataFrame:
+    """What each slice of a cut group takes over from the group's earlier slices.
+
+    Rows of uncut groups leave first, so only few rows are placed in slices again.
+    """
     if group:
-        schema = T.StructType([sliced.schema[g] for g in group])
-        for f in schema:
-            f.nullable = True
+        schema = T.StructType([T.StructField(g, rows.schema[g].dataType) for g in group])
         held = list(dict.fromkeys(c[: len(group)] for c in cuts))
-        cut_groups = sliced.sparkSession.createDataFrame(held, schema)
-        s, h = sliced.alias("s"), F.broadcast(cut_groups).alias("h")
+        cut_groups = rows.sparkSession.createDataFrame(held, schema)
+        s, h = rows.alias("s"), F.broadcast(cut_groups).alias("h")
         on = F.lit(True)
         for g in group:
             on = on & F.col(f"s.{g}").eqNullSafe(F.col(f"h.{g}"))
-        sliced = s.join(h, on, "left_semi")
+        rows = s.join(h, on, "left_semi")
     aggs = [F.count(F.lit(1)).alias("rows")]
     for out, src in prev.items():
         # the last row holds the largest first sort key, and max() is the cheaper aggregate
@@ -191,7 +191,7 @@ def _carry(sliced, group, order, cuts, prev, before) -> DataFrame:
         aggs.append(last.alias(f"last_{out}"))
     for out, src in before.items():
         aggs.append(F.sum(src).alias(f"sum_{out}"))
-    summary = sliced.groupBy(*group, SLICE).agg(*aggs)
+    summary = rows.withColumn(SLICE, at_slice).groupBy(*group, SLICE).agg(*aggs)
     w = Window.partitionBy(*group).orderBy(SLICE)
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     return summary.select(

@@ -79,7 +79,7 @@ def crossfit(
             continue
         weights = balanced_weight(train).select(F.lit(False).alias("held_out"), "*")
         watch = held.select(F.lit(True).alias("held_out"), "*", F.lit(1.0).alias("weight"))
-        rows = settle(stack([weights, watch]), "fold")
+        rows = stack([weights, watch])
         scored = used.where((F.col("fold") == f) | F.col("fold").isNull())
         for bag in range(n_bags):
             model = estimator(seed + f * n_bags + bag)
