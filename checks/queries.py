@@ -60,7 +60,7 @@ def labels_clean(spark, d):
 
 @query
 def log_known(spark, d):
-    known = src.line_entities(spark, d).where(F.col("target").isNotNull())
+    known = src.line_entities(spark, d).dropna(subset=["target"])
     log = keys.keep_known(src.line_log(spark, d), known)
     return keys.attach(log, known).select("entity", "actor", "product", "us", "target")
 

@@ -33,8 +33,10 @@ def latent_factors(
     coded = settle(coded.select("entity", F.col("row").cast("int"), F.col("col").cast("int"),
                                 F.col("value").cast("float")), "ratings")
     blocks = blocks or context.defaultParallelism
-    als = ALS(rank=rank, implicitPrefs=True, maxIter=iterations, regParam=reg, alpha=alpha,
-              numUserBlocks=blocks, numItemBlocks=blocks, seed=seed, userCol="row", itemCol="col", ratingCol="value")
+    als = ALS(
+        rank=rank, implicitPrefs=True, maxIter=iterations, regParam=reg, alpha=alpha, seed=seed,
+        numUserBlocks=blocks, numItemBlocks=blocks,
+        userCol="row", itemCol="col", ratingCol="value")
     factors = als.fit(coded).userFactors
     rows = coded.select("entity", "row").distinct()
     return rows.join(factors, rows["row"] == factors["id"]).select(

@@ -90,8 +90,8 @@ def sequence_inputs(
     gaps = settle(gaps.fillna(-1.0, subset=["gap_actor"]), "gaps")
     tail = last_rows(gaps.where(F.col(entity).isNotNull()), n, entity, (us, *tie), slices)
     for c in (actor, product, "gap_actor"):
-        codes = code_table(gaps if c == "gap_actor" else log, c, slices).withColumnRenamed("code", f"{c}_code")
-        tail = attach(tail, codes, c).withColumn(
+        codes = code_table(gaps if c == "gap_actor" else log, c, slices)
+        tail = attach(tail, codes.withColumnRenamed("code", f"{c}_code"), c).withColumn(
             f"{c}_code", F.coalesce(f"{c}_code", F.lit(-1)))
     coded = [f"{c}_code" for c in (actor, product, "gap_actor")]
     counts = log.where(F.col(entity).isNotNull()).groupBy(entity).agg(
