@@ -25,23 +25,33 @@ def local_session(cores: int | str = "*", app: str = "logfeat") -> SparkSession:
     )
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Everything lies under one folder per application, to be removed once the
-    application has ended.  Only a local master may fall back to a temporary folder of its own: on a
-    cluster the executors would not see it.
+    Everything lies under one folder per application; ``clear_scratch`` removes it.  Only a
+    local master may fall back to a temporary folder of its own (one per application, kept
+    here, as that setting is fixed once the session runs): on a cluster the executors would
+    not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root, app = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="logfeat-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    app = spark.sparkContext.applicationId
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="logfeat-")
+        root = _LOCAL_ROOTS[app]
     return f"{root.rstrip('/')}/logfeat-{app}/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what ``settle`` has left in this application; for the end of a job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.dirname(scratch_path(spark, "x")))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
