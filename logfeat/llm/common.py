@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,3 +51,18 @@ def crc_mod(id_col: str, n: int) -> Column:
 
 def partitions(rows: int, per_part: int) -> int:
     return max(1, -(-rows // per_part))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        root, name = os.path.split(package)
+        zipped = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), name), "zip", root, name)
+        spark.sparkContext.addPyFile(zipped)
+        _SHIPPED.add(app)

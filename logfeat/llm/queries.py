@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, host_rules, line_dedup, mixing, sharding
-from .common import table
+from . import (
+    exact_dedup, host_rules, language_model, line_dedup, mixing, pieces, quality_model, sharding,
+    surrogates)
+from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +64,22 @@ mixed AS (
   FROM mix_rows r JOIN mix_budgets b ON r.source IS NOT DISTINCT FROM b.source)"""
 
 
+def op2_language_model(spark: SparkSession, d: str) -> DataFrame:
+    return language_model.score_documents(table(spark, d, "documents"))
+
+
+def op3_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.encode_decode(table(spark, d, "documents"))
+
+
+def op4_quality_model(spark: SparkSession, d: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op5_surrogates(spark: SparkSession, d: str) -> DataFrame:
+    return surrogates.replace_entities(table(spark, d, "documents"))
+
+
 def op6_host_rules(spark: SparkSession, d: str) -> DataFrame:
     return host_rules.judge(table(spark, d, "documents")).drop("host_rate")
 
@@ -157,9 +176,19 @@ stripped AS (
   FROM line_docs d LEFT JOIN line_texts USING (lid))"""
 
 
+def _shipped(f: Query) -> Query:
+    @functools.wraps(f)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        ship(spark)
+        return f(spark, d)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (
-        op1_mix_sources, op6_host_rules, op7_exact_dedup, op8_sharding, op10_line_dedup)}
+    return {f.__name__: _shipped(f) for f in (
+        op1_mix_sources, op2_language_model, op3_pieces, op4_quality_model, op5_surrogates,
+        op6_host_rules, op7_exact_dedup, op8_sharding, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
