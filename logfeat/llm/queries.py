@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     exact_dedup, host_rules, language_model, line_dedup, mixing, pieces, quality_model, sharding,
-    surrogates)
+    shingle_join, surrogates)
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +137,11 @@ def op8_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard(table(spark, d, "documents"))
 
 
+def op9_shingle_join(spark: SparkSession, d: str) -> DataFrame:
+    return shingle_join.near_groups(
+        table(spark, d, "documents"), words=3, percent=90, pool=2.0)
+
+
 def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     before = docs.withColumn("n_lines", line_dedup.count_lines(F.col("text")))
@@ -188,7 +193,8 @@ def _shipped(f: Query) -> Query:
 def queries() -> dict[str, Query]:
     return {f.__name__: _shipped(f) for f in (
         op1_mix_sources, op2_language_model, op3_pieces, op4_quality_model, op5_surrogates,
-        op6_host_rules, op7_exact_dedup, op8_sharding, op10_line_dedup)}
+        op6_host_rules, op7_exact_dedup, op8_sharding, op9_shingle_join,
+        op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
