@@ -190,11 +190,17 @@ def _shipped(f: Query) -> Query:
     return run
 
 
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, d)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: _shipped(f) for f in (
         op1_mix_sources, op2_language_model, op3_pieces, op4_quality_model, op5_surrogates,
         op6_host_rules, op7_exact_dedup, op8_sharding, op9_shingle_join,
-        op10_line_dedup)}
+        op10_line_dedup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
