@@ -6,6 +6,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -102,8 +103,17 @@ class Lexicon:
 
 def lexicon(counts: DataFrame) -> Lexicon:
     """Collects the bounded dictionary and a few sums; the full counts stay where they are."""
-    top = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(
-        DICTIONARY - 1).collect()
+    # steps of an eighth of a doubling; as many of the highest ones as the dictionary has room for
+    step = F.floor(8 * F.log2("n")).cast("int")
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, room = 1_000, DICTIONARY
+    for r in sorted(sizes, key=lambda r: -r["step"]):
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["step"]
+    top = counts.where((F.col("word") != END) & (step >= least)).collect()
+    top.sort(key=lambda r: (-r["n"], r["word"]))
     sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
                       F.sum(F.when(F.col("word") == END, F.col("n"))).alias("ends")).first()
     words = [END] + [r["word"] for r in top]
@@ -125,7 +135,7 @@ def coded(rows: DataFrame, lex, kind: str) -> DataFrame:
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = lex.value
-        find = x.index().get
+        find, missing = x.index().get, repeat(-1)
         first_tail = x.shape.first_tail
         for big in it:
             for start in range(0, big.num_rows, 1000):
@@ -133,7 +143,8 @@ def coded(rows: DataFrame, lex, kind: str) -> DataFrame:
                 ids, known, plus, inner, rare, times = [], [], [], [], [], []
                 for text in batch.column(3):
                     words = _tokens(text.as_py())
-                    found = np.array([find(w, -1) for w in words] + [0], np.int64)
+                    found = np.fromiter(map(find, words, missing), np.int64, len(words))
+                    found = np.append(found, 0)
                     own = x.token[found]
                     other: Counter = Counter()
                     for i in np.flatnonzero(found < 0):

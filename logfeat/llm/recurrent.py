@@ -59,10 +59,10 @@ class Shape:
         return flat
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _exp_sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(x) and its row sums; float32 holds exp(80)."""
+    e = np.exp(np.minimum(x, np.float32(80), out=x))
+    return e, e.sum(axis=1)
 
 
 class Lanes:
@@ -151,13 +151,16 @@ class Network:
         p, s = self.p, self.shape
         group = np.where(tokens < s.first_tail, tokens // MEMBERS, tokens - s.first_tail + s.groups)
         rows = np.arange(len(tokens))
-        logs = _log_softmax(states @ p["c"] + p["cb"])
-        lp = logs[rows, group]
+        logits = states @ p["c"]
+        logits += p["cb"]
+        e, z = _exp_sums(logits)
+        lp = logits[rows, group] - np.log(z)
         order = np.argsort(group, kind="stable")
         ends = np.searchsorted(group[order], np.arange(s.groups + 1))
         grad = {}
         if learn:
-            d = np.exp(logs, out=logs)
+            d = e
+            d /= z[:, None]
             d[rows, group] -= 1
             grad["c"], grad["cb"] = states.T @ d, d.sum(axis=0)
             ds = d @ p["c"].T
@@ -167,11 +170,13 @@ class Network:
                 continue
             own = order[ends[g]:ends[g + 1]]
             h = states[own]
-            inner = _log_softmax(h @ p["w"][g] + p["wb"][g])
-            member, k = tokens[own] - g * MEMBERS, np.arange(len(own))
-            lp[own] += inner[k, member]
+            logits = h @ p["w"][g]
+            logits += p["wb"][g]
+            d, z = _exp_sums(logits)
+            member, k = tokens[own] - g * MEMBERS, rows[:len(own)]
+            lp[own] += logits[k, member] - np.log(z)
             if learn:
-                d = np.exp(inner, out=inner)
+                d /= z[:, None]
                 d[k, member] -= 1
                 grad["w"][g], grad["wb"][g] = h.T @ d, d.sum(axis=0)
                 ds[own] += d @ p["w"][g].T
