@@ -242,6 +242,8 @@ SELECT rid, {rd('((SELECT max(us) FROM ev) - us) / 1000000.0::DOUBLE', 6)} AS ag
     q["time_text"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS text,
   epoch_us(o_orderdate) AS us, CAST(epoch_us(o_orderdate) // 1000000 AS BIGINT) AS epoch
 FROM orders"""
+    q["log_preview"] = f"""WITH {LINES}
+SELECT us, {TIE}, product FROM ln ORDER BY us, {TIE} LIMIT 100"""
     q["log_order"] = f"""WITH {LINES}
 SELECT {big(f'row_number() OVER (ORDER BY us, {TIE})')} AS place, l_orderkey, l_linenumber,
   l_partkey, l_suppkey, us FROM ln"""
@@ -289,9 +291,11 @@ SELECT p_partkey, array_to_string(list_concat(a,
   list_transform(range(1, len(a)), lambda i: array_to_string(a[i:i + 1], '')),
   list_transform(range(1, greatest(len(a) - 1, 1)), lambda i: array_to_string(a[i:i + 2], ''))),
   ' ') AS grams FROM p"""
-    q["list_text"] = """SELECT CAST(o_custkey AS VARCHAR) AS entity,
-  string_agg(coalesce(nullif(o_orderpriority, '5-LOW'), 'nan'), ' ' ORDER BY o_orderkey) AS text
-FROM orders GROUP BY 1"""
+    q["list_text"] = """WITH o AS (SELECT *, row_number() OVER (
+  PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS place FROM orders)
+SELECT CAST(o_custkey AS VARCHAR) AS entity, place // 100000 AS chunk,
+  string_agg(coalesce(nullif(o_orderpriority, '5-LOW'), 'nan'), ' ' ORDER BY place) AS text
+FROM o GROUP BY ALL"""
 
     # -- time
     stat_items = ", ".join(i for c in PARTS for i in nine(c))
@@ -319,11 +323,12 @@ FROM gaps GROUP BY actor"""
     q["rollup_hot_groups"] = q["gap_stats_nulls"]
 
     # -- sequences
-    q["sequences"] = f"""WITH {EVENTS}, {EV_GAPS}
-SELECT entity, array_to_string(list(actor ORDER BY us, rid), ' ') AS actor,
+    q["sequences"] = f"""WITH {EVENTS}, {EV_GAPS}, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY entity ORDER BY us, rid) - 1 AS place FROM gaps)
+SELECT entity, place // 100000 AS chunk, array_to_string(list(actor ORDER BY us, rid), ' ') AS actor,
   array_to_string(list(product ORDER BY us, rid), ' ') AS product,
   array_to_string(list(coalesce(CAST(round(gap_entity * 1000000) AS BIGINT)::VARCHAR, 'nan')
-    ORDER BY us, rid), ' ') AS gap_entity FROM gaps GROUP BY entity"""
+    ORDER BY us, rid), ' ') AS gap_entity FROM placed GROUP BY ALL"""
     q["sequence_chunks"] = f"""WITH {EVENTS},
 r AS (SELECT *, row_number() OVER (PARTITION BY product ORDER BY us, rid) - 1 AS place FROM ev)
 SELECT product, place // 100 AS chunk, array_to_string(list(rid ORDER BY place), ' ') AS rids
@@ -334,12 +339,24 @@ SELECT rid, {big('dense_rank() OVER (ORDER BY actor) - 1')} AS actor_code,
     q["label_codes_nulls"] = f"""WITH {DOCS}
 SELECT entity, {big('CASE WHEN target IS NULL THEN -1 ELSE dense_rank() OVER '
                     '(ORDER BY target NULLS LAST) - 1 END')} AS target_code FROM cleaned"""
-    q["padded_inputs"] = f"""WITH {EVENTS}, {CODED}
-SELECT entity, {padded('actor_code', 50)} AS actor_code,
-  {padded('product_code', 50)} AS product_code, {padded('gap_actor_code', 50)} AS gap_actor_code,
+    actor_stats = ", ".join(
+        i for c in ("actor_mean", "actor_std") for i in nine(c, "-1", MEAN_DIGITS)
+        if i.split(" AS ")[-1].endswith(("_mean", "_std")))
+    q["padded_inputs"] = f"""WITH {EVENTS}, {attached()}, {CODED},
+encoded AS (SELECT entity, {actor_stats} FROM enc GROUP BY entity), padded_rows AS (
+SELECT entity, {padded('actor_code', 500)} AS actor_code,
+  {padded('product_code', 500)} AS product_code, {padded('gap_actor_code', 500)} AS gap_actor_code,
   {big('count(*)')} AS n_rows, {big('count(DISTINCT actor)')} AS n_actors,
   {big('count(DISTINCT product)')} AS n_products, {big(digits_of('entity'))} AS n_digits,
-  {letters('entity')} FROM coded GROUP BY entity"""
+  {letters('entity')} FROM coded GROUP BY entity)
+SELECT * FROM padded_rows JOIN encoded USING (entity)"""
+    q["padded_lines"] = f"""WITH {LINES}, coded AS (
+  SELECT actor AS entity, l_linenumber, us, l_orderkey, l_partkey, l_suppkey,
+    row_number() OVER (PARTITION BY actor ORDER BY us, {TIE}) AS place,
+    count(*) OVER (PARTITION BY actor) AS n FROM ln)
+SELECT entity, repeat('0 ', CAST(greatest(600 - any_value(n), 0) AS INT))
+  || string_agg(CAST(l_linenumber AS VARCHAR), ' ' ORDER BY place) FILTER (place > n - 600)
+  AS lines FROM coded GROUP BY entity"""
     q["vocab_sizes"] = f"""WITH {EVENTS}, {CODED}, per AS (
   SELECT entity, count(*) AS n, count(DISTINCT actor) AS na, count(DISTINCT product) AS np
   FROM ev GROUP BY entity),
@@ -393,6 +410,15 @@ SELECT entity, {big('dense_rank() OVER (ORDER BY actor) - 1')} AS feature, n::DO
 SELECT entity, {big('count(*)')} AS cells, {rd('sum(n)')} AS total, {rd('max(n)')} AS largest
 FROM a GROUP BY entity"""
 
+    # values depend on a fit, so rows and properties are compared
+    q["latent_factors"] = f"""WITH {EVENTS}, cells AS (
+  SELECT entity, actor FROM ev WHERE actor IS NOT NULL GROUP BY ALL)
+SELECT DISTINCT entity, 350::BIGINT AS n_factors, TRUE AS finite FROM cells WHERE actor IN (
+  SELECT actor FROM cells GROUP BY actor HAVING count(*) > 1)"""
+    q["crossfit_scores"] = f"""WITH {EVENTS}, f AS (SELECT DISTINCT fold FROM en WHERE fold IS NOT NULL)
+SELECT entity, CAST(f.fold AS BIGINT) AS fold, 0::BIGINT AS bag, target, TRUE AS is_share
+FROM en JOIN f ON en.fold IS NULL OR en.fold = f.fold"""
+
     # -- scaling
     q["column_profile"] = f"WITH {EMB}, p AS (" + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", stddev_samp({c}) AS s, count(*) - count({c}) AS n FROM emb"
@@ -452,4 +478,6 @@ age AS (SELECT entity, {ages} FROM ages)
 SELECT en.entity, en.target, coalesce(en.fold, -1) AS fold, agg.* EXCLUDE (entity), age.* EXCLUDE (entity),
   {big(digits_of('en.entity'))} AS n_digits, {letters('en.entity')}
 FROM en LEFT JOIN agg ON agg.entity = en.entity LEFT JOIN age ON age.entity = en.entity"""
+    # most blocks of the matrix depend on a fit or on hashes: rows and properties are compared
+    q["feature_matrix"] = f"WITH {EVENTS} SELECT entity, TRUE AS has_table, TRUE AS inside FROM en"
     return q

@@ -15,7 +15,7 @@ from logfeat.functions.columns import DATE_PARTS
 from logfeat.operators import gaps, keys, matrix, rollup, scaling, scoring, sequences
 from logfeat.operators.factors import latent_factors
 from logfeat.operators.target_stats import target_stats
-from logfeat.plans.features import GAP_COLS, TARGET_COLS, target_rollup
+from logfeat.plans.features import GAP_COLS, RANKS, TARGET_COLS, target_rollup
 from logfeat.plans.score import BLEND_WEIGHTS
 from logfeat.session import scratch_path, settle
 
@@ -72,17 +72,9 @@ def folds(spark, d):
 
 @query
 def split_rows(spark, d):
-    rows = settle(src.line_entities(spark, d))  # split ten times below
-    _, unlabelled = keys.split_labelled(rows)
-    parts = []
-    for f in range(10):
-        train, valid = keys.fold_split(rows, f)
-        parts += [part.select(F.lit(f).alias("fold"), F.lit(name).alias("part"))
-                  for name, part in (("n_train", train), ("n_valid", valid),
-                                     ("n_unlabelled", unlabelled))]
-    named = keys.stack(parts)
+    named = keys.fold_parts(src.line_entities(spark, d), 10)
     return tidy(named.groupBy("fold").agg(*[
-        F.count_if(F.col("part") == p).alias(p) for p in ("n_train", "n_valid", "n_unlabelled")]))
+        F.count_if(F.col("part") == p).alias(f"n_{p}") for p in ("train", "valid", "unlabelled")]))
 
 
 @query
@@ -121,6 +113,12 @@ def time_text(spark, d):
                        F.unix_seconds(parse_ts("text")).alias("epoch"))
 
 
+@query
+def log_preview(spark, d):
+    order = ["us", *src.LINE_TIE]
+    return tidy(keys.preview(src.line_log(spark, d), order, 100).select(*order, "product"))
+
+
 @query
 def log_order(spark, d):
     placed = sequences.over_ordered(
@@ -221,7 +219,7 @@ def list_text(spark, d):
         F.col("o_custkey").cast("string").alias("entity"), F.col("o_orderkey").alias("rid"),
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("p"))
     lists = sequences.collect_sequence(rows, ["p"], order=["rid"])
-    return lists.select("entity", list_to_text("p").alias("text"))
+    return lists.select("entity", "chunk", list_to_text("p").alias("text"))
 
 
 # -- time
@@ -266,8 +264,8 @@ def group_gaps(spark, d):
 @query
 def gaps_with_ties(spark, d):
     log = src.line_log(spark, d)
-    shared = dict(tie=src.LINE_TIE, source=log)
-    rows = gaps.global_gap(log, tie=src.LINE_TIE)
+    shared = dict(tie=src.LINE_TIE, rows=log.count())
+    rows = gaps.global_gap(log, **shared)
     for key in ("product", "actor"):
         rows = gaps.group_gap(rows, key, **shared)
     return tidy(rows.select(*src.LINE_TIE, "gap", "gap_product", "gap_actor"))
@@ -307,7 +305,7 @@ def sequences_of_events(spark, d):
     log = gaps.group_gap(src.event_log(spark, d), "entity")
     lists = sequences.collect_sequence(log, ["actor", "product", "gap_entity"])
     return lists.select(
-        "entity", list_to_text("actor").alias("actor"), list_to_text("product").alias("product"),
+        "entity", "chunk", list_to_text("actor").alias("actor"), list_to_text("product").alias("product"),
         list_to_text(_micro_text("gap_entity")).alias("gap_entity"))
 
 
@@ -336,10 +334,19 @@ def label_codes_nulls(spark, d):
 
 @query
 def padded_inputs(spark, d):
-    rows = sequences.sequence_inputs(src.event_log(spark, d), n=50)
+    rows = sequences.sequence_inputs(src.prepared_events(spark, d), n=500)
     lists = ("actor_code", "product_code", "gap_actor_code")
     return tidy(rows.select(*[
-        list_to_text(c).alias(c) if c in lists else F.col(c) for c in rows.columns]))
+        list_to_text(c).alias(c) if c in lists else F.col(c) for c in rows.columns]),
+        MEAN_DIGITS)
+
+
+@query
+def padded_lines(spark, d):
+    """Suppliers with fewer and with more lines than places."""
+    log = src.line_log(spark, d).withColumn("entity", F.col("actor"))
+    rows = sequences.padded_sequences(log, ["l_linenumber"], 600, order=["us", *src.LINE_TIE])
+    return rows.select("entity", list_to_text("l_linenumber").alias("lines"))
 
 
 @query
@@ -404,7 +411,8 @@ def _blocks(spark, d):
 
 @query
 def dense_table(spark, d):
-    return tidy(matrix.to_dense(_blocks(spark, d)[1], [f"f{i}" for i in range(5)]))
+    block = _blocks(spark, d)[1]
+    return tidy(matrix.to_dense(block, [f"f{i}" for i in range(block.width)]))
 
 
 @query
@@ -422,21 +430,20 @@ def matrix_files(spark, d):
 
 @query
 def vector_rows(spark, d):
-    from pyspark.ml.functions import vector_to_array
-
-    v = vector_to_array("features")
     rows = matrix.to_vectors(_blocks(spark, d)[0])
+    rows = rows.select("entity", F.unwrap_udt("features")["values"].alias("v"))
     return tidy(rows.select(
-        "entity", F.size(F.filter(v, lambda x: x != 0)).alias("cells"),
-        F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("total"),
-        F.array_max(v).alias("largest")))
+        "entity", F.size("v").alias("cells"),
+        F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("total"),
+        F.array_max("v").alias("largest")))
 
 
 @query
 def latent_factor_rows(spark, d):
     cells = matrix.min_doc_freq(matrix.interactions(src.event_log(spark, d)), 1)
-    rows = latent_factors(cells, 8, iterations=5)
-    return rows.select("entity", *[F.col("factors")[i].alias(f"f{i}") for i in range(8)])
+    rows = latent_factors(cells, RANKS["user"])
+    finite = F.forall("factors", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return tidy(rows.select("entity", F.size("factors").alias("n_factors"), finite.alias("finite")))
 
 
 ALL["latent_factors"] = ALL.pop("latent_factor_rows")
@@ -494,9 +501,10 @@ def auc(spark, d):
 
 @query
 def auc_by_group(spark, d):
-    rows = src.table(spark, d, "orders").where(F.col("o_orderstatus") != "P").select(
+    status = F.col("o_orderstatus")
+    rows = src.table(spark, d, "orders").select(
         F.col("o_orderpriority").alias("pr"), F.col("o_totalprice").alias("p"),
-        (F.col("o_orderstatus") == "F").cast("int").alias("target"))
+        F.when(status != "P", (status == "F").cast("int")).alias("target"))
     return tidy(scoring.auc(rows, by=["pr"]))
 
 
@@ -523,16 +531,17 @@ def final_predictions(spark, d):
 
 @query
 def crossfit_scores(spark, d):
-    """Boosted trees on the event roll-up, three folds; rows only."""
+    """Boosted trees on all date statistics of the events, ten folds."""
     log = src.event_log(spark, d)
     rows = rollup.rollup_stats(log.select("entity", *date_parts(F.timestamp_micros("us"))),
-                               "entity", ["hour", "weekday"], ["mean", "std", "min", "max"])
+                               "entity", DATE_PARTS)
     cols = [c for c in rows.columns if c != "entity"]
-    entities = keys.stratified_folds(src.event_targets(spark, d), 3)
     block = matrix.to_coo(rows.fillna(-1.0), cols)
-    table = keys.attach(entities, matrix.to_vectors(block))
-    return scoring.crossfit(
-        table, lambda seed: scoring.gbt(seed, rounds=3, depth=3, leaf_rows=1, bins=16), n_folds=3)
+    table = keys.attach(src.event_entities(spark, d), matrix.to_vectors(block))
+    scores = scoring.crossfit(
+        table, lambda seed: scoring.gbt(seed, rounds=4, depth=3, leaf_rows=1, bins=16))
+    return tidy(scores.select("entity", "fold", "bag", "target",
+                              F.col("p").between(0, 1).alias("is_share")))
 
 
 # -- files
@@ -579,12 +588,12 @@ def feature_table(spark, d):
 
 @query
 def feature_matrix(spark, d):
-    """Width and cells per entity of the assembled matrix, with small ranks; rows only."""
+    """Per entity: cells of the feature table, and whether all cells are inside the width."""
     log = src.prepared_events(spark, d)
-    ranks = {"user": 4, "product": 3, "gap_entity": 3, "gap_actor": 2, "gap_product": 2}
-    m = plans.feature_matrix(log, src.event_entities(spark, d), ranks=ranks, iterations=2)
-    return m.coo.groupBy("entity").agg(F.count(F.lit(1)).alias("cells")).withColumn(
-        "width", F.lit(m.width))
+    m = plans.feature_matrix(log, src.event_entities(spark, d))
+    inside = (F.min("feature") >= 0) & (F.max("feature") < m.width)
+    return tidy(m.coo.groupBy("entity").agg(
+        (F.count_if(F.col("feature") < 183) > 100).alias("has_table"), inside.alias("inside")))
 
 
 def queries() -> dict[str, Query]:

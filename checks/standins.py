@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logfeat.functions import micros, sentinel_to_null
 from logfeat.operators.keys import attach, exclude, stratified_folds
-from logfeat.session import settle, spread
+from logfeat.session import settle
 
 LINE_TIE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
@@ -89,7 +89,7 @@ def clean_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, d, "documents").select("doc_id", "text")
 
 
 def word_tokens(spark: SparkSession, d: str) -> DataFrame:

@@ -13,28 +13,27 @@ from .ordered import over_ordered
 
 def global_gap(
     log: DataFrame, out: str = "gap", us: str = "us", tie: Sequence[str] = ("rid",),
-    slices: int | None = None,
+    rows: int | None = None, slices: int | None = None,
 ) -> DataFrame:
     """Gap to the previous row of the whole log; null in the first row."""
-    return group_gap(log, None, out, us, tie, slices=slices)
+    return group_gap(log, None, out, us, tie, rows=rows, slices=slices)
 
 
 def group_gap(
     log: DataFrame, key: str | None, out: str | None = None, us: str = "us",
     tie: Sequence[str] = ("rid",), *, null_group: bool = False,
-    index: str | None = None, size: str | None = None, source: DataFrame | None = None,
-    rows: int | None = None, slices: int | None = None,
+    index: str | None = None, size: str | None = None, rows: int | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Gap to the previous row with the same key; null in the key's first row.
 
     A null key has null gaps, unless ``null_group`` makes the null rows a group.
-    ``index`` and ``size`` come from the same pass; ``source`` and ``rows`` are
-    those of over_ordered().
+    ``index`` and ``size`` come from the same pass; ``rows`` is that of over_ordered().
     """
     out = out or f"gap_{key}"
     group = [key] if key else []
     found = over_ordered(log, group, [us, *tie], prev={"__before": us},
-                         index=index, size=size, source=source, rows=rows, slices=slices)
+                         index=index, size=size, rows=rows, slices=slices)
     gap = seconds_between(us, "__before")
     if key and not null_group:
         gap = F.when(F.col(key).isNotNull(), gap)
@@ -47,10 +46,10 @@ def all_gaps(
 ) -> DataFrame:
     """The four gap columns, plus the row's position ``at`` of ``n`` within its entity.
 
-    One shuffle per column; every slice summary is taken from ``log`` itself.
+    The log is placed once per column, in slices of that column's groups.
     """
     found = log
-    shared = dict(us=us, tie=tie, source=log, rows=log.count(), slices=slices)
+    shared = dict(us=us, tie=tie, rows=log.count(), slices=slices)
     found = group_gap(found, None, "gap", **shared)
     found = group_gap(found, actor, "gap_actor", **shared)
     found = group_gap(found, product, "gap_product", **shared)

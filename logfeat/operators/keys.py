@@ -77,6 +77,19 @@ def fold_split(df: DataFrame, f: int, fold: str = "fold") -> tuple[DataFrame, Da
     return df.where((F.col(fold) != f) & F.col(fold).isNotNull()), df.where(F.col(fold) == f)
 
 
+def fold_parts(df: DataFrame, n_folds: int, fold: str = "fold") -> DataFrame:
+    """Every row once per fold f, as its ``part``: train, valid or unlabelled; one pass."""
+    rows = df.withColumn("__f", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
+    part = F.when(F.col(fold).isNull(), "unlabelled").when(
+        F.col(fold) == F.col("__f"), "valid").otherwise("train")
+    return rows.withColumn("part", part).withColumn(fold, F.col("__f")).drop("__f")
+
+
+def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows in the given order, for a look at a table."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
+
+
 def order_log(log: DataFrame, ts: str = "us", tie: Sequence[str] = ("rid",)) -> DataFrame:
     """Global sort for a sink; operators take their order as an argument instead."""
     return log.orderBy(F.col(ts).asc_nulls_first(), *tie)

@@ -58,8 +58,7 @@ def reindex(coo: DataFrame, slices: int | None = None) -> Matrix:
 def hashed_ngrams(
     tokens: DataFrame, token: str, entity: str = "entity", order: Sequence[str] = ("us", "rid"),
     *, weights: Sequence[float] = (1.5, 1.0), buckets: int = 2**28, tf: str = "binary",
-    norm: bool = True, hashing: str = "xxhash64", source: DataFrame | None = None,
-    slices: int | None = None,
+    norm: bool = True, hashing: str = "xxhash64", slices: int | None = None,
 ) -> DataFrame:
     """Hash every token and every pair of neighbours into buckets; one row per (entity, bucket).
 
@@ -68,13 +67,11 @@ def hashed_ngrams(
     come from the ordered rows, so no token list is ever gathered.
     ``hashing='md5'`` exists for comparison with other engines.
     """
-    def texts(df: DataFrame) -> DataFrame:
-        return df.where(F.col(entity).isNotNull()).select(
-            entity, *[c for c in order if c != entity],
-            F.coalesce(F.col(token).cast("string"), F.lit("nan")).alias("__token"))
-
-    pairs = over_ordered(texts(tokens), [entity], list(order), prev={"__prev": "__token"},
-                         source=None if source is None else texts(source), slices=slices)
+    # stored narrow: counting, placing and pairing read it instead of making the tokens again
+    texts = settle(tokens.where(F.col(entity).isNotNull()).select(
+        entity, *[c for c in order if c != entity],
+        F.coalesce(F.col(token).cast("string"), F.lit("nan")).alias("__token")), "tokens")
+    pairs = over_ordered(texts, [entity], list(order), prev={"__prev": "__token"}, slices=slices)
     pairs = pairs.select(F.col(entity).alias("entity"), F.col("__token").alias("token"),
                          F.concat("__prev", F.lit(" "), "__token").alias("pair"))
     return _bag(pairs, weights, buckets, tf, norm, hashing)
@@ -153,7 +150,12 @@ def array_to_coo(df: DataFrame, column: str, width: int, entity: str = "entity")
 
 
 def to_dense(matrix: Matrix, names: Sequence[str]) -> DataFrame:
-    """One column per feature, 0 where the matrix has no cell; meant for few features."""
+    """One column per feature, 0 where the matrix has no cell; meant for few features.
+
+    Every feature needs a name: a wider matrix is refused.
+    """
+    if len(names) != matrix.width:
+        raise ValueError(f"{matrix.width} features, {len(names)} names")
     return matrix.coo.groupBy("entity").agg(*[
         F.coalesce(F.max(F.when(F.col("feature") == i, F.col("value"))), F.lit(0.0)).alias(name)
         for i, name in enumerate(names)

@@ -1,95 +1,47 @@
 """Ordered operations that never put a whole group, or the whole table, in one task.
 
 A window over one hot group, or over no group at all, runs in a single task.
-Here the rows are first cut into slices of about equal size by the composite
-key *(group, order)*.  A group's rows are then consecutive slices, so
+Here the rows are first dealt out by ranges of the composite key *(group, order)* into slices of
+about equal size, and stored with their slice number.  A group's rows are then consecutive
+slices, so
 
 * inside a slice an ordinary window partitioned by *(slice, group)* does the work, and
 * what a slice needs from the slices before it is a summary of one row per
-  (group, slice) - and only for groups that contain a cut.
+  (group, slice) - and only for groups that go over a slice's end.
 
-There are fewer cuts than slices, so the summary has fewer than twice as many
-rows as there are slices.  That bound is what makes broadcasting it safe.
+A slice has one first and one last group, so that summary has at most two rows per slice.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import settle
 
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 8192
 SMALL_SLICE = 1_000
-SAMPLE_PER_SLICE = 32
 
 SLICE = "__slice"
 _PLACE = "__place_in_slice"
-_CUT_TYPES = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType,
-              T.BooleanType)
 
 
-def _key_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
-    fields = []
-    for i, k in enumerate(keys):
-        t = df.schema[k].dataType
-        if not isinstance(t, _CUT_TYPES):
-            raise TypeError(f"order by numbers or strings, not {k}: {t.simpleString()}")
-        fields.append(T.StructField(f"k{i}", t))
-    return T.StructType(fields)
+def slice_count(df: DataFrame, rows: int) -> int:
+    """Slices of about ROWS_PER_SLICE rows; of fewer where that leaves cores idle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-rows // ROWS_PER_SLICE), min(cores, rows // SMALL_SLICE))
 
 
-def cut_points(
-    df: DataFrame, keys: Sequence[str], slices: int | None = None, rows: int | None = None
-) -> list[tuple]:
-    """Ascending key tuples that divide ``df`` into slices of about equal size.
+def in_slices(df: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
+    """``df`` stored in ``slices`` ranges of ``keys`` (nulls first), each row with its number.
 
-    The sample is picked by a hash of the key, so it does not depend on how the
-    rows happen to be partitioned.  It is only used to balance the slices: any
-    cut points give the same result.
+    Spark's range exchange picks the bounds from a sample; any bounds give the same results, they
+    only balance the slices.
     """
-    narrow = df.select(*keys)
-    rows = narrow.count() if rows is None else rows
-    if slices is None:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        slices = max(-(-rows // ROWS_PER_SLICE), min(cores, rows // SMALL_SLICE))
-    slices = min(slices, MAX_SLICES)
-    if slices <= 1 or rows == 0:
-        return []
-    stride = max(1, rows // (slices * SAMPLE_PER_SLICE))
-    sample = narrow.where(F.pmod(F.xxhash64(*keys), F.lit(stride)) == 0).distinct().collect()
-    # UTF-8 bytes, Spark's string order, compare as code points do
-    ascending = sorted((tuple(r) for r in sample), key=lambda r: [_nulls_first(v) for v in r])
-    picked = [ascending[i * len(sample) // slices] for i in range(1, slices)] if sample else []
-    return list(dict.fromkeys(picked))
-
-
-def _nulls_first(v):
-    if v is None:
-        return (0, 0)
-    return (2, 0) if v != v else (1, v)  # NaN comes after every number
-
-
-def slice_number(df: DataFrame, keys: Sequence[str], cuts: Sequence[tuple]) -> Column:
-    """How many cut points are at or before the row's key: a binary search per row."""
-    schema = _key_schema(df, keys)
-    key = F.struct(*[F.col(k).alias(f.name) for k, f in zip(keys, schema)])
-    bits = max(1, len(cuts).bit_length())
-    padded = [dict(zip(schema.names, c)) for c in cuts] + [None] * (2**bits - 1 - len(cuts))
-    table = F.from_json(F.lit(json.dumps(padded)), T.ArrayType(schema))
-    steps = F.array(*[F.lit(2**b) for b in reversed(range(bits))])
-    # transform() over a one-element array binds the key once per row
-    return F.transform(
-        F.array(key),
-        lambda k: F.aggregate(
-            steps,
-            F.lit(0),
-            lambda at, step: F.when(F.element_at(table, at + step) <= k, at + step).otherwise(at),
-        ),
-    )[0]
+    ranged = df.repartitionByRange(slices, *[F.col(k).asc_nulls_first() for k in keys])
+    return settle(ranged.withColumn(SLICE, F.spark_partition_id()), "sliced")
 
 
 def over_ordered(
@@ -101,7 +53,6 @@ def over_ordered(
     index: str | None = None,
     size: str | None = None,
     before: Mapping[str, str] | None = None,
-    source: DataFrame | None = None,
     rows: int | None = None,
     slices: int | None = None,
 ) -> DataFrame:
@@ -113,11 +64,7 @@ def over_ordered(
     before  {new column: source}  sum over all earlier rows of the group, 0 in the first
 
     ``order`` ascends with nulls first and should end in a unique column.  A null
-    group key is a group like any other.
-
-    The slice summary reads the rows a second time.  Where ``df`` is costly, give
-    as ``source`` a cheaper DataFrame with the same rows in the columns used, so
-    that chained calls do not repeat each other's work; ``rows`` saves the count.
+    group key is a group like any other.  ``rows``, if known, saves counting ``df``.
     """
     prev, before = dict(prev or {}), dict(before or {})
     group, order = list(group), list(order)
@@ -125,14 +72,12 @@ def over_ordered(
     taken = {SLICE, _PLACE, index, size, *prev, *before} & set(df.columns)
     if taken:
         raise ValueError(f"columns exist already: {sorted(taken)}")
-    _key_schema(df, keys)
-    source = df if source is None else source
-    cuts = cut_points(source, keys, slices, rows)
-    at_slice = slice_number(df, keys, cuts) if cuts else None
-    sliced = df.withColumn(SLICE, at_slice) if cuts else df
-    parts = ([SLICE] if cuts else []) + group
-    by_order = [F.col(k).asc_nulls_first() for k in order]
-    ordered = Window.partitionBy(*parts).orderBy(*by_order)
+    if slices is None:
+        slices = slice_count(df, df.count() if rows is None else rows)
+    cut = slices > 1
+    stored = in_slices(df, keys, slices) if cut else df
+    parts = ([SLICE] if cut else []) + group
+    ordered = Window.partitionBy(*parts).orderBy(*[F.col(k).asc_nulls_first() for k in order])
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
 
     position = _PLACE if index is None else index
@@ -143,17 +88,13 @@ def over_ordered(
         local[out] = F.lag(src).over(ordered)
     for out, src in before.items():
         local[out] = F.coalesce(F.sum(src).over(earlier), F.lit(0))
-    result = sliced.withColumns(local)
+    result = stored.withColumns(local)
     wanted = [*df.columns, *(c for c in local if c != _PLACE)]
-    if not cuts:
+    if not cut:
         return result.select(*wanted)
 
-    used = dict.fromkeys([*keys, *prev.values(), *before.values()])
-    carry = _carry(source.select(*used), at_slice, group, order, cuts, prev, before)
-    r, c = result.alias("r"), F.broadcast(carry).alias("c")
-    same = F.col(f"r.{SLICE}") == F.col(f"c.{SLICE}")
-    for g in group:
-        same = same & F.col(f"r.{g}").eqNullSafe(F.col(f"c.{g}"))
+    r, c = result.alias("r"), _carry(stored, group, order, prev, before).alias("c")
+    same = _same(["r", "c"], [SLICE, *group])
     first = F.col(f"r.{position}") == 0
     fixed = {}
     if index:
@@ -169,20 +110,27 @@ def over_ordered(
     )
 
 
-def _carry(rows, at_slice, group, order, cuts, prev, before) -> DataFrame:
+def _same(sides: Sequence[str], keys: Sequence[str]) -> Column:
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"{sides[0]}.{k}").eqNullSafe(F.col(f"{sides[1]}.{k}"))
+    return on
+
+
+def _carry(stored, group, order, prev, before) -> DataFrame:
     """What each slice of a cut group takes over from the group's earlier slices.
 
-    Rows of uncut groups leave first, so only few rows are placed in slices again.
+    Only the first and the last group of a slice can be cut; rows of others leave first.  Both
+    tables are stored: their file sizes tell Spark whether they can be broadcast.
     """
+    rows = stored
     if group:
-        schema = T.StructType([T.StructField(g, rows.schema[g].dataType) for g in group])
-        held = list(dict.fromkeys(c[: len(group)] for c in cuts))
-        cut_groups = rows.sparkSession.createDataFrame(held, schema)
-        s, h = rows.alias("s"), F.broadcast(cut_groups).alias("h")
-        on = F.lit(True)
-        for g in group:
-            on = on & F.col(f"s.{g}").eqNullSafe(F.col(f"h.{g}"))
-        rows = s.join(h, on, "left_semi")
+        key = F.struct(*group)
+        ends = stored.groupBy(SLICE).agg(F.min(key).alias("a"), F.max(key).alias("z"))
+        ends = ends.select(F.explode(F.array("a", "z")).alias("g")).groupBy("g").agg(
+            F.count(F.lit(1)).alias("n")).where("n > 1").select("g.*")
+        rows = stored.alias("s").join(
+            settle(ends, "ends").alias("h"), _same(["s", "h"], group), "left_semi")
     aggs = [F.count(F.lit(1)).alias("rows")]
     for out, src in prev.items():
         # the last row holds the largest first sort key, and max() is the cheaper aggregate
@@ -191,14 +139,14 @@ def _carry(rows, at_slice, group, order, cuts, prev, before) -> DataFrame:
         aggs.append(last.alias(f"last_{out}"))
     for out, src in before.items():
         aggs.append(F.sum(src).alias(f"sum_{out}"))
-    summary = rows.withColumn(SLICE, at_slice).groupBy(*group, SLICE).agg(*aggs)
+    summary = rows.groupBy(*group, SLICE).agg(*aggs)
     w = Window.partitionBy(*group).orderBy(SLICE)
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(
+    return settle(summary.select(
         *group,
         SLICE,
         F.sum("rows").over(earlier).alias("__rows"),
         F.sum("rows").over(Window.partitionBy(*group)).alias("__size"),
         *[F.lag(f"last_{out}").over(w).alias(f"__prev_{out}") for out in prev],
         *[F.sum(f"sum_{out}").over(earlier).alias(f"__sum_{out}") for out in before],
-    )
+    ), "carry")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -45,53 +45,84 @@ def balanced_weight(df: DataFrame, label: str = "target", out: str = "weight") -
     ).select(*df.columns, out)
 
 
+# fixed value: boosting rounds of the trained models; the best one on held-out rows is kept
+ROUNDS = 2600
+
+
 def gbt(
-    seed: int, *, rounds: int = 100, step: float = 0.01, depth: int = 10, leaf_rows: int = 50,
+    seed: int, *, rounds: int = ROUNDS, step: float = 0.01, depth: int = 10, leaf_rows: int = 50,
     bins: int = 64, row_fraction: float = 0.75, column_fraction: float = 0.66,
-    early_stop: bool = True,
 ) -> GBTClassifier:
-    """Boosted trees for crossfit(); early stopping watches the held-out fold."""
-    model = GBTClassifier(
+    """Boosted trees for crossfit(): all ``rounds`` are fitted, and crossfit() goes back to the
+    best one.  (Spark's own early stop ends a fit whose rounds improve by less than 1 %, which at
+    this step is the second round.)
+    """
+    return GBTClassifier(
         featuresCol="features", labelCol="target", weightCol="weight", seed=seed,
         maxIter=rounds, stepSize=step, maxDepth=depth, minInstancesPerNode=leaf_rows,
         maxBins=bins, subsamplingRate=row_fraction, featureSubsetStrategy=str(column_fraction))
-    return model.setValidationIndicatorCol("held_out") if early_stop else model
+
+
+def _class_weight(counts: Mapping[float, int]) -> Column:
+    """n / (2 * rows of the class) as a constant per class."""
+    total, weight = sum(counts.values()), F.lit(None).cast("double")
+    for target, n in counts.items():
+        weight = F.when(F.col("target") == target, total / (2.0 * n)).otherwise(weight)
+    return weight
+
+
+def _fit(model: Estimator, train: DataFrame, held: DataFrame, best_round: bool):
+    """The fitted model; of a boosted one, the rounds up to the least loss on ``held``."""
+    fitted = model.fit(train)
+    if best_round and hasattr(fitted, "evaluateEachIteration"):
+        losses = fitted.evaluateEachIteration(held)
+        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        if best < len(losses):
+            fitted = model.copy({model.maxIter: best}).fit(train)
+    return fitted
 
 
 def crossfit(
     df: DataFrame, estimator: Callable[[int], Estimator], *, n_folds: int = 10, n_bags: int = 1,
     seed: int = 1, label: str = "target", fold: str = "fold", entity: str = "entity",
+    best_round: bool = True,
 ) -> DataFrame:
     """(entity, fold, bag, target, p): each model scores its held-out fold and the unlabelled rows.
 
-    ``df`` has ``features`` and the label; ``estimator(seed)`` builds an
-    untrained model that may read ``weight`` (class balance) and ``held_out``.
-    Held-out rows carry their target, unlabelled rows a null.  Fitting is
-    distributed; the loop on the driver only starts the fits.  Folds without
-    rows are skipped.
+    ``df`` has ``features`` and the label; ``estimator(seed)`` builds an untrained model that may
+    read ``weight`` (class balance).  Held-out rows carry their target, unlabelled rows a null.
+    Fitting is distributed; the loop on the driver only starts the fits.  All bags of a fold
+    score in one pass, and each fold is stored when it is ready.  Folds without rows are skipped.
     """
     used = settle(df.select(F.col(entity).alias("entity"), F.col(label).cast("double").alias(
         "target"), F.col(fold).alias("fold"), "features"), "training")
-    scores = []
+    # a row per fold and class
+    sizes = used.where(F.col("fold").isNotNull()).groupBy("fold", "target").count().collect()
+    parts = []
     for f in range(n_folds):
-        train, held = fold_split(used, f)
-        if held.isEmpty() or train.isEmpty():
+        classes: dict[float, int] = {}
+        for r in sizes:
+            if r["fold"] != f:
+                classes[r["target"]] = classes.get(r["target"], 0) + r["count"]
+        if not classes or all(r["fold"] != f for r in sizes):
             continue
-        weights = balanced_weight(train).select(F.lit(False).alias("held_out"), "*")
-        watch = held.select(F.lit(True).alias("held_out"), "*", F.lit(1.0).alias("weight"))
-        rows = stack([weights, watch])
-        scored = used.where((F.col("fold") == f) | F.col("fold").isNull())
+        train, held = fold_split(used, f)
+        train = train.withColumn("weight", _class_weight(classes))
+        held = held.withColumn("weight", F.lit(1.0))
+        rows, bags = used.where((F.col("fold") == f) | F.col("fold").isNull()), []
         for bag in range(n_bags):
-            model = estimator(seed + f * n_bags + bag)
-            watches = model.hasParam("validationIndicatorCol") and model.isSet(
-                "validationIndicatorCol")
-            fitted = model.fit(rows if watches else rows.where(~F.col("held_out")))
-            scores.append(fitted.transform(scored).select(
-                "entity", F.lit(f).alias("fold"), F.lit(bag).alias("bag"), "target",
-                vector_to_array("probability")[1].alias("p")))
-    if not scores:
+            fitted = _fit(estimator(seed + f * n_bags + bag), train, held, best_round)
+            for name in ("Probability", "RawPrediction", "Prediction"):
+                getattr(fitted, f"set{name}Col")(f"{name}_{bag}")
+            rows = fitted.transform(rows)
+            bags.append(F.struct(F.lit(bag).alias("bag"), vector_to_array(
+                f"Probability_{bag}")[1].alias("p")))
+        scored = rows.select("entity", F.lit(f).alias("fold"), "target",
+                             F.explode(F.array(*bags)).alias("b"))
+        parts.append(settle(scored.select("entity", "fold", "b.bag", "target", "b.p"), "scores"))
+    if not parts:
         raise ValueError("no fold has both training and held-out rows")
-    return settle(stack(scores), "scores")
+    return stack(parts)
 
 
 def fold_auc(scores: DataFrame, slices: int | None = None) -> DataFrame:

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import count_char, count_digits, integer_div, pad_sequence
 from ..session import settle
 from .gaps import group_gap
-from .keys import attach, code_table
+from .keys import attach, attach_by_fold, code_table
 from .ordered import over_ordered
+from .rollup import rollup_stats
+from .target_stats import target_stats
 
 CHUNK_ROWS = 100_000
-_GROUP_LIMIT = 1_000  # up to here Spark trims each group before the shuffle
 
 
 def collect_sequence(
@@ -44,17 +45,13 @@ def collect_sequence(
 
 def last_rows(
     log: DataFrame, n: int, entity: str = "entity", order: Sequence[str] = ("us", "rid"),
-    slices: int | None = None,
+    rows: int | None = None, slices: int | None = None,
 ) -> DataFrame:
     """The last n rows of every entity, with ``back`` counting from 1 at the very last.
 
-    A small n is cut down on the map side already; beyond that the position comes
-    from slices.
+    Positions and sizes come from slices, so a hot entity's rows stay in many tasks.
     """
-    if n <= _GROUP_LIMIT:
-        w = Window.partitionBy(entity).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-        return log.withColumn("back", F.row_number().over(w)).where(F.col("back") <= n)
-    placed = over_ordered(log, [entity], order, index="__at", size="__n", slices=slices)
+    placed = over_ordered(log, [entity], order, index="__at", size="__n", rows=rows, slices=slices)
     return (
         placed.withColumn("back", F.col("__n") - F.col("__at"))
         .where(F.col("back") <= n).drop("__at", "__n")
@@ -66,7 +63,7 @@ def padded_sequences(
     order: Sequence[str] = ("us", "rid"), slices: int | None = None,
 ) -> DataFrame:
     """One row per entity: arrays of exactly n integers, zeros first, the last n kept."""
-    tail = last_rows(log.where(F.col(entity).isNotNull()), n, entity, order, slices)
+    tail = last_rows(log.where(F.col(entity).isNotNull()), n, entity, order, slices=slices)
     return _pad(tail, cols, n, entity)
 
 
@@ -81,14 +78,16 @@ def sequence_inputs(
     product: str = "product", us: str = "us", tie: Sequence[str] = ("rid",),
     slices: int | None = None,
 ) -> DataFrame:
-    """Padded code sequences of actor, product and actor gap, with the count inputs.
+    """Padded code sequences of actor, product and actor gap, with the 13 scalar inputs.
 
-    The log is cut to the last n rows per entity before codes are joined to it.
+    The log carries ``target`` and ``fold``: four of the scalars are the mean and deviation over
+    the entity's rows of the actor's leave-fold-out mean and deviation.  The log is cut to the last n rows per entity before codes are joined to it.
     """
-    shared = dict(us=us, tie=tie, source=log, rows=log.count(), slices=slices)
+    shared = dict(us=us, tie=tie, rows=log.count(), slices=slices)
     gaps = group_gap(log, actor, "gap_actor", null_group=True, **shared)
     gaps = settle(gaps.fillna(-1.0, subset=["gap_actor"]), "gaps")
-    tail = last_rows(gaps.where(F.col(entity).isNotNull()), n, entity, (us, *tie), slices)
+    tail = last_rows(gaps.where(F.col(entity).isNotNull()), n, entity, (us, *tie),
+                     shared["rows"], slices)
     for c in (actor, product, "gap_actor"):
         codes = code_table(gaps if c == "gap_actor" else log, c, slices)
         tail = attach(tail, codes.withColumnRenamed("code", f"{c}_code"), c).withColumn(
@@ -99,7 +98,10 @@ def sequence_inputs(
         (F.count_distinct(actor) + F.max(F.col(actor).isNull().cast("int"))).alias("n_actors"),
         F.count_distinct(product).alias("n_products"),
     )
-    return _pad(tail, coded, n, entity).join(counts, entity).select(
+    encoded = attach_by_fold(
+        log.select(entity, actor, "fold"), target_stats(log, actor, prefix="actor"), actor)
+    stats = rollup_stats(encoded, entity, ["actor_mean", "actor_std"], ["mean", "std"], fill=-1.0)
+    return _pad(tail, coded, n, entity).join(counts, entity).join(stats, entity).select(
         "*", *char_counts(entity))
 
 
@@ -118,7 +120,7 @@ def vocab_sizes(
     Codes run from 0 without holes, so the largest code + 1 is a distinct count.
     Null actors count as one actor when gaps are taken, because they are coded first.
     """
-    shared = dict(us=us, tie=tie, source=log, rows=log.count(), slices=slices)
+    shared = dict(us=us, tie=tie, rows=log.count(), slices=slices)
     gaps = group_gap(log, None, "gap", **shared)
     gaps = group_gap(gaps, actor, "gap_actor", null_group=True, **shared)
     gaps = gaps.fillna(-1.0, subset=["gap", "gap_actor"])

@@ -41,18 +41,18 @@ def target_rollup(log: DataFrame, **options) -> DataFrame:
 
 def feature_table(
     log: DataFrame, entities: DataFrame, *, group_rows: int = GROUP_ROWS,
-    slices: int | None = None,
+    slices: int | None = None, gaps: DataFrame | None = None,
 ) -> DataFrame:
     """183 numeric columns per entity, from one wide aggregation of the enriched log.
 
-    Entities without log rows keep nulls (scale_columns() fills them).
+    ``gaps`` is the log with all_gaps(), where it is stored already.  Entities without log rows keep nulls (scale_columns() fills them).
     """
     stats = {k: target_stats(log, k) for k in ("actor", "product")}
-    rows = all_gaps(log, slices=slices)
+    rows = all_gaps(log, slices=slices) if gaps is None else gaps
     for key, table in stats.items():
         rows = attach_by_fold(rows, table, key)
-    rows = rows.fillna(-1.0, subset=GAP_COLS).select(
-        "*", *date_parts(F.timestamp_micros("us")))
+    rows = settle(rows.fillna(-1.0, subset=GAP_COLS).select(
+        "*", *date_parts(F.timestamp_micros("us"))), "enriched")
     latest = log.agg(F.max("us")).first()[0]
     cols = [*TARGET_COLS, *DATE_PARTS, *GAP_COLS]
     per_entity = rollup_stats(
@@ -78,11 +78,13 @@ def user_matrix(log: DataFrame, rank: int, **options) -> Matrix:
 
 
 def token_matrices(
-    log: DataFrame, product_rank: int, *, slices: int | None = None, **options
+    log: DataFrame, product_rank: int, *, slices: int | None = None, buckets: int = 2**29,
+    hashing: str = "xxhash64", **options
 ) -> tuple[Matrix, Matrix]:
     """(hashed actor sequences, latent factors of hashed product sequences)"""
-    actor = hashed_ngrams(log, "actor", buckets=2**29, slices=slices)
-    product = hashed_ngrams(log, "product", weights=(1.0, 1.0), tf="count", slices=slices)
+    actor = hashed_ngrams(log, "actor", buckets=buckets, hashing=hashing, slices=slices)
+    product = hashed_ngrams(log, "product", weights=(1.0, 1.0), tf="count", hashing=hashing,
+                            slices=slices)
     return (
         reindex(min_doc_freq(actor, LIMITS["actor"]), slices),
         factor_matrix(min_doc_freq(product, LIMITS["product"]), product_rank, slices=slices,
@@ -91,12 +93,15 @@ def token_matrices(
 
 
 def gap_matrix(
-    gaps: DataFrame, ranks: Mapping[str, int], *, slices: int | None = None, **options
+    gaps: DataFrame, ranks: Mapping[str, int], *, slices: int | None = None,
+    buckets: int = 2**28, hashing: str = "xxhash64", **options
 ) -> Matrix:
     """Hashed sequences of the four gaps; the last three as latent factors."""
     blocks = []
     for c in GAP_COLS:
-        coo = min_doc_freq(hashed_ngrams(gaps, c, slices=slices), LIMITS[c])
+        coo = min_doc_freq(hashed_ngrams(
+            gaps, c, hashing=hashing, slices=slices,
+            buckets=buckets if c == "gap" else 2**28), LIMITS[c])
         blocks.append(reindex(coo, slices) if c == "gap" else factor_matrix(
             coo, ranks[c], slices=slices, **options))
     return hstack(blocks)
@@ -104,19 +109,26 @@ def gap_matrix(
 
 def feature_matrix(
     log: DataFrame, entities: DataFrame, *, ranks: Mapping[str, int] = RANKS,
-    slices: int | None = None, group_rows: int = GROUP_ROWS, **options,
+    slices: int | None = None, group_rows: int = GROUP_ROWS, actor_buckets: int = 2**29,
+    gap_buckets: int = 2**28, hashing: str = "xxhash64", **options,
 ) -> Matrix:
-    """All blocks side by side: table, user, actor, product, gaps."""
-    table = feature_table(log, entities, group_rows=group_rows, slices=slices)
+    """All blocks side by side: table, user, actor, product, gaps.
+
+    The actor and gap blocks go to the model as they are, up to one column per bucket.  A tree
+    model keeps split candidates of every column on the driver: give it fewer buckets (2**16,
+    say), which merges tokens and drops none.
+    """
+    gaps = settle(all_gaps(log, slices=slices), "gaps")
+    table = feature_table(log, entities, group_rows=group_rows, slices=slices, gaps=gaps)
     cols = feature_columns(table)
     scaled = scale_columns(settle(table, "features"), cols)
-    gaps = settle(all_gaps(log, slices=slices), "gaps")
     options["row_codes"] = settle(code_table(entities, "entity", slices), "rows")
-    actor, product = token_matrices(log, ranks["product"], slices=slices, **options)
+    actor, product = token_matrices(log, ranks["product"], slices=slices, buckets=actor_buckets,
+                                    hashing=hashing, **options)
     return hstack([
         to_coo(scaled, cols),
         user_matrix(log, ranks["user"], slices=slices, **options),
         actor,
         product,
-        gap_matrix(gaps, ranks, slices=slices, **options),
+        gap_matrix(gaps, ranks, slices=slices, buckets=gap_buckets, hashing=hashing, **options),
     ])

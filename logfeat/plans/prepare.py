@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import sentinel_to_null
+from ..functions import nan_to_null, sentinel_to_null
 from ..operators.keys import attach, exclude, stack, stratified_folds
 from ..sources import read_exceptions, read_labels, read_log, read_table
 
@@ -31,7 +31,7 @@ def prepare(
             "train", F.lit(True)),
         exclude(read_labels(spark, test), read_exceptions(spark, test_exceptions)).withColumn(
             "train", F.lit(False)),
-    ]).withColumn("target", sentinel_to_null("target"))
+    ]).withColumn("target", sentinel_to_null(nan_to_null("target")))
     known.write.parquet(f"{out}/known")
     known = read_table(spark, f"{out}/known")
     # a test row stays without a fold whatever its target says

@@ -61,13 +61,3 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Repartition by a unique key, but only if fewer files than cores feed ``df``.
-
-    One small file may hold a single row group, and then one task does all the
-    work up to the first shuffle.  Large inputs have files enough and stay put.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df

@@ -8,34 +8,37 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import from_epoch, micros, str_key
+from ..functions import from_epoch, micros, nan_to_null, str_key
 from ..operators.keys import keep_known
 from ..operators.matrix import Matrix
 
 LABELS = "entity string, target double"
 EXCEPTIONS = "entity string"
 LOG = "entity string, actor string, epoch bigint, product string"
+STRICT = "FAILFAST"  # a line that does not fit the schema ends the job; PERMISSIVE makes nulls
 
 
-def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Header-less CSV of (entity, target)."""
-    return spark.read.schema(LABELS).csv(path)
+def read_labels(spark: SparkSession, path: str, mode: str = STRICT) -> DataFrame:
+    """Header-less CSV of (entity, target); a target that is not a number becomes null."""
+    rows = spark.read.schema(LABELS).csv(path, mode=mode)
+    return rows.withColumn("target", nan_to_null("target"))
 
 
-def read_exceptions(spark: SparkSession, path: str) -> DataFrame:
+def read_exceptions(spark: SparkSession, path: str, mode: str = STRICT) -> DataFrame:
     """Header-less tab-separated file of one column."""
-    return spark.read.schema(EXCEPTIONS).csv(path, sep="\t")
+    return spark.read.schema(EXCEPTIONS).csv(path, sep="\t", mode=mode)
 
 
 def read_log(
-    spark: SparkSession, path: str | Sequence[str], known: DataFrame | None = None
+    spark: SparkSession, path: str | Sequence[str], known: DataFrame | None = None,
+    mode: str = STRICT,
 ) -> DataFrame:
     """Every header-less log CSV under a path or glob, as one scan.
 
     Rows of entities that are not in ``known`` are left out.  ``us`` is the time in
     microseconds; a missing product becomes the text 'nan', a missing actor stays null.
     """
-    log = spark.read.schema(LOG).csv(path)
+    log = spark.read.schema(LOG).csv(path, mode=mode)
     if known is not None:
         log = keep_known(log, known)
     ts = from_epoch("epoch")

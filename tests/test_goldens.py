@@ -215,6 +215,55 @@ def test_hstack_offsets_follow_declared_widths(spark):
     assert sorted(r["feature"] for r in both.coo.collect()) == [0, 5]
 
 
+def test_dense_names_every_feature(spark):
+    coo = spark.createDataFrame([("a", 6, 1.0)], "entity string, feature bigint, value double")
+    with pytest.raises(ValueError):
+        matrix.to_dense(matrix.Matrix(coo, 7), [f"f{i}" for i in range(5)])
+    assert one(matrix.to_dense(matrix.Matrix(coo, 7), [f"f{i}" for i in range(7)]))["f6"] == 1.0
+
+
+def test_both_hashes_give_the_same_cells(spark):
+    """Tokens, counts, weights and lengths agree; only bucket numbers differ."""
+    rows = [(f"e{i % 3}", f"t{i * 7 % 11}", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "entity string, token string, at bigint")
+    for tf in ("binary", "count"):
+        cells = {h: sorted((r["entity"], round(r["value"], 12)) for r in matrix.hashed_ngrams(
+            df, "token", order=["at"], tf=tf, hashing=h).collect()) for h in ("md5", "xxhash64")}
+        assert cells["md5"] == cells["xxhash64"]
+
+
+def test_boosting_builds_many_trees_by_default(spark):
+    rows = [(f"e{i}", float((i * 37 % 101 + 25 * (i * i * 13 % 7)) > 120), i % 3,
+             1.0 + i * 37 % 101, 1.0 + i * i * 13 % 7) for i in range(300)]
+    df = spark.createDataFrame(rows, "entity string, target double, fold int, a double, b double")
+    block = matrix.to_coo(df.select("entity", "a", "b"), ["a", "b"])
+    table = keys.attach(df.select("entity", "target", "fold"), matrix.to_vectors(block))
+    train = table.withColumn("weight", F.lit(1.0))
+
+    def model(n):
+        return scoring.gbt(3, rounds=n, depth=2, leaf_rows=1)  # the default step
+
+    many = model(30).fit(train)
+    assert len(many.trees) == 30
+    aucs = [one(scoring.fold_auc(scoring.crossfit(
+        table, lambda seed: model(n), n_folds=1)))["auc"] for n in (1, 30)]
+    assert aucs[1] > aucs[0]
+
+
+def test_the_best_round_is_kept(spark):
+    """Held-out labels without a pattern: later rounds do harm, and are left out."""
+    rows = [(f"e{i}", float(i * 7919 % 13 < 6), i % 2, 1.0 + i) for i in range(80)]
+    df = spark.createDataFrame(rows, "entity string, target double, fold int, a double")
+    table = keys.attach(df.select("entity", "target", "fold"), matrix.to_vectors(
+        matrix.to_coo(df.select("entity", "a"), ["a"])))
+    train = table.where("fold = 1").withColumn("weight", F.lit(1.0))
+    held = table.where("fold = 0").withColumn("weight", F.lit(1.0))
+    model = scoring.gbt(1, rounds=12, step=0.9, depth=3, leaf_rows=1)
+    losses = model.fit(train).evaluateEachIteration(held)
+    kept = scoring._fit(model, train, held, True)
+    assert len(kept.trees) == losses.index(min(losses)) + 1 < 12
+
+
 def test_sparse_vectors(spark):
     cells = [("a", 7, 0.1), ("a", 2, -3.5), ("b", 0, 1e-300)]
     coo = spark.createDataFrame(cells, "entity string, feature bigint, value double")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logfeat.operators.ordered import cut_points, over_ordered, slice_number
+from logfeat.operators.ordered import SLICE, in_slices, over_ordered, slice_count
 
 
 @pytest.fixture(scope="module")
@@ -40,15 +40,24 @@ def test_same_as_one_window(rows, group, slices):
 
 def test_slices_are_balanced_even_for_one_key(spark):
     df = spark.range(20_000).select(F.lit("hot").alias("g"), "id")
-    cuts = cut_points(df, ["g", "id"], 8)
-    sizes = df.groupBy(slice_number(df, ["g", "id"], cuts).alias("s")).count().collect()
+    sizes = in_slices(df, ["g", "id"], 8).groupBy(SLICE).count().collect()
     assert len(sizes) == 8
     assert max(r["count"] for r in sizes) < 2 * 20_000 / 8
 
 
-def test_cut_points_ignore_partitioning(spark):
-    df = spark.range(5_000)
-    assert cut_points(df, ["id"], 5) == cut_points(df.repartition(7), ["id"], 5)
+def test_slices_have_no_ceiling(spark):
+    """As many slices as are asked for, about a million rows each whatever their number."""
+    assert slice_count(spark.range(1), 20_000 * 1_000_000) == 20_000
+    assert slice_count(spark.range(1), 10 ** 12) == 1_000_000
+    stored = in_slices(spark.range(60_000), ["id"], 3_000)
+    assert stored.select(SLICE).distinct().count() > 2_400
+
+
+def test_many_small_slices(spark):
+    df = spark.range(300).select((F.col("id") % 3).alias("g"), "id")
+    got = over_ordered(df, ["g"], ["id"], index="i", size="n", prev={"p": "id"}, slices=250)
+    for r in got.collect():
+        assert (r["i"], r["n"], r["p"]) == (r["id"] // 3, 100, r["id"] - 3 if r["id"] > 2 else None)
 
 
 def test_strings_and_doubles_as_keys(spark):
@@ -67,7 +76,7 @@ def test_existing_columns_are_not_overwritten(rows):
         over_ordered(rows, [], ["rid"], index="v")
 
 
-def test_other_types_are_refused(spark):
-    df = spark.range(3).select(F.current_timestamp().alias("t"))
-    with pytest.raises(TypeError):
-        over_ordered(df, [], ["t"], index="i")
+def test_times_as_keys(spark):
+    df = spark.range(30).select("id", F.timestamp_seconds(100 - F.col("id")).alias("t"))
+    got = over_ordered(df, [], ["t"], index="i", slices=4)
+    assert all(r["i"] == 29 - r["id"] for r in got.collect())

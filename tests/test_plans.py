@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from logfeat import plans
+from logfeat import plans, sources
 from logfeat.operators import scoring
 from logfeat.operators.factors import latent_factors
 from logfeat.plans.features import feature_columns
@@ -49,6 +49,32 @@ def test_prepare(prepared):
     assert log.where("product = 'nan'").count() > 0 and log.where("product IS NULL").count() == 0
 
 
+def test_targets_that_are_no_numbers_and_broken_lines(spark, tmp_path):
+    (tmp_path / "labels.csv").write_text("a,1\nb,NaN\nc,0.5\n")
+    rows = {r["entity"]: r["target"] for r in sources.read_labels(
+        spark, str(tmp_path / "labels.csv")).collect()}
+    assert rows == {"a": 1.0, "b": None, "c": 0.5}
+    (tmp_path / "log.csv").write_text("a,x,100,p\na,x,not a time,p\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        sources.read_log(spark, str(tmp_path / "log.csv")).collect()
+    loose = sources.read_log(spark, str(tmp_path / "log.csv"), mode="PERMISSIVE")
+    assert loose.where("us IS NULL").count() == 1
+
+
+def test_scratch_without_a_preset_folder(spark, monkeypatch):
+    from logfeat import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return None if key == "spark.checkpoint.dir" else spark.conf.get(key, default)
+
+    monkeypatch.setattr(type(spark), "conf", property(lambda self: Conf()))
+    path = session.scratch_path(spark, "x")
+    assert path.rsplit("/", 1)[0] == session.scratch_path(spark, "y").rsplit("/", 1)[0]
+    monkeypatch.undo()
+    assert session.settle(spark.range(3)).count() == 3
+
+
 def test_feature_table_has_183_columns(prepared):
     log, entities = prepared
     table = plans.feature_table(log, entities)

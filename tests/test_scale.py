@@ -63,9 +63,10 @@ def test_hot_entity_is_ranked_in_slices(log):
         assert exact["hot"][c] == pytest.approx(split["hot"][c])
 
 
-def test_last_rows_are_trimmed_before_the_shuffle(log):
-    text = plan(sequences.last_rows(log, 100))
-    assert "WindowGroupLimit" in text and "Partial" in text
+def test_last_rows_of_a_hot_entity_come_from_slices(log):
+    windows = [line for line in plan(sequences.last_rows(log, 100, slices=6)).splitlines()
+               if "row_number()" in line]
+    assert windows and all("windowspecdefinition(__slice" in w for w in windows)
 
 
 def test_columns_and_filters_reach_the_scan(spark, log):
