@@ -13,6 +13,7 @@ from ..session import settle
 from .common import whole
 
 RARE = 32  # tokens in at most so many sets are indexed alone, others in pairs
+LOW, SKETCH = 128, 8  # tokens in 2 to LOW sets are marked in a sketch of SKETCH 64-bit words
 
 
 class Rule:
@@ -157,25 +158,66 @@ def _lonely(docs: DataFrame, rule: Rule) -> DataFrame:
         F.count(F.lit(1)).alias("alone"))
 
 
-def signatures(sets: DataFrame, rule: Rule) -> DataFrame:
-    """(sig, node, n, unique) for the sets that can link: ``sig`` is a rare token, or a pair.
+def shared_tokens(sets: DataFrame, rule: Rule) -> DataFrame:
+    """(node, n, unique, misses, shared): of the sets that can link, the tokens that other sets
+    have too, (df, token) in the order of df, the number of sets that have it.
 
-    Tokens are ordered by the number of sets that have them.  If the first misses + 1 of a set
-    are all rare, they are its prefix, each a signature: a linked set has one of them.  Otherwise
-    the prefix is longer by g: of its tokens at least g + 1 are common; if none of these is rare,
-    two of them fall into the same of g groups (by hash), and pairs within groups are signatures.
-    g follows the size in powers of two; near a change both are used, as a linked set may lie on
-    the other side.  ``unique`` counts the tokens no other set has.
+    Unique tokens come first in that order: with more of them than may be missing, nothing links.
     """
     tokens = sets.select("node", "n", F.explode("tokens").alias("token"))
     freq = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = tokens.join(freq, "token").groupBy("node", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
-    shared = shared.withColumn("unique", F.col("n") - F.size("shared")).withColumn(
-        "misses", rule.misses_col(F.col("n")))
-    # unique tokens come first in the order: beyond misses of them nothing can link
-    shared = settle(shared.where("unique <= misses"), "shared")
+    return shared.select(
+        "node", "n", (F.col("n") - F.size("shared")).alias("unique"),
+        rule.misses_col(F.col("n")).alias("misses"), "shared").where("unique <= misses")
 
+
+def profiles(shared: DataFrame) -> DataFrame:
+    """(node, low, weak, bits): what bounds the common tokens of two sets from above.
+
+    ``low`` counts the tokens in up to LOW sets.  Of them, those that others have are marked in
+    ``bits`` by hash; ``weak`` counts the marks that fell on one another.
+    """
+    marked = F.filter("shared", lambda t: t["df"] <= LOW)
+
+    def word(j: Column) -> Column:
+        return F.aggregate("marked", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.when(
+            t["token"].bitwiseAND(F.lit(SKETCH - 1)) == j, F.call_function(
+                "shiftleft", F.lit(1).cast("long"),
+                F.shiftright(t["token"], 8).bitwiseAND(F.lit(63)).cast("int"))).otherwise(
+            F.lit(0).cast("long"))))
+
+    rows = shared.select("node", "unique", marked.alias("marked"))
+    rows = rows.select("node", "unique", F.size("marked").alias("m"), F.transform(
+        F.sequence(F.lit(0), F.lit(SKETCH - 1)), word).alias("bits"))
+    set_bits = F.aggregate("bits", F.lit(0), lambda acc, x: acc + F.bit_count(x))
+    return rows.select("node", (F.col("unique") + F.col("m")).alias("low"),
+                       (F.col("m") - set_bits).alias("weak"), "bits")
+
+
+def _most_common(a: str, b: str) -> Column:
+    """A bound on the common tokens of the sets whose columns end in ``a`` and in ``b``: the
+    tokens outside ``low``, and the marks both have, with those that may hide behind another."""
+    both = sum((F.bit_count(F.get(f"bits{a}", F.lit(j)).bitwiseAND(F.get(f"bits{b}", F.lit(j))))
+                for j in range(SKETCH)), F.lit(0))
+    return F.least(F.col(f"n{a}") - F.col(f"low{a}"), F.col(f"n{b}") - F.col(f"low{b}")) + both + (
+        F.least(f"weak{a}", f"weak{b}"))
+
+
+def _ended(df: DataFrame, end: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(c + end) for c in df.columns])
+
+
+def signatures(shared: DataFrame, rule: Rule) -> DataFrame:
+    """(sig, node, n): ``sig`` is a rare token, or a pair of others.
+
+    If the first misses + 1 tokens of a set are all rare, they are its prefix, each a signature:
+    a linked set has one of them.  Otherwise the prefix is longer by g: of its tokens at least
+    g + 1 are common; if none of these is rare, two of them fall into the same of g groups (by
+    hash), and pairs within groups are signatures.  g follows the size in powers of two; near a
+    change both are used, as a linked set may lie on the other side.
+    """
     at = F.col("misses") + 1 - F.col("unique")  # prefix length among the shared tokens
     sizes = F.array_distinct(F.transform(
         F.array(F.floor(F.col("n") * rule.percent / 100), F.col("n"),
@@ -183,25 +225,25 @@ def signatures(sets: DataFrame, rule: Rule) -> DataFrame:
         lambda x: F.pow(F.lit(2), F.floor(F.log2(F.greatest(x.cast("double") / 16, F.lit(1.0))))).cast(
             "int")))
     rows = shared.select(
-        "node", "n", "unique", "shared", at.cast("int").alias("at"),
+        "node", "n", "shared", at.cast("int").alias("at"),
         (F.get("shared", (at - 1).cast("int"))["df"] > RARE).alias("longer"), sizes.alias("groups"))
-    rare = rows.select("node", "n", "unique", F.explode(F.filter(
+    rare = rows.select("node", "n", F.explode(F.filter(
         F.slice("shared", F.lit(1), F.greatest("at", F.lit(0))),
         lambda x: x["df"] <= RARE)).alias("t")).select(
-        F.xxhash64("t.token").alias("sig"), "node", "n", "unique")
+        F.xxhash64("t.token").alias("sig"), "node", "n")
     schemes = rows.where("longer").select(
-        "node", "n", "unique", "shared", "at", F.explode("groups").alias("g"))
-    pieces = schemes.select("node", "n", "unique", "g", F.explode(F.filter(
+        "node", "n", "shared", "at", F.explode("groups").alias("g"))
+    pieces = schemes.select("node", "n", "g", F.explode(F.filter(
         F.slice("shared", F.lit(1), F.col("at") + F.col("g")), lambda x: x["df"] > RARE)).alias("t"))
-    pieces = pieces.select("node", "n", "unique", "g", F.col("t.token").alias("token"),
+    pieces = pieces.select("node", "n", "g", F.col("t.token").alias("token"),
                            F.pmod(F.xxhash64(F.lit(3), "t.token"), F.col("g")).alias("group"))
-    grouped = pieces.groupBy("node", "n", "unique", "g", "group").agg(
+    grouped = pieces.groupBy("node", "n", "g", "group").agg(
         F.array_sort(F.collect_list("token")).alias("own")).where(F.size("own") > 1)
-    pairs = grouped.select("node", "n", "unique", "g", F.explode(F.flatten(F.transform(
+    pairs = grouped.select("node", "n", "g", F.explode(F.flatten(F.transform(
         "own", lambda x, i: F.transform(
             F.slice("own", i + 2, F.greatest(F.size("own") - i - 1, F.lit(0))),
             lambda y: F.xxhash64(F.col("g"), x, y))))).alias("sig"))
-    return rare.unionByName(pairs.select("sig", "node", "n", "unique"))
+    return rare.unionByName(pairs.select("sig", "node", "n"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -237,21 +279,26 @@ def components(links: DataFrame) -> DataFrame:
 def set_links(sets: DataFrame, rule: Rule) -> DataFrame:
     """(node, comp) of the sets that link to others.
 
-    Members of a bucket are first compared with one of them alone, the one with the fewest unique
-    tokens: that joins most groups of near copies.  Then every pair of a bucket that is not yet
-    in one component is compared, unless the sizes and the unique tokens of the two rule a link
-    out; members of a bucket's largest component are not paired with each other.
+    Members of a bucket are first compared with one of them alone, the one with the fewest tokens
+    that are in few sets: that joins most groups of near copies.  Then every pair of a bucket
+    that is not yet in one component is compared; members of a bucket's largest component are not
+    paired with each other.  Pairs whose profiles rule a link out never leave the join.
     """
-    marks = settle(signatures(sets, rule), "signatures")
+    shared = settle(shared_tokens(sets, rule), "shared")
+    profile = settle(profiles(shared), "profiles")
+    marks = settle(signatures(shared, rule).join(profile.select("node", "low"), "node"),
+                   "signatures")
     centre = marks.groupBy("sig").agg(
-        F.min(F.struct("unique", "node", "n")).alias("c"), F.count(F.lit(1)).alias("m")).where(
-        "m > 1").select("sig", F.col("c.node").alias("b"), F.col("c.n").alias("n_b"),
-                        F.col("c.unique").alias("u_b"))
-    most = F.least(F.col("n") - F.col("unique"), F.col("n_b") - F.col("u_b"))
-    fits = rule.possible(F.col("n"), F.col("n_b"), most)
-    first = marks.join(centre, "sig").where((F.col("node") != F.col("b")) & fits).select(
-        F.col("node").alias("a"), "b").distinct()
-    tried = settle(first, "first")
+        F.min(F.struct("low", "node", "n")).alias("c"), F.count(F.lit(1)).alias("m")).where(
+        "m > 1").select("sig", F.col("c.node").alias("b"), F.col("c.n").alias("n_b"))
+    near = rule.possible(F.col("n"), F.col("n_b"), F.least("n", "n_b"))
+    first = marks.join(centre, "sig").where((F.col("node") != F.col("b")) & near).select(
+        F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    first = settle(first, "first")
+    whole_profile = profile.join(sets.select("node", "n"), "node")
+    fits = rule.possible(F.col("n_a"), F.col("n_b"), _most_common("_a", "_b"))
+    tried = first.join(_ended(whole_profile, "_a"), F.col("a") == F.col("node_a")).join(
+        _ended(whole_profile, "_b"), F.col("b") == F.col("node_b")).where(fits).select("a", "b")
     links = settle(_verified(tried, sets, rule), "links")
     comp = components(links)
 
@@ -261,14 +308,13 @@ def set_links(sets: DataFrame, rule: Rule) -> DataFrame:
     buckets = buckets.groupBy("sig").agg(
         F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "comp")).alias("large")).where(
         "parts > 1").select("sig", F.col("large.comp").alias("large"))
-    open_rows = settle(named.join(buckets, "sig"), "open")
-    others = open_rows.where("comp != large").select(
-        "sig", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("unique").alias("u_b"),
-        F.col("comp").alias("comp_b"))
-    second = open_rows.join(others, (open_rows["sig"] == others["sig"])
-                            & (F.col("comp") != F.col("comp_b")) & fits).select(
-        F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    second = second.join(tried, ["a", "b"], "left_anti")
+    left = named.join(buckets, "sig").select("sig", "node", "n", "comp", "large")
+    left = settle(left.join(profile, "node"), "open")
+    others = _ended(left.where("comp != large"), "_b")
+    second = _ended(left, "_a").join(others, (F.col("sig_a") == F.col("sig_b")) & (
+        F.col("comp_a") != F.col("comp_b")) & fits).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    second = second.distinct().join(first, ["a", "b"], "left_anti")
     more = settle(_verified(second, sets, rule), "links")
     return comp if more.isEmpty() else components(links.unionByName(more))
 
