@@ -16,8 +16,9 @@ from .common import whole
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value: below the least piece score, as in the library
-CACHE, LONG = 150_000, 48  # segments per generation of a task's cache; longer ones are not kept
+CACHE, LONG = 350_000, 48  # segments per generation of a task's cache; longer ones are not kept
 ROWS = 500  # rows per result batch
+_NONE = None
 
 
 class Vocabulary:
@@ -39,6 +40,7 @@ class Vocabulary:
         for i in plain:
             self.automaton.add_word(pieces[i], (len(pieces[i]), i, scores[i]))
         self.automaton.make_automaton()
+        self.gap = (1, -1, 0.0)
         self.unknown_score = min((scores[i] for i in plain), default=0.0) - UNKNOWN_PENALTY
         self.bytes = {int(pieces[i][3:5], 16): i for i in range(len(pieces)) if sp.is_byte(i)}
         self.as_bytes = [
@@ -61,27 +63,24 @@ class Vocabulary:
 
         The automaton reports at each position all pieces that end there, the longest first (its
         output links); each is an edge from where it starts, whose best score is final by then.
-        A character can also be unknown.  Of equal sums the longer last piece wins.
+        A character that no piece ends at is unknown.  Of equal sums the longer last piece wins.
         """
         n = len(text)
-        best, back = [float("-inf")] * (n + 1), [(0, 0)] * (n + 1)
-        best[0], unknown, done = 0.0, self.unknown_score, 0
-        for end, (length, piece, score) in self.automaton.iter(text):
-            while done < end:  # positions where no piece has ended
-                done += 1
-                if best[done - 1] + unknown > best[done]:
-                    best[done], back[done] = best[done - 1] + unknown, (1, -1)
+        best, back = [_NONE] * (n + 1), [self.gap] * (n + 1)
+        best[0], done = 0.0, 0
+        for end, edge in self.automaton.iter(text):
+            if end != done:
+                if best[end] is _NONE or end != done + 1:
+                    self._fill(best, done, end)
+                done = end
             to = end + 1
-            total = best[to - length] + score
-            if total > best[to]:
-                best[to], back[to] = total, (length, piece)
-        while done < n:
-            done += 1
-            if best[done - 1] + unknown > best[done]:
-                best[done], back[done] = best[done - 1] + unknown, (1, -1)
+            total = best[to - edge[0]] + edge[2]
+            if best[to] is _NONE or total > best[to]:
+                best[to], back[to] = total, edge
+        self._fill(best, done, n)
         ids, at = [], n
         while at:
-            length, piece = back[at]
+            length, piece, _ = back[at]
             if piece >= 0:
                 ids.append(piece)
             elif self.bytes:
@@ -91,6 +90,12 @@ class Vocabulary:
             at -= length
         return ids[::-1], best[n]
 
+    def _fill(self, best: list, start: int, to: int) -> None:
+        """Scores of positions after ``start``, up to ``to``, that no piece ends at."""
+        for k in range(start + 1, to + 1):
+            if best[k] is _NONE:
+                best[k] = best[k - 1] + self.unknown_score
+
     def _segment(self, s: str) -> tuple[bytes, float]:
         found = self.old.get(s)
         if found is None:
