@@ -146,12 +146,12 @@ def score_quality(
     train = settle(rows.where("NOT held_out").join(known, F.col("doc_id") == F.col("_id")).select(
         "stats", "y", half.cast("int").alias("fold")), "train")
     vector = array_to_vector("stats")
-    stats = train.agg(Summarizer.metrics("mean", "std", "count").summary(vector).alias("s"),
-                      F.count(F.lit(1)).alias("n")).select("s.mean", "s.std", "n").first()
     kind = docs.schema[id_col].dataType.simpleString()
-    if not stats["n"]:
+    if train.isEmpty():
         return rows.select("doc_id", "held_out", F.lit(0.5).alias("score"),
                            F.lit(int(0.5 >= threshold)).alias("predicted"))
+    stats = train.agg(Summarizer.metrics("mean", "std").summary(vector).alias("s")).select(
+        "s.mean", "s.std").first()
     std = stats["std"].toArray()
     features = Features(stats["mean"].toArray(), np.where(std > 1e-9, std, 1.0))
     equations = normal_equations(train, features)
