@@ -146,17 +146,17 @@ def coded(rows: DataFrame, lex, kind: str) -> DataFrame:
                     found = np.fromiter(map(find, words, missing), np.int64, len(words))
                     found = np.append(found, 0)
                     own = x.token[found]
-                    other: Counter = Counter()
-                    for i in np.flatnonzero(found < 0):
-                        w = words[i]
-                        other[w] += 1
-                        own[i] = first_tail + zlib.crc32(w[-2:]) % TAILS
+                    at = np.flatnonzero(found < 0)
+                    missed = [words[i] for i in at.tolist()]
+                    ends = (zlib.crc32(w[-2:]) for w in missed)
+                    own[at] = first_tail + np.fromiter(ends, np.int64, len(missed)) % TAILS
+                    other = Counter(missed)
                     hit = found[found >= 0]
                     ids.append(own)
                     known.append(len(hit))
                     plus.append(float(x.plus[hit].sum()))
                     inner.append(float(x.inner[hit].sum()))
-                    rare.append([w.decode() for w in other])
+                    rare.append(b" ".join(other).decode().split(" ") if other else [])
                     times.append(list(other.values()))
                 sizes = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
