@@ -16,6 +16,7 @@ from .common import ship, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD = r"[^\x20\x09-\x0D]+"
+AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORDS_SQL = f"regexp_extract_all(coalesce(text, ''), '{WORD}')"
 
 
@@ -216,6 +217,26 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
   sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+        "op9_shingle_join": f"""WITH RECURSIVE
+words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{AZ}',
+  '{AZ.lower()}'), '{WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * common >= 90 * (a.n + b.n - common)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT id, y FROM reach JOIN edges ON other = x)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM documents d JOIN reach ON id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id""",
         "op10_line_dedup": f"""WITH {lines_sql()}
 SELECT doc_id, n_lines, n_dropped, new_text AS text FROM stripped""",
     }

@@ -34,7 +34,8 @@ GIVEN = {
 }
 TITLES = {"Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Mrs": "f",
           "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f",
-          "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
+          "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
+          "Dr": "x", "Doctor": "x", "Prof": "x", "Professor": "x"}  # x: not told
 # fixed values: parts of invented names
 _PARTS = {
     "latin": ("bel cor dan fen gal hol jar kel lor mer nor pel quin ros sel tan vel wen yar zel",
@@ -53,7 +54,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _DIGITS = re.compile(
     rf"(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<card>(?<!\w)[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}(?!\w))"
+    r"|(?P<card>(?<!\w)[2-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}(?!\w))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\w)"
     r"|(?<!\w)\+\d{10,14}(?!\w))")
 _SECRET = re.compile(r"\bAKIA[0-9A-Z]{16}\b|(?<=password=)[^\s\"']+|(?<=token = \")[^\s\"]+")
@@ -98,6 +99,7 @@ def _names(text: str) -> list[Span]:
             else:
                 surnames[tokens[at].group()] = True
                 continue
+            gender = _GENDER.get(tokens[at].group(), gender)
         given = tokens[at]
         spans.append(Span(given.start(), given.end(), f"given_{gender}", given.group().casefold()))
         taken.add(at)

@@ -275,6 +275,13 @@ def test_surrogates_keep_form_gender_and_script():
     assert new == surrogates.replace(TEXT, {})[0] != surrogates.replace(TEXT, {}, b"other key")[0]
 
 
+def test_titles_without_a_gender():
+    new, kinds = surrogates.replace("Dr. Adams and Prof. Maria Curie; later Adams met Curie.", {})
+    assert Counter(kinds) == {"surname": 4, "given_f": 1} and "Adams" not in new
+    first, later = re.findall(r"Dr\. (\w+)|later (\w+)", new)
+    assert first[0] == later[1]
+
+
 def test_clean_texts_stay():
     for text in ("", "No one here: 12.5 % of 1,000 in 2024-05-06, version 1.2.3.4.5, 99 red.",
                  "Licensed under CC BY-NC 4.0. The May sun, Mark my words, a Rose is red."):
