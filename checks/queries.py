@@ -367,19 +367,21 @@ def doc_freq(spark, d):
 
 
 def _word_cells(spark, d):
-    return matrix.hashed_ngrams(src.word_tokens(spark, d), "token", order=["at"], hashing="md5")
+    """Of words that lie in one array per document already: nothing to order."""
+    docs = src.documents(spark, d).select(
+        F.col("doc_id").cast("string").alias("entity"), F.split("text", " ").alias("words"))
+    return matrix.hashed_list_ngrams(docs, "words", hashing="md5")
 
 
 @query
 def hashed_ngrams(spark, d):
-    return tidy(_word_cells(spark, d))
+    return tidy(matrix.hashed_ngrams(
+        src.word_tokens(spark, d), "token", order=["at"], hashing="md5"))
 
 
 @query
 def hashed_lists(spark, d):
-    docs = src.documents(spark, d).select(
-        F.col("doc_id").cast("string").alias("entity"), F.split("text", " ").alias("words"))
-    return tidy(matrix.hashed_list_ngrams(docs, "words", hashing="md5"))
+    return tidy(_word_cells(spark, d))
 
 
 @query
