@@ -53,6 +53,15 @@ def partitions(rows: int, per_part: int) -> int:
     return max(1, -(-rows // per_part))
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def narrow(stored: DataFrame) -> DataFrame:
+    """``stored``, a stored table of an id or two per row, marked for broadcasting if it has at
+    most BROADCAST_ROWS rows (some ten MB); a larger one is left to a shuffled join."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 _SHIPPED: set[str] = set()
 
 

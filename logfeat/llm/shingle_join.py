@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .common import whole
+from .common import narrow, whole
 
 RARE = 32  # tokens in at most so many sets are indexed alone, others in pairs
 LOW, SKETCH = 128, 8  # tokens in 2 to LOW sets are marked in a sketch of SKETCH 64-bit words
@@ -164,11 +164,11 @@ def shared_tokens(sets: DataFrame, rule: Rule) -> DataFrame:
 
     Unique tokens come first in that order: with more of them than may be missing, nothing links.
     """
-    tokens = sets.select("node", "n", F.explode("tokens").alias("token"))
+    tokens = sets.select("node", F.explode("tokens").alias("token"))
     freq = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = tokens.join(freq, "token").groupBy("node", "n").agg(
+    shared = tokens.join(freq, "token").groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
-    return shared.select(
+    return shared.join(sets.select("node", "n"), "node").select(
         "node", "n", (F.col("n") - F.size("shared")).alias("unique"),
         rule.misses_col(F.col("n")).alias("misses"), "shared").where("unique <= misses")
 
@@ -347,10 +347,13 @@ def near_groups(
     left = nodes.where(F.col("n") >= rule.least).join(alone, "node", "left").where(
         F.coalesce("alone", F.lit(0)) <= rule.misses_col(F.col("n")))
     left = settle(left.select("node", "rep"), "left")
-    reps = left.select(F.col("rep").alias("_rep")).distinct()
-    texts = rows.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
-    sets = full_sets(texts, rule).join(left.select("node"), "node", "left_semi")
-    sets = settle(sets.dropDuplicates(["node"]), "sets")
+    reps = settle(left.select(F.col("rep").alias("_rep")).distinct(), "reps")
+    texts = rows.join(narrow(reps), F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
+    sets = full_sets(texts, rule)
+    repeated = sizes.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if not repeated.isEmpty():  # else each of these ids has one row, and so one node
+        sets = sets.join(left.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = settle(sets, "sets")
     comp = set_links(sets, rule)
 
     # rows that share an id are one document: its nodes are linked too
@@ -377,5 +380,6 @@ def keep_one(
 ) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their component, and those without id."""
     groups = near_groups(docs, id_col=id_col, text=text, **options)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = narrow(settle(gone, "gone"))
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
