@@ -1,5 +1,6 @@
 """Raw files to predictions, once, on a small made log."""
 
+import os
 import random
 
 import pytest
@@ -69,10 +70,12 @@ def test_scratch_without_a_preset_folder(spark, monkeypatch):
             return None if key == "spark.checkpoint.dir" else spark.conf.get(key, default)
 
     monkeypatch.setattr(type(spark), "conf", property(lambda self: Conf()))
-    path = session.scratch_path(spark, "x")
-    assert path.rsplit("/", 1)[0] == session.scratch_path(spark, "y").rsplit("/", 1)[0]
-    monkeypatch.undo()
-    assert session.settle(spark.range(3)).count() == 3
+    monkeypatch.setattr(session, "_LOCAL_ROOTS", {})
+    folder = os.path.dirname(session.scratch_path(spark, "x"))
+    assert folder == os.path.dirname(session.scratch_path(spark, "y"))
+    assert session.settle(spark.range(3)).count() == 3 and os.listdir(folder)
+    session.clear_scratch(spark)
+    assert not os.path.exists(folder)
 
 
 def test_feature_table_has_183_columns(prepared):
