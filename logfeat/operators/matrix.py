@@ -180,7 +180,9 @@ def to_vectors(matrix: Matrix, out: str = "features") -> DataFrame:
     """(entity, sparse ML vector); a row holds at most ``width`` cells.
 
     Spark has no built-in for sparse vectors from arrays.  from_json() knows the
-    vector type, and doubles survive the text form unchanged.
+    vector type, and doubles survive the text form unchanged.  Measured on 5 million
+    cells, 100 to an entity, 8 threads, warm: the sorted lists alone take 0.9 s, with
+    this form 1.6 s, with an Arrow function that returns the vector type 1.9 s.
     """
     cells = F.array_sort(F.collect_list(F.struct(F.col("feature").cast("int").alias("i"), "value")))
     rows = matrix.coo.groupBy("entity").agg(cells.alias("__cells"))
