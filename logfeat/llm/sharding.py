@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,6 +13,7 @@ from ..session import settle
 from .common import partitions, whole
 
 N_SHARDS, TASK_GROUPS, SLOT_ROWS = 8, 100_000, 50_000
+DRIVER_PARTS = 5_000  # partial partitions that the driver combines; more go through tasks first
 
 
 def differencing(parts: list[list[int]], k: int) -> list[list[int]]:
@@ -64,16 +65,56 @@ def _task_shards(groups: DataFrame, k: int) -> DataFrame:
         spread, "k1 long, k2 long, part long, bytes long, place int")
 
 
+def _joined(sums: dict[int, list[int]], k: int) -> list[tuple[int, int, int]]:
+    """(part, place, shard) of partial partitions, combined."""
+    parts = sorted(sums)
+    final = differencing([sums[p] for p in parts], k)
+    return [(p, j, s) for p, where in zip(parts, final) for j, s in enumerate(where)]
+
+
+def _by_part(rows, k: int) -> dict[int, list[int]]:
+    sums: dict[int, list[int]] = {}
+    for part, place, b in rows:
+        sums.setdefault(part, [0] * k)[place] = b
+    return sums
+
+
+def combined(sums: DataFrame, k: int, driver_parts: int = DRIVER_PARTS) -> DataFrame:
+    """(part, place, shard) from (part, place, bytes), one row for each place of each part.
+
+    Up to ``driver_parts`` parts are combined by the driver, ``k`` numbers each.  More are first
+    combined by tasks, as many at a time, to fewer parts.
+    """
+    sums = settle(sums, "sums")
+    n = sums.select("part").distinct().count()
+    if n <= driver_parts:
+        rows = _joined(_by_part(sums.select("part", "place", "bytes").collect(), k), k)
+        return sums.sparkSession.createDataFrame(rows, "part long, place int, shard int")
+
+    def step(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = _joined(_by_part(pdf[["part", "place", "bytes"]].itertuples(index=False), k), k)
+        out = pd.DataFrame(rows, columns=["part", "place", "up_place"])
+        return out.merge(pdf, "left", on=["part", "place"]).fillna({"up": pdf["up"].iloc[0], "bytes": 0})
+
+    up = sums.withColumn("up", F.pmod("part", F.lit(partitions(n, driver_parts))))
+    up = settle(up.groupBy("up").applyInPandas(
+        step, "part long, place int, bytes long, up long, up_place int"), "combined")
+    higher = combined(up.groupBy(F.col("up").alias("part"), F.col("up_place").alias("place")).agg(
+        F.sum("bytes").alias("bytes")), k, driver_parts)
+    higher = higher.select(F.col("part").alias("up"), F.col("place").alias("up_place"), "shard")
+    return up.join(higher, ["up", "up_place"]).select("part", "place", "shard")
+
+
 def shard(
     docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", n_shards: int = N_SHARDS,
-    task_groups: int = TASK_GROUPS, slot_rows: int = SLOT_ROWS,
+    task_groups: int = TASK_GROUPS, slot_rows: int = SLOT_ROWS, driver_parts: int = DRIVER_PARTS,
 ) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every row of ``docs``.
 
     Equal texts form a group that stays together (128-bit text hashes).  Differencing runs in
     each task over about ``task_groups`` groups and gives one partial partition: ``n_shards``
-    sums.  The driver goes on with these alone, in the same way.  So tasks see a bounded number
-    of groups, and the driver a few numbers per task.  A group larger than a fair share takes a
+    sums.  ``combined`` goes on with these alone, in the same way.  So tasks see a bounded number
+    of groups, and the driver the sums of at most ``driver_parts`` partial partitions.  A group larger than a fair share takes a
     shard nearly to itself; nothing is split.
 
     Slots count from 0 within a shard: numbered in buckets of about ``slot_rows`` rows that start
@@ -90,13 +131,8 @@ def shard(
     groups = rows.groupBy("k1", "k2").agg(F.sum("size").alias("bytes")).withColumn(
         "part", F.pmod(F.xxhash64("k2"), F.lit(partitions(n, task_groups))))
     placed = settle(_task_shards(groups, n_shards), "places")
-    sums: dict[int, list[int]] = {}
-    for r in placed.groupBy("part", "place").agg(F.sum("bytes").alias("b")).collect():
-        sums.setdefault(r["part"], [0] * n_shards)[r["place"]] = r["b"]
-    parts = sorted(sums)
-    final = differencing([sums[p] for p in parts], n_shards)
-    table = _table(docs.sparkSession, [
-        (p, j, s) for p, where in zip(parts, final) for j, s in enumerate(where)])
+    sums = placed.groupBy("part", "place").agg(F.sum("bytes").alias("bytes"))
+    table = combined(sums, n_shards, driver_parts)
     of_group = placed.join(table, ["part", "place"]).select("k1", "k2", "shard")
 
     bucket = F.pmod(F.xxhash64("doc_id", "row"), F.lit(partitions(n, slot_rows)))
@@ -110,7 +146,3 @@ def shard(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("start") + F.col("at")).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
-
-
-def _table(spark: SparkSession, rows: list[tuple[int, int, int]]) -> DataFrame:
-    return spark.createDataFrame(rows, "part long, place int, shard int")
