@@ -125,7 +125,7 @@ def lexicon(counts: DataFrame) -> Lexicon:
                    sums["n"] or 0, sums["v"])
 
 
-_CODED = ("row long, doc_id {kind}, held_out boolean, ids array<short>, known long, plus double, "
+_CODED = ("row long, doc_id {kind}, held_out boolean, ids binary, known long, plus double, "
           "inner double, rare array<string>, times array<int>")
 
 
@@ -152,17 +152,15 @@ def coded(rows: DataFrame, lex, kind: str) -> DataFrame:
                     own[at] = first_tail + np.fromiter(ends, np.int64, len(missed)) % TAILS
                     other = Counter(missed)
                     hit = found[found >= 0]
-                    ids.append(own)
+                    ids.append(own.tobytes())
                     known.append(len(hit))
                     plus.append(float(x.plus[hit].sum()))
                     inner.append(float(x.inner[hit].sum()))
                     rare.append(b" ".join(other).decode().split(" ") if other else [])
                     times.append(list(other.values()))
-                sizes = np.cumsum([0] + [len(i) for i in ids]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), batch.column(1), batch.column(2),
-                    pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(ids))),
-                    pa.array(known, pa.int64()), pa.array(plus, pa.float64()),
+                    pa.array(ids, pa.binary()), pa.array(known, pa.int64()), pa.array(plus, pa.float64()),
                     pa.array(inner, pa.float64()), pa.array(rare, pa.list_(pa.string())),
                     pa.array(times, pa.list_(pa.int32())),
                 ], names=["row", "doc_id", "held_out", "ids", "known", "plus", "inner", "rare",
@@ -171,10 +169,10 @@ def coded(rows: DataFrame, lex, kind: str) -> DataFrame:
     return rows.select("row", "doc_id", "held_out", "text").mapInArrow(batches, schema)
 
 
-def _texts(batch: pa.RecordBatch, name: str = "ids") -> list[np.ndarray]:
-    column = batch.column(batch.schema.get_field_index(name))
-    flat, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    return [flat[a:b].astype(np.int32) for a, b in zip(at[:-1], at[1:])]
+def _texts(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The column ``ids``: 16-bit tokens of whole texts, as bytes."""
+    column = batch.column(batch.schema.get_field_index("ids"))
+    return [np.frombuffer(b, np.int16).astype(np.int32) for b in column.to_pylist()]
 
 
 def train(
@@ -217,16 +215,16 @@ def score_texts(rows: DataFrame, lex, weights: np.ndarray, kind: str) -> DataFra
     """(row, doc_id, held_out, n_tokens, known, plus, part): log10 of all but the rare words."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(lex.value.shape, weights)
-        held: list[pa.RecordBatch] = []
+        held: list[tuple[pa.RecordBatch, list[np.ndarray]]] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            texts = [ids for b in held for ids in _texts(b)]
+            texts = [ids for _, own in held for ids in own]
             parts = net.score(texts) / math.log(10)
             at = 0
-            for b in held:
+            for b, ids in held:
                 own = parts[at:at + b.num_rows] + b.column(5).to_numpy()
-                sizes = np.diff(b.column(6).offsets.to_numpy()).astype(np.int64)
+                sizes = np.array([len(i) for i in ids], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), b.column(2), pa.array(sizes), b.column(3),
                      b.column(4), pa.array(own)],
@@ -234,8 +232,8 @@ def score_texts(rows: DataFrame, lex, weights: np.ndarray, kind: str) -> DataFra
                 at += b.num_rows
 
         for batch in it:
-            held.append(batch)
-            size += len(batch.column(6).values)
+            held.append((batch, _texts(batch)))
+            size += sum(map(len, held[-1][1]))
             if size >= CHUNK:
                 yield from flush()
                 held, size = [], 0
