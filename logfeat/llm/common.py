@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import os
-import shutil
-import tempfile
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 WHITE = " \t\n\x0b\f\r"
 _GAP = r"[ \x09-\x0D]+"
 
@@ -66,12 +68,26 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application.
+
+    The archive lies in the shared scratch folder.
+    """
     app = spark.sparkContext.applicationId
-    if app not in _SHIPPED:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        root, name = os.path.split(package)
-        zipped = shutil.make_archive(
-            os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), name), "zip", root, name)
-        spark.sparkContext.addPyFile(zipped)
-        _SHIPPED.add(app)
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root, name = os.path.split(package)
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, root))
+    path = f"{scratch_path(spark, 'package')}/{name}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(archive.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
