@@ -13,7 +13,7 @@ from ..session import settle
 from .common import narrow, whole
 
 RARE = 32  # tokens in at most so many sets are indexed alone, others in pairs
-LOW, SKETCH = 128, 8  # tokens in 2 to LOW sets are marked in a sketch of SKETCH 64-bit words
+LOW, SKETCH = 128, 8  # tokens in up to LOW sets, and others, have SKETCH 64-bit words of marks each
 
 
 class Rule:
@@ -42,6 +42,10 @@ class Rule:
     def misses_col(self, n: Column) -> Column:
         return n - F.ceil(F.lit(self.percent) * n / 100).cast("long")
 
+    def small_misses_col(self, n: Column) -> Column:
+        """The same for the smaller set of a pair (or either of two equal ones)."""
+        return n - F.ceil(F.lit(2 * self.percent) * n / (100 + self.percent)).cast("long")
+
     def possible(self, n_a: Column, n_b: Column, common: Column) -> Column:
         """Whether two sets of these sizes can link with at most ``common`` common tokens."""
         return (100 + self.percent) * common >= self.percent * (n_a + n_b)
@@ -174,35 +178,40 @@ def shared_tokens(sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def profiles(shared: DataFrame) -> DataFrame:
-    """(node, low, weak, bits): what bounds the common tokens of two sets from above.
+    """(node, low, alone, bits): what bounds the common tokens of two sets from above.
 
-    ``low`` counts the tokens in up to LOW sets.  Of them, those that others have are marked in
-    ``bits`` by hash; ``weak`` counts the marks that fell on one another.
+    ``low`` counts the tokens in up to LOW sets, ``alone`` those of them in this set only.  All
+    others are marked in ``bits`` by hash: in the first SKETCH words if they are low, in the last
+    ones if not.
     """
-    marked = F.filter("shared", lambda t: t["df"] <= LOW)
+    marks = shared.select("node", F.explode("shared").alias("t")).select(
+        "node", (F.col("t.token").bitwiseAND(F.lit(SKETCH - 1)) + F.when(
+            F.col("t.df") > LOW, SKETCH).otherwise(0)).cast("int").alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(
+            "t.token", 8).bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+    words = marks.groupBy("node", "word").agg(F.bit_or("bit").alias("bits"))
+    words = words.groupBy("node").agg(F.map_from_entries(F.collect_list(
+        F.struct("word", "bits"))).alias("m"))
+    bits = F.transform(F.sequence(F.lit(0), F.lit(2 * SKETCH - 1)), lambda j: F.coalesce(
+        F.element_at("m", j), F.lit(0).cast("long")))
+    low = F.size(F.filter("shared", lambda t: t["df"] <= LOW))
+    rows = shared.select("node", (F.col("unique") + low).alias("low"), F.col("unique").alias("alone"))
+    empty = F.array_repeat(F.lit(0).cast("long"), 2 * SKETCH)
+    return rows.join(words.select("node", bits.alias("bits")), "node", "left").withColumn(
+        "bits", F.coalesce("bits", empty))
 
-    def word(j: Column) -> Column:
-        return F.aggregate("marked", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.when(
-            t["token"].bitwiseAND(F.lit(SKETCH - 1)) == j, F.call_function(
-                "shiftleft", F.lit(1).cast("long"),
-                F.shiftright(t["token"], 8).bitwiseAND(F.lit(63)).cast("int"))).otherwise(
-            F.lit(0).cast("long"))))
 
-    rows = shared.select("node", "unique", marked.alias("marked"))
-    rows = rows.select("node", "unique", F.size("marked").alias("m"), F.transform(
-        F.sequence(F.lit(0), F.lit(SKETCH - 1)), word).alias("bits"))
-    set_bits = F.aggregate("bits", F.lit(0), lambda acc, x: acc + F.bit_count(x))
-    return rows.select("node", (F.col("unique") + F.col("m")).alias("low"),
-                       (F.col("m") - set_bits).alias("weak"), "bits")
+def _most_common(a: str, b: str) -> Column:
+    """A bound on the common tokens of the sets whose columns end in ``a`` and in ``b``.
 
+    Each mark that only one of them has stands for a token that the other lacks.
+    """
+    def kept(x: str, y: str) -> Column:
+        only = sum((F.bit_count(F.get(f"bits{x}", F.lit(j)).bitwiseAND(
+            F.bitwise_not(F.get(f"bits{y}", F.lit(j))))) for j in range(2 * SKETCH)), F.lit(0))
+        return F.col(f"n{x}") - F.col(f"alone{x}") - only
 
-def _most_common(a: str, b: str) -> Column:
-    """A bound on the common tokens of the sets whose columns end in ``a`` and in ``b``: the
-    tokens outside ``low``, and the marks both have, with those that may hide behind another."""
-    both = sum((F.bit_count(F.get(f"bits{a}", F.lit(j)).bitwiseAND(F.get(f"bits{b}", F.lit(j))))
-                for j in range(SKETCH)), F.lit(0))
-    return F.least(F.col(f"n{a}") - F.col(f"low{a}"), F.col(f"n{b}") - F.col(f"low{b}")) + both + (
-        F.least(f"weak{a}", f"weak{b}"))
+    return F.least(kept(a, b), kept(b, a))
 
 
 def _ended(df: DataFrame, end: str) -> DataFrame:
@@ -210,40 +219,59 @@ def _ended(df: DataFrame, end: str) -> DataFrame:
 
 
 def signatures(shared: DataFrame, rule: Rule) -> DataFrame:
-    """(sig, node, n): ``sig`` is a rare token, or a pair of others.
+    """(sig, node, n, probe): ``sig`` is a rare token, or a pair of others.
 
     If the first misses + 1 tokens of a set are all rare, they are its prefix, each a signature:
     a linked set has one of them.  Otherwise the prefix is longer by g: of its tokens at least
     g + 1 are common; if none of these is rare, two of them fall into the same of g groups (by
     hash), and pairs within groups are signatures.  g follows the size in powers of two; near a
     change both are used, as a linked set may lie on the other side.
+
+    The smaller set of a pair may miss fewer tokens of the other, so a shorter prefix will do for
+    it: ``probe`` marks the signatures in that.  A pair needs one that the smaller set probes.
     """
     at = F.col("misses") + 1 - F.col("unique")  # prefix length among the shared tokens
+    short = rule.small_misses_col(F.col("n")) + 1 - F.col("unique")
+
+    def ranked(length: Column, keep) -> Column:
+        prefix = F.slice("shared", F.lit(1), F.greatest(length.cast("int"), F.lit(0)))
+        return F.explode(F.filter(F.transform(prefix, lambda x, i: F.struct(
+            x["df"].alias("df"), x["token"].alias("token"), (i + 1).alias("rank"))), keep)).alias("t")
+
     sizes = F.array_distinct(F.transform(
         F.array(F.floor(F.col("n") * rule.percent / 100), F.col("n"),
                 F.ceil(F.col("n") * 100 / rule.percent)),
         lambda x: F.pow(F.lit(2), F.floor(F.log2(F.greatest(x.cast("double") / 16, F.lit(1.0))))).cast(
             "int")))
     rows = shared.select(
-        "node", "n", "shared", at.cast("int").alias("at"),
-        (F.get("shared", (at - 1).cast("int"))["df"] > RARE).alias("longer"), sizes.alias("groups"))
-    rare = rows.select("node", "n", F.explode(F.filter(
-        F.slice("shared", F.lit(1), F.greatest("at", F.lit(0))),
-        lambda x: x["df"] <= RARE)).alias("t")).select(
-        F.xxhash64("t.token").alias("sig"), "node", "n")
+        "node", "n", "shared", at.cast("int").alias("at"), short.cast("int").alias("short"),
+        *[(F.get("shared", (k - 1).cast("int"))["df"] > RARE).alias(name)
+          for k, name in ((at, "longer"), (short, "longer_short"))], sizes.alias("groups"))
+    rare = rows.select("node", "n", "short", ranked(F.col("at"), lambda x: x["df"] <= RARE)).select(
+        F.xxhash64("t.token").alias("sig"), "node", "n",
+        (F.col("t.rank") <= F.col("short")).alias("probe"))
     schemes = rows.where("longer").select(
-        "node", "n", "shared", "at", F.explode("groups").alias("g"))
-    pieces = schemes.select("node", "n", "g", F.explode(F.filter(
-        F.slice("shared", F.lit(1), F.col("at") + F.col("g")), lambda x: x["df"] > RARE)).alias("t"))
-    pieces = pieces.select("node", "n", "g", F.col("t.token").alias("token"),
+        "node", "n", "shared", "at", "short", "longer_short", F.explode("groups").alias("g"))
+    reach = F.when(F.col("longer_short"), F.col("short") + F.col("g")).otherwise(0)
+    pieces = schemes.select("node", "n", "g", reach.alias("reach"), ranked(
+        F.col("at") + F.col("g"), lambda x: x["df"] > RARE))
+    pieces = pieces.select("node", "n", "g", "reach", F.struct("t.token", "t.rank").alias("t"),
                            F.pmod(F.xxhash64(F.lit(3), "t.token"), F.col("g")).alias("group"))
-    grouped = pieces.groupBy("node", "n", "g", "group").agg(
-        F.array_sort(F.collect_list("token")).alias("own")).where(F.size("own") > 1)
-    pairs = grouped.select("node", "n", "g", F.explode(F.flatten(F.transform(
+    grouped = pieces.groupBy("node", "n", "g", "reach", "group").agg(
+        F.array_sort(F.collect_list("t")).alias("own")).where(F.size("own") > 1)
+    pairs = grouped.select("node", "n", F.explode(F.flatten(F.transform(
         "own", lambda x, i: F.transform(
             F.slice("own", i + 2, F.greatest(F.size("own") - i - 1, F.lit(0))),
-            lambda y: F.xxhash64(F.col("g"), x, y))))).alias("sig"))
-    return rare.unionByName(pairs.select("sig", "node", "n"))
+            lambda y: F.struct(
+                F.xxhash64(F.col("g"), x["token"], y["token"]).alias("sig"),
+                (F.greatest(x["rank"], y["rank"]) <= F.col("reach")).alias("probe")))))).alias("p"))
+    return rare.unionByName(pairs.select("p.sig", "node", "n", "p.probe"))
+
+
+def _smaller(a: tuple[str, str], b: tuple[str, str]) -> Column:
+    """Whether set a = (size, node) comes before b: by size, then by node."""
+    return (F.col(a[0]) < F.col(b[0])) | (
+        (F.col(a[0]) == F.col(b[0])) & (F.col(a[1]) < F.col(b[1])))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -289,10 +317,12 @@ def set_links(sets: DataFrame, rule: Rule) -> DataFrame:
     marks = settle(signatures(shared, rule).join(profile.select("node", "low"), "node"),
                    "signatures")
     centre = marks.groupBy("sig").agg(
-        F.min(F.struct("low", "node", "n")).alias("c"), F.count(F.lit(1)).alias("m")).where(
-        "m > 1").select("sig", F.col("c.node").alias("b"), F.col("c.n").alias("n_b"))
+        F.min(F.struct("low", "node", "n", "probe")).alias("c"), F.count(F.lit(1)).alias("m")).where(
+        "m > 1").select("sig", F.col("c.node").alias("b"), F.col("c.n").alias("n_b"),
+                        F.col("c.probe").alias("probe_b"))
     near = rule.possible(F.col("n"), F.col("n_b"), F.least("n", "n_b"))
-    first = marks.join(centre, "sig").where((F.col("node") != F.col("b")) & near).select(
+    asked = F.when(_smaller(("n", "node"), ("n_b", "b")), F.col("probe")).otherwise(F.col("probe_b"))
+    first = marks.join(centre, "sig").where((F.col("node") != F.col("b")) & near & asked).select(
         F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     first = settle(first, "first")
     whole_profile = profile.join(sets.select("node", "n"), "node")
@@ -308,11 +338,14 @@ def set_links(sets: DataFrame, rule: Rule) -> DataFrame:
     buckets = buckets.groupBy("sig").agg(
         F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "comp")).alias("large")).where(
         "parts > 1").select("sig", F.col("large.comp").alias("large"))
-    left = named.join(buckets, "sig").select("sig", "node", "n", "comp", "large")
+    left = named.join(buckets, "sig").select("sig", "node", "n", "probe", "comp", "large")
     left = settle(left.join(profile, "node"), "open")
     others = _ended(left.where("comp != large"), "_b")
+    before = _smaller(("n_a", "node_a"), ("n_b", "node_b"))
+    asked = F.when(before, F.col("probe_a")).otherwise(F.col("probe_b"))
+    once = before | (F.col("comp_a") == F.col("large_a"))  # two of the others meet twice
     second = _ended(left, "_a").join(others, (F.col("sig_a") == F.col("sig_b")) & (
-        F.col("comp_a") != F.col("comp_b")) & fits).select(
+        F.col("comp_a") != F.col("comp_b")) & asked & once & fits).select(
         F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
     second = second.distinct().join(first, ["a", "b"], "left_anti")
     more = settle(_verified(second, sets, rule), "links")
