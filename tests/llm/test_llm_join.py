@@ -220,3 +220,16 @@ def test_stages_keep_the_columns_and_take_awkward_rows(spark, awkward, nothing):
             assert name == "pieces" or out.columns == docs.columns
             docs = out
         docs.count()
+
+
+def test_copies_keep_their_text_through_the_stages(spark):
+    """A third of a source's rows are copies of one text: one of them stays, whole."""
+    page = "a text of its own number {0}\nwith words {0} enough of them\nthe footer of the site"
+    copy = "one text that a third of all rows have\nand its second line is as common"
+    rows = [(i, copy if i % 3 == 0 else page.format(i), "s") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        df = stage(spark, df, "")
+    got = {r["doc_id"]: r["text"] for r in rows_of(df)}
+    assert [i for i, t in got.items() if t == copy] == [0]
+    assert not [i for i, t in got.items() if not t or "footer" in t] and len(got) == 201
