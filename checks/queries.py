@@ -540,8 +540,7 @@ def crossfit_scores(spark, d):
     cols = [c for c in rows.columns if c != "entity"]
     block = matrix.to_coo(rows.fillna(-1.0), cols)
     table = keys.attach(src.event_entities(spark, d), matrix.to_vectors(block))
-    scores = scoring.crossfit(
-        table, lambda seed: scoring.gbt(seed, rounds=4, depth=3, leaf_rows=1, bins=16))
+    scores = scoring.crossfit(table, scoring.gbt)
     return tidy(scores.select("entity", "fold", "bag", "target",
                               F.col("p").between(0, 1).alias("is_share")))
 
