@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    exact_dedup, host_rules, language_model, line_dedup, mixing, pieces, quality_model, sharding,
-    shingle_join, surrogates)
+    block_search, exact_dedup, host_rules, language_model, line_dedup, mixing, pieces, quality_model,
+    resampling, sharding, shingle_join, spelling, surrogates)
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +182,125 @@ stripped AS (
   FROM line_docs d LEFT JOIN line_texts USING (lid))"""
 
 
+def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, d, "documents"), slip=199)
+
+
+def op12_nearest_vectors(spark: SparkSession, d: str) -> DataFrame:
+    return block_search.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_target_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+# (i, crc): the steps of crc32 for one byte; 3988292384 is its polynomial
+CRC_STEPS = """
+crc_steps AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+  FROM (SELECT unnest(range(256))::BIGINT AS i))"""
+
+
+def crc_sql(s: str) -> str:
+    """The unsigned crc32 of the text column ``s``, in a row that has ``steps``."""
+    bytes_ = (f"list_transform(range(0, strlen({s})), lambda i: "
+              f"('0x' || hex(encode({s}))[2 * i + 1:2 * i + 2])::BIGINT)")
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda c, b: "
+            f"xor(c >> 8, steps[1 + (xor(c, b) & 255)])), 4294967295::BIGINT)")
+
+
+SPELLING_SQL = f"""WITH RECURSIVE {CRC_STEPS},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(run, '{AZ}', '{AZ.lower()}') AS run,
+    count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+keyed AS (
+  SELECT run, k, {crc_sql("s")} AS h
+  FROM (SELECT *, id || ':' || run AS s FROM runs), crc_steps),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2)
+      ELSE run END AS word FROM keyed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+cut AS (
+  SELECT word, i, left(word, i) || substring(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b
+    ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+ranked AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, encode(other)) AS place
+  FROM near JOIN words o ON other = o.word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+    CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND place = 1),
+way(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT way.word, form FROM way JOIN formed f ON way.root = f.word WHERE form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN way ON f.word = way.word
+WHERE root IN (SELECT word FROM formed WHERE form IS NULL)"""
+
+NEAREST_SQL = """WITH usable AS (
+  SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scores AS (
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS c_rid,
+    list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]),
+                lambda a, x: a + x) AS score
+  FROM usable q JOIN usable c ON q.rid <> c.rid AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST, c_rid) AS rank
+  FROM scores) WHERE rank <= 20"""
+
+_WORD_CHARS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _features_sql(table_name: str, id_col: str) -> str:
+    return f"""
+  SELECT {id_col} AS id, rid, unnest(list_concat(w, list_transform(range(1, len(w)),
+    lambda i: w[i] || ' ' || w[i + 1]))) AS feature
+  FROM (SELECT {id_col}, row_number() OVER () AS rid, regexp_extract_all(
+    translate(coalesce(text, ''), '{AZ}', '{AZ.lower()}'), '{_WORD_CHARS}') AS w FROM {table_name})"""
+
+
+RESAMPLING_SQL = f"""WITH {CRC_STEPS},
+doc_features AS ({_features_sql("documents", "doc_id")}),
+aim_features AS ({_features_sql("benchmark", "item_id")}),
+placed AS (
+  SELECT feature, {crc_sql("feature")} % 10000 AS bucket
+  FROM (SELECT feature FROM doc_features UNION SELECT feature FROM aim_features), crc_steps),
+s AS (SELECT bucket, count(*) AS n FROM doc_features JOIN placed USING (feature) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM aim_features JOIN placed USING (feature) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(
+    ((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE)
+    / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weights AS (
+  SELECT rid, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM doc_features JOIN placed USING (feature) JOIN gains USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(
+      CAST(doc_id AS VARCHAR), ''))[1:8])::BIGINT + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score,
+    (coalesce(n_features, 0) + 1) // 2 AS n_words, d.rid
+  FROM (SELECT doc_id, row_number() OVER () AS rid FROM documents) d LEFT JOIN weights w USING (rid)),
+ranked AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, rid) AS rank,
+    25 * count(*) OVER () // 100 AS k
+  FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= k THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (rid)"""
+
+
 def _shipped(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, d: str) -> DataFrame:
@@ -201,7 +320,8 @@ def queries() -> dict[str, Query]:
     return {f.__name__: _shipped(f) for f in (
         op1_mix_sources, op2_language_model, op3_pieces, op4_quality_model, op5_surrogates,
         op6_host_rules, op7_exact_dedup, op8_sharding, op9_shingle_join,
-        op10_line_dedup, pipeline)}
+        op10_line_dedup, op11_spelling_variants, op12_nearest_vectors, op13_target_resampling,
+        pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -239,4 +359,7 @@ FROM documents d JOIN reach ON id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.d
 GROUP BY d.doc_id""",
         "op10_line_dedup": f"""WITH {lines_sql()}
 SELECT doc_id, n_lines, n_dropped, new_text AS text FROM stripped""",
+        "op11_spelling_variants": SPELLING_SQL,
+        "op12_nearest_vectors": NEAREST_SQL,
+        "op13_target_resampling": RESAMPLING_SQL,
     }
