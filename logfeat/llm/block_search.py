@@ -14,8 +14,8 @@ from ..session import settle
 from .common import partitions
 
 TOP = 20
-BLOCK = 65_536  # most vectors in a block of either side, some 20 MB at 64 dimensions
-LEAST_BLOCK = 2_048  # blocks are smaller than BLOCK while that keeps cores busy
+BLOCK = 65_536  # about so many queries are held by a task, some 20 MB at 64 dimensions
+LANE, LEAST_LANE = 1 << 22, 512  # candidates that a task reads: at most, and fewer for more cores
 TILE = 1 << 21  # products of a tile that are held at a time
 EXACT_DIMS = 1_040  # 127 * 127 * this < 2**24: float32 adds such integer products exactly
 
@@ -105,57 +105,91 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.add.reduce(np.ascontiguousarray((a * b).T), axis=0)
 
 
-def _best_in_block(queries: _Block, cands: _Block, top: int):
-    """(query row position, candidate row position, score): the best ``top`` per query, ties to
-    the smaller id; a query's own row is left out."""
-    most = top + 1
-    owner = np.repeat(np.arange(len(cands.members)), [len(m) for m in cands.members])
-    member = np.concatenate(cands.members)
-    height = max(1, TILE // len(member))
-    for lo in range(0, len(queries.v), height):
-        part = slice(lo, lo + height)
-        near = _tile(queries.q[part], cands.q) * queries.scale[part, None] * cands.scale
-        # |xy - x'y'| <= |x'||dy| + |dx||y'| + |dx||dy|, and a little for rounding
-        off = (queries.length[part, None] * cands.missed + queries.missed[part, None] * (
-            cands.length + cands.missed))
-        off += 1e-12 * (queries.length[part, None] * cands.length + off)
-        low = (near - off)[:, owner]
-        if low.shape[1] > most:
-            bar = np.partition(low, -most, axis=1)[:, -most]
-        else:
-            bar = np.full(len(low), -np.inf)
-        at, c = np.nonzero(near + off >= bar[:, None])
-        score = _exact(queries.v[lo + at], cands.v[c])
-        # copies of a vector share its score
-        copies = np.array([len(m) for m in cands.members])[c]
-        at, score = np.repeat(at, copies), np.repeat(score, copies)
-        hits = np.concatenate([cands.members[i] for i in c]) if len(c) else member[:0]
-        order = np.lexsort((cands.row[hits], cands.id[hits], cands.null[hits], -score, at))
-        at, score, hits = at[order], score[order], hits[order]
-        begins = np.searchsorted(at, np.arange(len(low) + 1))
-        for i in range(len(low)):
-            one = slice(begins[i], min(begins[i + 1], begins[i] + most))
-            for q in queries.members[lo + i]:
-                keep = cands.row[hits[one]] != queries.row[q]
-                yield q, hits[one][keep][:top], score[one][keep][:top]
+class _Search:
+    """A block of queries with a heap each; blocks of candidates come one after the other."""
+
+    def __init__(self, queries: _Block, kind: str, top: int):
+        self.queries, self.kind, self.most = queries, kind, top + 1  # a query's own row may be in it
+        self.heaps: list[list] = [[] for _ in queries.v]
+        self.bar = np.full(len(queries.v), -np.inf)  # the worst score of a full heap
+
+    def add(self, table: pa.Table) -> None:
+        queries, cands = self.queries, _Block(table, self.kind, self.most)
+        counts = np.array([len(m) for m in cands.members])
+        owner = np.repeat(np.arange(len(counts)), counts)
+        height = max(1, TILE // len(owner))
+        for lo in range(0, len(queries.v), height):
+            part = slice(lo, lo + height)
+            near = _tile(queries.q[part], cands.q) * queries.scale[part, None] * cands.scale
+            # |xy - x'y'| <= |x'||dy| + |dx||y'| + |dx||dy|, and a little for rounding
+            off = queries.length[part, None] * cands.missed + queries.missed[part, None] * (
+                cands.length + cands.missed)
+            off += 1e-12 * (queries.length[part, None] * cands.length + off)
+            bar = self.bar[part]
+            if len(owner) > self.most:
+                low = (near - off)[:, owner]
+                bar = np.maximum(bar, np.partition(low, -self.most, axis=1)[:, -self.most])
+            at, c = np.nonzero(near + off >= bar[:, None])
+            self._offer(cands, lo + at, c, _exact(queries.v[lo + at], cands.v[c]))
+
+    def _offer(self, cands: _Block, at: np.ndarray, c: np.ndarray, scores: np.ndarray) -> None:
+        for q, i, score in zip(at.tolist(), c.tolist(), scores.tolist()):
+            heap = self.heaps[q]
+            for m in cands.members[i]:
+                # the heap's first is the worst: lowest score, then null or largest id
+                item = (score, not cands.null[m], -int(cands.id[m]), -int(cands.row[m]))
+                if len(heap) < self.most:
+                    heapq.heappush(heap, item)
+                elif item > heap[0]:
+                    heapq.heapreplace(heap, item)
+            if len(heap) == self.most:
+                self.bar[q] = heap[0][0]
+
+    def found(self) -> pa.RecordBatch:
+        rows = []
+        for heap, members in zip(self.heaps, self.queries.members):
+            best = sorted(heap, reverse=True)
+            for m in members:
+                row, own = int(self.queries.row[m]), None if self.queries.null[m] else int(self.queries.id[m])
+                others = [x for x in best if -x[3] != row][:self.most - 1]
+                rows += [(row, own, -vec if known else None, -at, score)
+                         for score, known, vec, at in others]
+        columns = list(zip(*rows)) or [()] * 5
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, _FOUND.types)], schema=_FOUND)
+
+
+_FOUND = pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()),
+                    ("vec_row", pa.int64()), ("score", pa.float64())])
+_CELL = ["dims", "line", "lane"]
 
 
 def _search(kind: str, top: int):
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["row", "query_id", "vec_id", "vec_row", "score"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-        if not len(left) or not len(right):
-            return pa.table([pa.array([], t) for t in types], names=names)
-        queries, cands = _Block(left, kind, None), _Block(right, kind, top + 1)
-        found = [(np.full(len(hits), q), hits, score)
-                 for q, hits, score in _best_in_block(queries, cands, top)]
-        q, hits, score = (np.concatenate(x) for x in zip(*found))
-        return pa.table([
-            pa.array(queries.row[q]), pa.array(queries.id[q], mask=queries.null[q]),
-            pa.array(cands.id[hits], mask=cands.null[hits]), pa.array(cands.row[hits]),
-            pa.array(score)], names=names)
-
-    return cell
+    """Reads rows sorted by cell, the queries of a cell before its candidates."""
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, search = None, [], None
+        for batch in it:
+            table = pa.Table.from_batches([batch])
+            keys = np.stack([table.column(c).to_numpy() for c in (*_CELL, "role")], axis=1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(keys)]):
+                if lo == hi:
+                    continue
+                *here, role = keys[lo].tolist()
+                if here != cell:
+                    if search is not None:
+                        yield search.found()
+                    cell, held, search = here, [], None
+                if role == 0:
+                    held.append(table.slice(lo, hi - lo))
+                elif held:
+                    if search is None:
+                        search = _Search(_Block(pa.concat_tables(held), kind, None), kind, top)
+                    search.add(table.slice(lo, hi - lo))
+        if search is not None:
+            yield search.found()
+
+    return batches
 
 
 # -- merging
@@ -192,10 +226,11 @@ def nearest(
     """(query_id, rank, vec_id, score): for each row with ``is_query`` the ``top`` rows of largest
     inner product, nearest first, ties to the smaller id; all, if there are fewer.
 
-    Both sides are dealt into blocks, and each block of queries meets each block of candidates
-    once: rows travel as int8 with their original, (rows / block) times.  Products of the int8
-    rows, with a bound of their error, leave few candidates per query; those are computed from
-    the originals in double precision, so the result is exact.
+    Queries are dealt into blocks of about ``block`` rows and candidates into lanes; a task holds
+    one block and reads one lane, Arrow batch by batch.  Products of int8 rows, with a bound of
+    their error, leave few candidates per query; those are computed from the originals in double
+    precision and go into the query's heap, so the result is exact.  A candidate travels once per
+    block of queries, a query once per lane, and a query has ``top`` partial results per lane.
 
     Vectors that are null, all zero, or hold a null or a value that is not finite take no part;
     vectors of different length do not meet.  Ids are integers; a null id is larger than all
@@ -213,17 +248,16 @@ def nearest(
     n, n_queries = stored.count(), stored.where("asks").count()
     rows = settle(_quantised(stored, kind), "quantised")
     cores = vectors.sparkSession.sparkContext.defaultParallelism
-    columns = max(partitions(n, block), min(4 * cores, partitions(n, LEAST_BLOCK)))
     lines = partitions(n_queries, block)
+    lanes = max(partitions(n, LANE), min(-(-2 * cores // lines), partitions(n, LEAST_LANE)))
 
-    def dealt(side: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return side.drop("asks").withColumn(
-            own, F.pmod(F.xxhash64("row"), F.lit(n_own)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+    def dealt(side: DataFrame, role: int, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        return side.drop("asks").withColumns({
+            "role": F.lit(role), own: F.pmod(F.xxhash64("row"), F.lit(n_own)).cast("int"),
+            other: F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))})
 
-    cell = ["dims", "line", "place"]
-    left = dealt(rows.where("asks"), "line", lines, "place", columns)
-    right = dealt(rows, "place", columns, "line", lines)
-    partial = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(
+    both = dealt(rows.where("asks"), 0, "line", lines, "lane", lanes).unionByName(
+        dealt(rows, 1, "lane", lanes, "line", lines))
+    partial = both.repartition(*_CELL).sortWithinPartitions(*_CELL, "role").mapInArrow(
         _search(kind, top), "row long, query_id long, vec_id long, vec_row long, score double")
     return _merged(partial, top)

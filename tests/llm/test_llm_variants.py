@@ -144,12 +144,17 @@ def vectors(spark, rows):
 @pytest.mark.parametrize("block", [65536, 37])
 def test_nearest_against_all_products(spark, block, monkeypatch):
     monkeypatch.setattr(block_search, "TILE", 500)
+    monkeypatch.setattr(block_search, "LANE", 100)
     draw = np.random.default_rng(2)
     data = draw.normal(size=(220, 12)) * np.exp(draw.normal(size=(220, 1)) * 3)
     data[40:120] = data[40]  # a third are copies
     rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(data)]
-    got = block_search.nearest(vectors(spark, rows), F.col("vec_id") % 4 == 0, top=7, block=block)
-    assert sorted(map(tuple, got.collect()), key=str) == slow_nearest(rows, 7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    try:
+        got = block_search.nearest(vectors(spark, rows), F.col("vec_id") % 4 == 0, top=7, block=block)
+        assert sorted(map(tuple, got.collect()), key=str) == slow_nearest(rows, 7)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_awkward_vectors(spark):
