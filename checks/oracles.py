@@ -415,9 +415,15 @@ FROM a GROUP BY entity"""
   SELECT entity, actor FROM ev WHERE actor IS NOT NULL GROUP BY ALL)
 SELECT DISTINCT entity, 350::BIGINT AS n_factors, TRUE AS finite FROM cells WHERE actor IN (
   SELECT actor FROM cells GROUP BY actor HAVING count(*) > 1)"""
-    q["crossfit_scores"] = f"""WITH {EVENTS}, f AS (SELECT DISTINCT fold FROM en WHERE fold IS NOT NULL)
-SELECT entity, CAST(f.fold AS BIGINT) AS fold, 0::BIGINT AS bag, target, TRUE AS is_share
-FROM en JOIN f ON en.fold IS NULL OR en.fold = f.fold"""
+    q["crossfit_scores"] = """WITH p AS (
+  SELECT CAST(vec_id AS VARCHAR) AS entity, CAST(embedding[1] >= 0 AS INT)::DOUBLE AS positive,
+    CASE WHEN vec_id % 10 <> 9 THEN CAST(embedding[1] >= 0 AS INT)::DOUBLE END AS target
+  FROM embeddings),
+en AS (
+  SELECT *, CASE WHEN target IS NOT NULL THEN
+    ntile(10) OVER (PARTITION BY target ORDER BY entity) - 1 END AS fold FROM p)
+SELECT entity, f.fold::BIGINT AS fold, 0::BIGINT AS bag, target, positive AS p
+FROM en JOIN (SELECT unnest(range(10)) AS fold) f ON en.fold IS NULL OR en.fold = f.fold"""
 
     # -- scaling
     q["column_profile"] = f"WITH {EMB}, p AS (" + " UNION ALL ".join(

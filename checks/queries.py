@@ -533,16 +533,11 @@ def final_predictions(spark, d):
 
 @query
 def crossfit_scores(spark, d):
-    """Boosted trees on all date statistics of the events, ten folds."""
-    log = src.event_log(spark, d)
-    rows = rollup.rollup_stats(log.select("entity", *date_parts(F.timestamp_micros("us"))),
-                               "entity", DATE_PARTS)
-    cols = [c for c in rows.columns if c != "entity"]
-    block = matrix.to_coo(rows.fillna(-1.0), cols)
-    table = keys.attach(src.event_entities(spark, d), matrix.to_vectors(block))
+    """Boosted trees as they are trained in production, ten folds; p rounded to the likelier class."""
+    rows = src.folded_vectors(spark, d)
+    table = keys.attach(rows.drop(*src.STEPS), matrix.to_vectors(matrix.to_coo(rows, src.STEPS)))
     scores = scoring.crossfit(table, scoring.gbt)
-    return tidy(scores.select("entity", "fold", "bag", "target",
-                              F.col("p").between(0, 1).alias("is_share")))
+    return tidy(scores, {"p": 0})
 
 
 # -- files

@@ -134,3 +134,17 @@ def embedding_columns(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").selectExpr(
         "CAST(vec_id AS STRING) AS entity", "label",
         *[f"CAST(embedding[{i}] AS DOUBLE) AS {c}" for i, c in enumerate(DIMS)])
+
+
+STEPS = ("f5", "f8", "f10", "f20", "other")
+
+
+def folded_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """(entity, target, fold, five numbers): the sign of a vector's first component; the component
+    in steps of several sizes, and another one, all moved above zero.  A tenth has no label."""
+    positive = (F.col("e0") >= 0).cast("double")
+    rows = embedding_columns(spark, d).select(
+        "entity", F.when(F.col("entity").cast("long") % 10 != 9, positive).alias("target"),
+        *[(F.floor(F.col("e0") * n) + 100).alias(f"f{n}") for n in (5, 8, 10, 20)],
+        (F.floor(F.col("e1") * 10) + 100).alias("other"))
+    return stratified_folds(rows, 10)

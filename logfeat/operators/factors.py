@@ -6,7 +6,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, settle
+from ..session import cut_lineage, settle
 from .keys import code_table, label_codes
 from .matrix import Matrix, array_to_coo
 
@@ -24,8 +24,7 @@ def latent_factors(
     of all entities, saves numbering them again for every matrix.
     """
     context = coo.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_path(coo.sparkSession, "als"))
+    cut_lineage(coo.sparkSession)
     if row_codes is None:
         row_codes = code_table(coo, "entity", slices)
     coded = coo.join(row_codes.withColumnRenamed("code", "row"), "entity")

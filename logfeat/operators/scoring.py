@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Estimator
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import cut_lineage, scratch_path, settle
 from .keys import fold_split, stack
 from .ordered import over_ordered
 from .scaling import minmax
@@ -45,17 +47,19 @@ def balanced_weight(df: DataFrame, label: str = "target", out: str = "weight") -
     ).select(*df.columns, out)
 
 
-# fixed value: boosting rounds of the trained models; the best one on held-out rows is kept
-ROUNDS = 2600
+# fixed values: most boosting rounds, and rounds without a better held-out AUC that end a fit
+ROUNDS, PATIENCE = 2600, 200
+FIT_ROWS = 10_000  # training rows of a partition; small tables would spend each round on scheduling
 
 
 def gbt(
     seed: int, *, rounds: int = ROUNDS, step: float = 0.01, depth: int = 10, leaf_rows: int = 50,
     bins: int = 64, row_fraction: float = 0.75, column_fraction: float = 0.66,
 ) -> GBTClassifier:
-    """Boosted trees for crossfit(): all ``rounds`` are fitted, and crossfit() goes back to the
-    best one.  (Spark's own early stop ends a fit whose rounds improve by less than 1 %, which at
-    this step is the second round.)
+    """Boosted trees for crossfit(), which stops before ``rounds`` when held-out rows say so.
+
+    (Spark's own early stop ends a fit whose rounds improve by less than 1 %, which at this step
+    is the second round.  Rows are drawn anew for every tree; Spark has no longer interval.)
     """
     return GBTClassifier(
         featuresCol="features", labelCol="target", weightCol="weight", seed=seed,
@@ -71,58 +75,131 @@ def _class_weight(counts: Mapping[float, int]) -> Column:
     return weight
 
 
-def _fit(model: Estimator, train: DataFrame, held: DataFrame, best_round: bool):
-    """The fitted model; of a boosted one, the rounds up to the least loss on ``held``."""
-    fitted = model.fit(train)
-    if best_round and hasattr(fitted, "evaluateEachIteration"):
-        losses = fitted.evaluateEachIteration(held)
-        best = min(range(len(losses)), key=losses.__getitem__) + 1
-        if best < len(losses):
-            fitted = model.copy({model.maxIter: best}).fit(train)
-    return fitted
+def round_aucs(
+    model: GBTClassificationModel, held: DataFrame, after: int = 0, slices: int | None = None
+) -> list[float | None]:
+    """Exact AUC on ``held`` (features, target) of the model's first r trees, for r > ``after``.
+
+    A row's leaves are looked up in the stored trees and their values summed in the order of the
+    rounds, so all rounds take one pass.  One number per round comes to the driver.
+    """
+    path = scratch_path(held.sparkSession, "trees")
+    model.write().save(path)
+    leaves = held.sparkSession.read.parquet(f"{path}/data").where("nodeData.leftChild < 0")
+    # leaves are numbered from 0 in the order of their nodes
+    leaf = F.row_number().over(Window.partitionBy("treeID").orderBy("nodeData.id")) - 1
+    weights = model.treeWeights
+    weight = F.get(F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>"), F.col("treeID"))
+    values = leaves.select(F.col("treeID").alias("round"), leaf.cast("double").alias("leaf"),
+                           (weight * F.col("nodeData.prediction")).alias("value"))
+    model.setLeafCol("__leaves")
+    rows = model.transform(held).select("target", F.monotonically_increasing_id().alias("row"),
+                                        F.posexplode(vector_to_array("__leaves")).alias("round", "leaf"))
+    model.setLeafCol("")
+    so_far = Window.partitionBy("row").orderBy("round")
+    margins = rows.join(values, ["round", "leaf"]).withColumn("p", F.sum("value").over(so_far))
+    found = auc(margins.where(F.col("round") >= after), by=["round"], slices=slices)
+    by_round = {r["round"]: r["auc"] for r in found.collect()}
+    return [by_round.get(r) for r in range(after, len(weights))]
+
+
+def best_round(aucs: Sequence[float | None], patience: int) -> tuple[int, bool]:
+    """(rounds to keep, whether to stop): the first round of the best AUC, and whether ``patience``
+    rounds have passed since.  Rounds after that point do not count.  Without any AUC (held-out
+    rows of one class) all rounds are kept."""
+    best, top = 0, None
+    for i, value in enumerate(aucs):
+        if value is not None and (top is None or value > top):
+            best, top = i, value
+        elif top is not None and i - best >= patience:
+            return best + 1, True
+    return (len(aucs) if top is None else best + 1), False
+
+
+def first_rounds(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` trees."""
+    gateway = SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    every = model._java_obj.trees()
+    for i, weight in enumerate(model.treeWeights[:n]):
+        trees[i], weights[i] = every[i], weight
+    cut = GBTClassificationModel(ml.classification.GBTClassificationModel(model.uid, trees, weights))
+    return cut.setFeaturesCol(model.getFeaturesCol())
+
+
+def fit_patiently(
+    estimator: GBTClassifier, train: DataFrame, held: DataFrame, patience: int = PATIENCE
+) -> tuple[GBTClassificationModel, list[float | None]]:
+    """(the model up to its best round, AUC on ``held`` of every round that was fitted).
+
+    The fit grows: it has as many rounds as it takes to run out of patience, then twice as many,
+    up to the estimator's.  One seed gives the same first trees whatever follows, so the choice
+    is that of a fit of all rounds; trees after the best round are dropped, not fitted again.
+    """
+    total, n, aucs = estimator.getMaxIter(), 0, []
+    while True:
+        n = min(total, max(patience + 1 + patience // 20, 2 * n))
+        model = estimator.copy({estimator.maxIter: n}).fit(train)
+        aucs += round_aucs(model, held, len(aucs))
+        best, stop = best_round(aucs, patience)
+        if stop or n == total:
+            return first_rounds(model, best), aucs
 
 
 def crossfit(
     df: DataFrame, estimator: Callable[[int], Estimator], *, n_folds: int = 10, n_bags: int = 1,
     seed: int = 1, label: str = "target", fold: str = "fold", entity: str = "entity",
-    best_round: bool = True,
+    patience: int | None = PATIENCE, parallel: int = 8,
 ) -> DataFrame:
     """(entity, fold, bag, target, p): each model scores its held-out fold and the unlabelled rows.
 
-    ``df`` has ``features`` and the label; ``estimator(seed)`` builds an untrained model that may
-    read ``weight`` (class balance).  Held-out rows carry their target, unlabelled rows a null.
-    Fitting is distributed; the loop on the driver only starts the fits.  All bags of a fold
-    score in one pass, and each fold is stored when it is ready.  Folds without rows are skipped.
+    ``df`` has ``features`` and a label of at most two values; ``estimator(seed)`` builds an
+    untrained model that may read ``weight`` (class balance).  Held-out rows carry their target,
+    unlabelled rows a null.  Folds without rows are skipped.
+
+    Boosted models stop by ``patience`` (None: all rounds).  Up to ``parallel`` fits are under way
+    at the same time, each a thread of the driver that only starts distributed jobs; the scores of
+    a fit are stored when it is ready.  The driver holds the trees of the fits under way.
     """
+    cut_lineage(df.sparkSession)
     used = settle(df.select(F.col(entity).alias("entity"), F.col(label).cast("double").alias(
         "target"), F.col(fold).alias("fold"), "features"), "training")
-    # a row per fold and class
-    sizes = used.where(F.col("fold").isNotNull()).groupBy("fold", "target").count().collect()
-    parts = []
+    labelled = used.where(F.col("fold").isNotNull())
+    values = [r[0] for r in labelled.select("target").distinct().limit(4).collect()]
+    if len([v for v in values if v is not None]) > 2:
+        raise ValueError("the label has more than two values")
+    sizes = labelled.groupBy("fold", "target").count().collect()  # a row per fold and class
+
+    def fit(f: int, bag: int, classes: dict[float, int]) -> DataFrame:
+        train, held = fold_split(used, f)
+        train = train.withColumn("weight", _class_weight(classes))
+        parts = -(-sum(classes.values()) // FIT_ROWS)
+        train = train.coalesce(parts) if parts < used.sparkSession.sparkContext.defaultParallelism else train
+        model = estimator(seed + f * n_bags + bag)
+        if patience is not None and isinstance(model, GBTClassifier):
+            fitted, _ = fit_patiently(model, train, held, patience)
+        else:
+            fitted = model.fit(train)
+        rows = used.where((F.col("fold") == f) | F.col("fold").isNull())
+        return settle(fitted.transform(rows).select(
+            "entity", F.lit(f).alias("fold"), F.lit(bag).alias("bag"), "target",
+            vector_to_array("probability")[1].alias("p")), "scores")
+
+    jobs = []
     for f in range(n_folds):
         classes: dict[float, int] = {}
         for r in sizes:
             if r["fold"] != f:
                 classes[r["target"]] = classes.get(r["target"], 0) + r["count"]
-        if not classes or all(r["fold"] != f for r in sizes):
-            continue
-        train, held = fold_split(used, f)
-        train = train.withColumn("weight", _class_weight(classes))
-        held = held.withColumn("weight", F.lit(1.0))
-        rows, bags = used.where((F.col("fold") == f) | F.col("fold").isNull()), []
-        for bag in range(n_bags):
-            fitted = _fit(estimator(seed + f * n_bags + bag), train, held, best_round)
-            for name in ("Probability", "RawPrediction", "Prediction"):
-                getattr(fitted, f"set{name}Col")(f"{name}_{bag}")
-            rows = fitted.transform(rows)
-            bags.append(F.struct(F.lit(bag).alias("bag"), vector_to_array(
-                f"Probability_{bag}")[1].alias("p")))
-        scored = rows.select("entity", F.lit(f).alias("fold"), "target",
-                             F.explode(F.array(*bags)).alias("b"))
-        parts.append(settle(scored.select("entity", "fold", "b.bag", "target", "b.p"), "scores"))
-    if not parts:
+        if classes and any(r["fold"] == f for r in sizes):
+            jobs += [(f, bag, classes) for bag in range(n_bags)]
+    if not jobs:
         raise ValueError("no fold has both training and held-out rows")
-    return stack(parts)
+    with ThreadPoolExecutor(parallel) as pool:
+        run = inheritable_thread_target(used.sparkSession)(fit)
+        return stack(list(pool.map(lambda job: run(*job), jobs)))
 
 
 def fold_auc(scores: DataFrame, slices: int | None = None) -> DataFrame:

@@ -52,6 +52,13 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def cut_lineage(spark: SparkSession) -> None:
+    """Let iterative ML fits checkpoint: gives the context a folder in the shared one, unless it
+    has one.  Without it a fit's lineage, and with it each round's cost, grows with the rounds."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "fits"))
+
+
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

@@ -37,4 +37,4 @@ def test_crossfit_scores_fits_the_whole_model(spark, data, monkeypatch):
     estimator, options = caught.value.args
     model = estimator(1)
     got = (model.getMaxIter(), model.getMaxDepth(), model.getMinInstancesPerNode(), model.getMaxBins())
-    assert got == (2600, 10, 50, 64) and not options
+    assert got == (2600, 10, 50, 64) and not options  # patience included

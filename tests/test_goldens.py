@@ -4,12 +4,14 @@ import datetime
 import math
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from logfeat import functions as fn
 from logfeat import sources
 from logfeat.operators import gaps, keys, matrix, rollup, scaling, scoring, sequences
 from logfeat.operators.target_stats import target_stats
+from logfeat.session import settle
 
 LOG = "entity string, actor string, product string, us bigint, rid bigint"
 
@@ -246,22 +248,62 @@ def test_boosting_builds_many_trees_by_default(spark):
     many = model(30).fit(train)
     assert len(many.trees) == 30
     aucs = [one(scoring.fold_auc(scoring.crossfit(
-        table, lambda seed: model(n), n_folds=1)))["auc"] for n in (1, 30)]
+        table, lambda seed: model(n), n_folds=1, patience=None)))["auc"] for n in (1, 30)]
     assert aucs[1] > aucs[0]
 
 
-def test_the_best_round_is_kept(spark):
-    """Held-out labels without a pattern: later rounds do harm, and are left out."""
-    rows = [(f"e{i}", float(i * 7919 % 13 < 6), i % 2, 1.0 + i) for i in range(80)]
-    df = spark.createDataFrame(rows, "entity string, target double, fold int, a double")
-    table = keys.attach(df.select("entity", "target", "fold"), matrix.to_vectors(
-        matrix.to_coo(df.select("entity", "a"), ["a"])))
-    train = table.where("fold = 1").withColumn("weight", F.lit(1.0))
+def noisy_rows(spark, n=600):
+    """Labels that follow one column loosely; the default leaf size leaves room for splits."""
+    rows = [(f"e{i}", float((i * 7919 % 101) + 60 * (i * 31 % 7 - 3) / 3 > 50), i % 3,
+             1.0 + i * 7919 % 101, 1.0 + i * 13 % 17) for i in range(n)]
+    df = spark.createDataFrame(rows, "entity string, target double, fold int, a double, b double")
+    return keys.attach(df.select("entity", "target", "fold"), matrix.to_vectors(
+        matrix.to_coo(df.select("entity", "a", "b"), ["a", "b"])))
+
+
+def test_boosting_stops_by_patience(spark):
+    """A fit that grows step by step keeps the rounds that a fit of all rounds would keep."""
+    table = settle(noisy_rows(spark))
+    train = table.where("fold != 0").withColumn("weight", F.lit(1.0)).coalesce(1)
     held = table.where("fold = 0").withColumn("weight", F.lit(1.0))
-    model = scoring.gbt(1, rounds=12, step=0.9, depth=3, leaf_rows=1)
-    losses = model.fit(train).evaluateEachIteration(held)
-    kept = scoring._fit(model, train, held, True)
-    assert len(kept.trees) == losses.index(min(losses)) + 1 < 12
+    model = scoring.gbt(1, rounds=40, step=0.5)  # default depth and leaf size
+    kept, aucs = scoring.fit_patiently(model, train, held, patience=6)
+    every = model.fit(train)
+    assert any(t.numNodes > 1 for t in kept.trees) and len(aucs) < 40
+    all_aucs = scoring.round_aucs(every, held)
+    assert all_aucs[:len(aucs)] == pytest.approx(aucs)
+    best, stop = scoring.best_round(all_aucs, 6)
+    assert stop and len(kept.trees) == best
+    # the AUC of a round is that of the model cut there
+    p = kept.transform(held).select("target", vector_to_array("probability")[1].alias("p"))
+    assert one(scoring.auc(p))["auc"] == pytest.approx(aucs[best - 1])
+    assert [t.toDebugString for t in kept.trees] == [t.toDebugString for t in every.trees[:best]] or all(
+        a.toDebugString.split("\n")[1:] == b.toDebugString.split("\n")[1:]
+        for a, b in zip(kept.trees, every.trees))
+
+
+def test_best_round():
+    assert scoring.best_round([0.5, 0.7, 0.6, 0.7], 2) == (2, True)
+    assert scoring.best_round([0.5, 0.7, 0.6, 0.8, 0.8], 2) == (4, False)
+    assert scoring.best_round([0.9, 0.7, 0.6, 0.95], 2) == (1, True)  # what comes later is too late
+    assert scoring.best_round([None, None], 1) == (2, False)
+
+
+def test_fits_side_by_side_give_the_same_scores(spark):
+    table = settle(noisy_rows(spark, 300))
+
+    def scores(parallel):
+        got = scoring.crossfit(table, lambda seed: scoring.gbt(seed, rounds=6), n_folds=3, n_bags=2,
+                               patience=2, parallel=parallel)
+        return sorted(map(tuple, got.collect()))
+
+    assert scores(1) == scores(4) and len(scores(4)) == 600
+
+
+def test_labels_of_three_values_are_refused(spark):
+    table = noisy_rows(spark, 30).withColumn("target", (F.col("fold") + 0.0))
+    with pytest.raises(ValueError, match="two values"):
+        scoring.crossfit(table, scoring.gbt)
 
 
 def test_sparse_vectors(spark):
