@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +54,22 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes at its end what ``settle`` has stored inside it, but for the last table: for a step
+    whose result, stored last, no longer needs its parts.  Not for steps that run side by side."""
+    _STORED.append([])
+    try:
+        yield _STORED[-1]
+    finally:
+        for name in _STORED.pop()[:-1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_STORED: list[list[str]] = []
+
+
 def cut_lineage(spark: SparkSession) -> None:
     """Let iterative ML fits checkpoint: gives the context a folder in the shared one, unless it
     has one.  Without it a fit's lineage, and with it each round's cost, grows with the rounds."""
@@ -67,4 +85,6 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    for stored in _STORED:
+        stored.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
