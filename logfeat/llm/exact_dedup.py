@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .common import partitions, whole
 
-FILTER_KEYS = 200_000  # about so many digests in a filter
+FILTER_KEYS, LEAST_KEYS = 200_000, 1_000  # digests in a filter, and fewer for more cores
 N_BATCHES = 3
 
 
@@ -125,7 +125,8 @@ def exact_groups(
 ) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs``.
 
-    The rows come in batches (``batch``: an integer column from 0; by default a hash of the id).
+    The rows come in batches (``batch``: an integer column from 0, null as 0; by default a hash of
+    the id).
     Of each batch equal digests are grouped among themselves first, whatever came earlier; what
     is left, one row per text, is the batch's immutable snapshot.  Each snapshot has static
     binary fuse filters over 64-bit digests; a later batch asks the filters of all earlier ones,
@@ -139,11 +140,13 @@ def exact_groups(
     body = whole(text)
     of = F.pmod(F.xxhash64(F.lit("batch"), F.col(id_col)), F.lit(n_batches)).cast("int")
     rows = settle(docs.select(
-        F.col(id_col).alias("doc_id"), (of if batch is None else batch).alias("batch"),
+        F.col(id_col).alias("doc_id"),
+        (of if batch is None else F.coalesce(batch, F.lit(0)).cast("int")).alias("batch"),
         F.xxhash64(body).alias("digest"), F.unhex(F.sha2(body, 256)).alias("text_sha"),
         F.octet_length(body).cast("long").alias("bytes"),
         F.monotonically_increasing_id().alias("row")), "digests")
-    buckets = partitions(rows.count(), filter_keys)
+    n, cores = rows.count(), docs.sparkSession.sparkContext.defaultParallelism
+    buckets = max(partitions(n, filter_keys), min(2 * cores, partitions(n, LEAST_KEYS)))
     groups = settle(rows.groupBy("batch", "digest", "text_sha", "bytes").agg(
         F.max(F.struct("doc_id", "row")).alias("last"), F.count(F.lit(1)).alias("n")).withColumn(
         "bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets))), "snapshots")
@@ -171,7 +174,15 @@ def exact_groups(
 def drop_copies(
     docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **options,
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns; ids must tell the rows apart."""
-    stay = exact_groups(docs, id_col=id_col, text=text, **options).where("kept").select(
-        F.col("doc_id").alias(id_col))
-    return docs.join(stay, id_col, "left_semi")
+    """The rows of ``docs`` (a stored table) that stay, one per text, with their columns.
+
+    The row with the largest id stays, null below all others, and of rows that share it the one
+    read last.  Null texts are empty texts; columns may have any names.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       F.monotonically_increasing_id().alias("n"))
+    given = F.col(f"row.{id_col}")
+    own = F.struct(given.isNotNull().alias("named"), given.alias("id"), "n")
+    keyed = rows.select(own.alias("id"), F.col(f"row.{text}").alias("text"))
+    gone = exact_groups(keyed, id_col="id", text="text", **options).where("NOT kept")
+    return rows.join(gone.select("doc_id.n"), "n", "left_anti").select("row.*")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .common import WHITE, has_word, whole
 
-RATIO, MIN_PAGES = 0.01, 3
+# A template shows on a large share of a site's pages, and large sites have several: a tenth.
+RATIO, MIN_PAGES = 0.1, 3
 
 
 def _lines(text: Column) -> Column:
@@ -21,21 +22,18 @@ def _digest(line: Column) -> Column:
 
 def common_lines(
     pages: DataFrame, *, text: str = "text", host: str = "source", ratio: float = RATIO,
-    min_pages: int = MIN_PAGES, by_text: bool = False,
+    min_pages: int = MIN_PAGES, page: Column | None = None,
 ) -> DataFrame:
     """(host, lines): digests of the lines on more than ``ratio`` of the host's pages.
 
-    Each page counts a line once; ``by_text`` counts the copies of a text as one page, in the
-    host's total too.  At most (mean lines per page) / ``ratio`` lines of a host can be that
-    common, so the lists are short whatever the host's size.
+    Rows of a host with the same ``page`` (by default: the same text) are one page, in a line's
+    count and in the host's total.  At most (mean lines per page) / ``ratio`` lines of a host can
+    be that common, so the lists are short whatever the host's size.
     """
+    page = F.unhex(F.md5(whole(text))) if page is None else page
     seen = F.array_distinct(F.transform(F.filter(_lines(whole(text)), has_word), _digest))
-    held = pages.select(F.col(host).alias("host"), whole(text).alias("text"), seen.alias("seen"))
-    if by_text:  # digests travel, texts do not
-        held = held.select("host", "seen", F.unhex(F.md5("text")).alias("page")).groupBy(
-            "host", "page").agg(F.first("seen").alias("seen"))
-    rows = held.select("host", F.explode_outer(F.array_append(
-        "seen", F.lit(None).cast("binary"))).alias("line"))
+    rows = pages.select(F.col(host).alias("host"), page.alias("page"), F.explode(F.array_append(
+        seen, F.lit(None).cast("binary"))).alias("line")).distinct()
     # the null line stands once for every page: its count is the host's total
     counts = settle(rows.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")), "lines")
     totals = counts.where("line IS NULL").select(F.col("host").alias("_host"),
@@ -48,18 +46,20 @@ def common_lines(
 
 def strip_lines(
     pages: DataFrame, *, text: str = "text", host: str = "source", ratio: float = RATIO,
-    min_pages: int = MIN_PAGES, by_text: bool = False,
+    min_pages: int = MIN_PAGES, common: DataFrame | None = None,
 ) -> DataFrame:
     """``pages`` with the common lines taken out of the text.  All rows and columns stay.
 
     Lines end at ``\\n`` and are compared without white space at their ends; lines without a
     word are never dropped.  A null text stays null, an empty one empty, and a text whose lines
-    all go becomes empty.  A null host is a host of its own; repeated rows are pages of their
-    own, so that many copies of a text empty it, unless ``by_text``; a line must be on
-    ``min_pages`` pages, so that tiny hosts keep theirs.
+    all go becomes empty.  A null host is a host of its own.  Repeated rows and copies of a text
+    are one page, so that copies do not make a text boilerplate; ``common``, a common_lines() of
+    the caller, may take near copies for one page too.  A line must be on ``min_pages`` pages, so
+    that tiny hosts keep theirs.  Very long texts are handled whole; no rows give no rows.
     """
-    common = settle(common_lines(pages, text=text, host=host, ratio=ratio, min_pages=min_pages,
-                                 by_text=by_text), "common")
+    if common is None:
+        common = common_lines(pages, text=text, host=host, ratio=ratio, min_pages=min_pages)
+    common = settle(common, "common")
     held = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("_row"))
     joined = held.join(common.select(F.col("host").alias("_host"), F.col("lines").alias("_lines")),
                        F.col(f"_row.{host}").eqNullSafe(F.col("_host")), "left")

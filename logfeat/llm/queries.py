@@ -160,16 +160,17 @@ def lines_sql(docs: str = "documents") -> str:
     return f"""
 line_docs AS (SELECT row_number() OVER () AS lid, * FROM {docs}),
 line_rows AS (
-  SELECT lid, source, {_TRIM} AS trimmed, line, pos FROM (
-    SELECT lid, source, unnest(string_split(text, chr(10))) AS line,
+  SELECT lid, source, page, {_TRIM} AS trimmed, line, pos FROM (
+    SELECT lid, source, coalesce(text, '') AS page, unnest(string_split(text, chr(10))) AS line,
            unnest(range(len(string_split(text, chr(10))))) AS pos FROM line_docs)),
-line_totals AS (SELECT source, count(*) AS total FROM line_docs GROUP BY source),
+line_totals AS (
+  SELECT source, count(DISTINCT coalesce(text, '')) AS total FROM line_docs GROUP BY source),
 line_common AS (
   SELECT r.source, trimmed FROM (
-    SELECT source, trimmed, count(DISTINCT lid) AS n FROM line_rows WHERE trimmed <> ''
+    SELECT source, trimmed, count(DISTINCT page) AS n FROM line_rows WHERE trimmed <> ''
     GROUP BY source, trimmed) r
   JOIN line_totals t ON r.source IS NOT DISTINCT FROM t.source
-  WHERE n >= 3 AND n > 0.01 * total),
+  WHERE n >= 3 AND n > 0.1 * total),
 line_marked AS (
   SELECT r.*, c.trimmed IS NOT NULL AS dropped FROM line_rows r
   LEFT JOIN line_common c ON r.source IS NOT DISTINCT FROM c.source AND r.trimmed = c.trimmed),

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import passing, settle
 from .common import narrow, whole
 
 RARE = 32  # tokens in at most so many sets are indexed alone, others in pairs
@@ -408,11 +408,32 @@ def near_groups(
             "component_id"))
 
 
+def page_groups(
+    docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **options,
+) -> tuple[DataFrame, DataFrame]:
+    """(docs as (row, n, id), groups): rows in one column ``row`` with a number ``n`` and an ``id``
+    of their own (null flag, id, n), and near_groups() over these ids.
+
+    Both read ``docs``, which must be stored so that rows keep their numbers.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       F.monotonically_increasing_id().alias("n"))
+    given = F.col(f"row.{id_col}")
+    rows = rows.withColumn("id", F.struct(given.isNull().alias("unnamed"), given.alias("id"), "n"))
+    texts = rows.select("id", F.col(f"row.{text}").alias("text"))
+    return rows, near_groups(texts, id_col="id", text="text", **options)
+
+
 def keep_one(
     docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **options,
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, and those without id."""
-    groups = near_groups(docs, id_col=id_col, text=text, **options)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = narrow(settle(gone, "gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """One row of each component of ``docs`` (a stored table): that of the smallest id, null last,
+    and of rows that share it the one read first.  Columns stay as they are, whatever their names.
+
+    Null and empty texts link with nothing and stay; repeated rows are copies, so one of them
+    stays; very long texts are compared whole; no rows give no rows.
+    """
+    with passing(docs.sparkSession):
+        rows, groups = page_groups(docs, id_col=id_col, text=text, **options)
+        gone = settle(groups.where("doc_id != component_id").select("doc_id.n"), "gone")
+    return rows.join(narrow(gone), "n", "left_anti").select("row.*")

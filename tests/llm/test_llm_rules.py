@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from checks.compare import difference, duck
 from logfeat.llm import exact_dedup, host_rules, line_dedup, mixing, queries, sharding
+from logfeat.session import settle
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -61,22 +62,24 @@ def test_hosts(spark):
 
 def test_lines(awkward):
     rows = rows_of(awkward)
-    seen, total = defaultdict(int), Counter(r["source"] for r in rows)
+    seen, total = defaultdict(set), defaultdict(set)
     for r in rows:
+        total[r["source"]].add(r["text"] or "")
         for line in {x.strip(" \t\x0b\f\r") for x in (r["text"] or "").split("\n")} - {""}:
-            seen[r["source"], line] += 1
+            seen[r["source"], line].add(r["text"])
 
-    def strip(text, source):
+    def strip(text, source, least):
         return None if text is None else "\n".join(
             x for x in text.split("\n") if not (
-                (n := seen[source, x.strip(" \t\x0b\f\r")]) >= 3 and n > 0.2 * total[source]
-                and x.strip(" \t\x0b\f\r")))
+                (n := len(seen[source, x.strip(" \t\x0b\f\r")])) >= least
+                and n > 0.2 * len(total[source]) and x.strip(" \t\x0b\f\r")))
 
-    got = line_dedup.strip_lines(awkward, ratio=0.2)
-    assert got.columns == awkward.columns
-    want = Counter((r["doc_id"], r["source"], strip(r["text"], r["source"])) for r in rows)
-    assert Counter((r["doc_id"], r["source"], r["text"]) for r in rows_of(got)) == want
-    assert any(r["text"] == "" for r in rows_of(got))
+    for least in (1, 3):
+        got = line_dedup.strip_lines(awkward, ratio=0.2, min_pages=least)
+        assert got.columns == awkward.columns
+        want = Counter((r["doc_id"], r["source"], strip(r["text"], r["source"], least)) for r in rows)
+        assert Counter((r["doc_id"], r["source"], r["text"]) for r in rows_of(got)) == want
+    assert any(r["text"] == "" for r in rows_of(line_dedup.strip_lines(awkward, ratio=0.2, min_pages=1)))
 
 
 def test_fuse_filter():
@@ -108,6 +111,20 @@ def test_exact_groups(awkward, n_batches):
 def test_drop_copies(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
     assert {r["doc_id"] for r in rows_of(exact_dedup.drop_copies(df))} == {2, 3}
+    rows = [(None, "a", 0), (None, "a", None), (None, "b", 1), (4, "b", None), (4, "b", 2), (5, None, 0), (6, "", 3)]
+    df = settle(spark.createDataFrame(rows, "doc_id long, text string, batch int"))
+    for batch in (None, F.col("batch")):
+        kept = exact_dedup.drop_copies(df.drop("batch") if batch is None else df)
+        assert Counter((r["doc_id"], r["text"] or "") for r in rows_of(kept)) == Counter(
+            [(None, "a"), (4, "b"), (6, "")])
+
+
+def test_null_batches(spark):
+    rows = [(1, "a", None), (2, "a", 1), (3, "b", None), (4, "b", None), (5, "c", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, batch int")
+    got = rows_of(exact_dedup.exact_groups(df, batch=F.col("batch")))
+    assert {(r["doc_id"], r["keep_id"], r["group_size"]) for r in got} == {
+        (1, 2, 2), (2, 2, 2), (3, 4, 2), (4, 4, 2), (5, 5, 1)}
 
 
 def test_differencing_is_tight():
