@@ -72,9 +72,10 @@ def hashed_ngrams(
         entity, *[c for c in order if c != entity],
         F.coalesce(F.col(token).cast("string"), F.lit("nan")).alias("__token")), "tokens")
     pairs = over_ordered(texts, [entity], list(order), prev={"__prev": "__token"}, slices=slices)
-    pairs = pairs.select(F.col(entity).alias("entity"), F.col("__token").alias("token"),
-                         F.concat("__prev", F.lit(" "), "__token").alias("pair"))
-    return _bag(pairs, weights, buckets, tf, norm, hashing)
+    both = F.array(*[F.struct(term.alias("term"), F.lit(float(w)).alias("w")) for term, w in zip(
+        (F.col("__token"), F.concat("__prev", F.lit(" "), "__token")), weights)])
+    terms = pairs.select(F.col(entity).alias("entity"), F.explode(both).alias("i"))
+    return _bag(terms.select("entity", "i.*"), buckets, tf, norm, hashing)
 
 
 def hashed_list_ngrams(
@@ -87,28 +88,30 @@ def hashed_list_ngrams(
     Pairs form inside the row, so nothing is sorted or windowed.
     """
     text = F.transform(F.col(column).cast("array<string>"), lambda x: F.coalesce(x, F.lit("nan")))
+    # lists are far smaller than the terms they make, so they are dealt out first: files may be few
+    session = df.sparkSession
+    parts = max(session.sparkContext.defaultParallelism,
+                int(session.conf.get("spark.sql.shuffle.partitions")))
     rows = df.select(F.col(entity).alias("entity"), text.alias("__a")).where(
-        F.col("entity").isNotNull())
+        F.col("entity").isNotNull()).repartition(parts)
     # the last token has no successor: zip_with() gives it a null
-    neighbours = F.zip_with("__a", F.slice("__a", 2, F.size("__a")),
-                            lambda x, y: F.struct(x.alias("token"), y.alias("next")))
-    tokens = rows.select("entity", F.explode(neighbours).alias("t")).select("entity", "t.*")
-    pairs = tokens.select("entity", "token", F.concat("token", F.lit(" "), "next").alias("pair"))
-    return _bag(pairs, weights, buckets, tf, norm, hashing)
-
-
-def _bag(
-    pairs: DataFrame, weights: Sequence[float], buckets: int, tf: str, norm: bool, hashing: str
-) -> DataFrame:
-    """(entity, token, pair) to weighted buckets; a null pair counts for nothing."""
-    def item(c: str, w: float) -> Column:
-        return F.struct(bucket_of(F.col(c), buckets, hashing).alias("feature"),
-                        F.lit(float(w)).alias("w"))
-
-    items = F.explode(F.array(item("token", weights[0]), item("pair", weights[1]))).alias("i")
-    cells = pairs.select("entity", items).select("entity", "i.*").where(
-        F.col("feature").isNotNull())
+    pairs = F.zip_with("__a", F.slice("__a", 2, F.size("__a")),
+                       lambda x, y: F.concat(x, F.lit(" "), y))
+    if tf == "binary":  # a row names each of its terms once
+        each = rows.select("entity", F.array_distinct("__a").alias("t"),
+                           F.array_distinct(pairs).alias("p"))
+    else:
+        each = rows.select("entity", F.col("__a").alias("t"), pairs.alias("p"))
+    terms = [each.select("entity", F.explode(c).alias("term"), F.lit(float(w)).alias("w"))
+             for c, w in zip("tp", weights)]
+    return _bag(terms[0].unionByName(terms[1]), buckets, tf, norm, hashing)
+
+
+def _bag(terms: DataFrame, buckets: int, tf: str, norm: bool, hashing: str) -> DataFrame:
+    """(entity, term, w) to weighted buckets; a null term counts for nothing."""
     value = {"binary": F.max("w"), "count": F.sum("w")}[tf]
+    cells = terms.where(F.col("term").isNotNull()).select(
+        "entity", bucket_of(F.col("term"), buckets, hashing).alias("feature"), "w")
     coo = cells.groupBy("entity", "feature").agg(value.alias("value"))
     return l2_rows(coo) if norm else coo
 
@@ -123,13 +126,13 @@ def bucket_of(text: Column, buckets: int, hashing: str = "xxhash64") -> Column:
 def l2_rows(coo: DataFrame) -> DataFrame:
     """Scale every row to Euclidean length 1.
 
-    The lengths are summed with a map-side combine and joined back, so a hot
-    entity does not become one window partition.  Null entities must be gone
-    already: then both sides of the join are the same up to the first shuffle,
-    and Spark computes that once.
+    The cells are stored and read twice.  Lengths are summed with a map-side combine, so a hot
+    entity is no window partition; they are stored too, and their file size tells Spark whether
+    they can travel to the cells instead of both being shuffled.
     """
-    length = coo.groupBy("entity").agg(
-        F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("__length"))
+    coo = settle(coo, "cells")
+    length = settle(coo.groupBy("entity").agg(
+        F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("__length")), "lengths")
     return attach(coo, length, "entity").select(
         "entity", "feature", (F.col("value") / F.col("__length")).alias("value"))
 
