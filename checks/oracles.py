@@ -469,6 +469,16 @@ SELECT entity, {rd('(p - min(p) OVER ()) / (max(p) OVER () - min(p) OVER ())')}
     q["log_files"] = """SELECT CAST(user_id AS VARCHAR) AS entity,
   json_extract_string(props, '$.k') AS actor, coalesce(nullif(event_type, 'error'), 'nan') AS product,
   (epoch_us(ts) // 1000000) * 1000000 AS us FROM events WHERE user_id % 10 <> 9"""
+    q["log_quarantine"] = """WITH l AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS entity, json_extract_string(props, '$.k') AS actor,
+    event_type AS product, (epoch_us(ts) // 1000000) * 1000000 AS us FROM events)
+SELECT entity, actor, product, us, NULL AS line FROM l WHERE event_id % 50 > 1
+UNION ALL SELECT NULL, NULL, NULL, NULL, CASE WHEN event_id % 50 = 1 THEN entity
+  ELSE entity || ',' || coalesce(actor, '') || ',soon,' || product END FROM l WHERE event_id % 50 <= 1"""
+    q["target_stats_parts"] = q["target_stats"]
+    q["entity_sketches"] = """SELECT CAST(l_orderkey AS VARCHAR) AS entity, count(*)::BIGINT AS n_rows,
+  count(DISTINCT l_suppkey)::BIGINT AS n_actors, count(DISTINCT l_returnflag)::BIGINT AS n_products
+FROM lineitem GROUP BY 1"""
     q["label_files"] = f"WITH {DOCS} SELECT entity, target FROM cleaned"
     q["table_files"] = """SELECT c_custkey, c_name, c_acctbal FROM customer"""
 

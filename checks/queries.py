@@ -14,6 +14,7 @@ from logfeat.functions import (
 from logfeat.functions.columns import DATE_PARTS
 from logfeat.operators import gaps, keys, matrix, rollup, scaling, scoring, sequences
 from logfeat.operators.factors import latent_factors
+from logfeat.operators import target_stats as target_sums
 from logfeat.operators.target_stats import target_stats
 from logfeat.plans.features import GAP_COLS, RANKS, TARGET_COLS, target_rollup
 from logfeat.plans.score import BLEND_WEIGHTS
@@ -162,6 +163,23 @@ def target_stats_real(spark, d):
     return tidy(target_stats(folded, "actor", centre=centre), MEAN_DIGITS)
 
 
+@query
+def target_stats_parts(spark, d):
+    """Sums of a first log part, grown by a second one; the same as over the whole log."""
+    log, path = src.folded_events(spark, d), scratch_path(spark, "sums")
+    target_sums.grow_sums(log.where("rid % 3 = 0"), "actor", f"{path}/1")
+    sums = target_sums.grow_sums(log.where("rid % 3 != 0"), "actor", f"{path}/2", f"{path}/1")
+    return tidy(target_sums.stats_from_sums(sums, "actor"), MEAN_DIGITS)
+
+
+@query
+def entity_sketches(spark, d):
+    """Distinct counts from the stored sketches of two parts; these small ones are exact."""
+    log = src.line_log(spark, d)
+    parts = [settle(rollup.entity_sketches(log.where(f"l_linenumber % 2 = {k}"))) for k in (0, 1)]
+    return tidy(rollup.sketch_counts(rollup.unite_sketches(parts)))
+
+
 @query
 def fold_join(spark, d):
     log = src.prepared_events(spark, d)
@@ -554,6 +572,16 @@ def log_files(spark, d):
         "entity", "actor", "product", "us")
 
 
+@query
+def log_quarantine(spark, d):
+    """A log with broken lines: the rows that were read, and the lines that were set aside."""
+    path = scratch_path(spark, "log")
+    src.lines_of_log(spark, d).write.text(path)
+    rows = sources.read_log(spark, path, errors=f"{path}-errors", max_share=0.1)
+    broken = spark.read.parquet(f"{path}-errors")
+    return keys.stack([rows.drop("ts"), broken.select("line")])
+
+
 @query
 def label_files(spark, d):
     path = scratch_path(spark, "labels")

@@ -28,6 +28,14 @@ def event_log(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def lines_of_log(spark: SparkSession, d: str) -> DataFrame:
+    """The log as CSV lines; of every fifty, one has no number for a time and one lacks values."""
+    at = F.expr("CAST(us div 1000000 AS STRING)")
+    return event_log(spark, d).select(F.when(F.col("rid") % 50 == 1, F.col("entity")).otherwise(
+        F.concat_ws(",", "entity", F.coalesce("actor", F.lit("")),
+                    F.when(F.col("rid") % 50 == 0, "soon").otherwise(at), "product")).alias("line"))
+
+
 def event_targets(spark: SparkSession, d: str) -> DataFrame:
     u = F.col("user_id")
     target = F.when(u % 10 != 9, (u % 3 == 0).cast("double"))

@@ -11,34 +11,65 @@ from pyspark.sql import functions as F
 from ..functions import from_epoch, micros, nan_to_null, str_key
 from ..operators.keys import keep_known
 from ..operators.matrix import Matrix
+from ..session import settle
 
 LABELS = "entity string, target double"
 EXCEPTIONS = "entity string"
 LOG = "entity string, actor string, epoch bigint, product string"
 STRICT = "FAILFAST"  # a line that does not fit the schema ends the job; PERMISSIVE makes nulls
+MAX_BROKEN = 0.001  # most lines that may be set aside, as a share
+_BROKEN = "__broken"
 
 
-def read_labels(spark: SparkSession, path: str, mode: str = STRICT) -> DataFrame:
-    """Header-less CSV of (entity, target); a target that is not a number becomes null."""
-    rows = spark.read.schema(LABELS).csv(path, mode=mode)
+def read_lines(
+    spark: SparkSession, path: str | Sequence[str], schema: str, *, sep: str = ",",
+    mode: str = STRICT, errors: str | None = None, max_share: float = MAX_BROKEN,
+) -> DataFrame:
+    """Header-less CSV in the given schema; with ``errors``, broken lines are set aside.
+
+    Lines that do not fit the schema (a value of the wrong type, too few or too many values) then
+    go to a Parquet table (line, file) at the path ``errors``, and the others are the result.  The
+    text is parsed once and stored; where more than ``max_share`` of the lines are broken, the
+    table of errors is written and the read ends with a ValueError.  Without ``errors`` the first
+    broken line ends the job.
+    """
+    if errors is None:
+        return spark.read.schema(schema).csv(path, sep=sep, mode=mode)
+    parsed = spark.read.schema(f"{schema}, {_BROKEN} string").csv(
+        path, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN)
+    stored = settle(parsed.withColumn("__file", F.col("_metadata.file_path")), "parsed")
+    broken = stored.where(F.col(_BROKEN).isNotNull())
+    broken.select(F.col(_BROKEN).alias("line"), F.col("__file").alias("file")).write.parquet(errors)
+    n, bad = stored.agg(F.count(F.lit(1)), F.count(_BROKEN)).first()
+    if bad > max_share * n:
+        raise ValueError(f"{bad} of {n} lines are broken; see {errors}")
+    return stored.where(F.col(_BROKEN).isNull()).drop(_BROKEN, "__file")
+
+
+def read_labels(spark: SparkSession, path: str, mode: str = STRICT, **errors) -> DataFrame:
+    """Header-less CSV of (entity, target); a target that is not a number becomes null.
+
+    ``errors`` are those of read_lines(), here and below.
+    """
+    rows = read_lines(spark, path, LABELS, mode=mode, **errors)
     return rows.withColumn("target", nan_to_null("target"))
 
 
-def read_exceptions(spark: SparkSession, path: str, mode: str = STRICT) -> DataFrame:
+def read_exceptions(spark: SparkSession, path: str, mode: str = STRICT, **errors) -> DataFrame:
     """Header-less tab-separated file of one column."""
-    return spark.read.schema(EXCEPTIONS).csv(path, sep="\t", mode=mode)
+    return read_lines(spark, path, EXCEPTIONS, sep="\t", mode=mode, **errors)
 
 
 def read_log(
     spark: SparkSession, path: str | Sequence[str], known: DataFrame | None = None,
-    mode: str = STRICT,
+    mode: str = STRICT, **errors,
 ) -> DataFrame:
     """Every header-less log CSV under a path or glob, as one scan.
 
     Rows of entities that are not in ``known`` are left out.  ``us`` is the time in
     microseconds; a missing product becomes the text 'nan', a missing actor stays null.
     """
-    log = spark.read.schema(LOG).csv(path, mode=mode)
+    log = read_lines(spark, path, LOG, mode=mode, **errors)
     if known is not None:
         log = keep_known(log, known)
     ts = from_epoch("epoch")
