@@ -251,6 +251,16 @@ SELECT {big(f'row_number() OVER (ORDER BY us, {TIE})')} AS place, l_orderkey, l_
 SELECT entity, {big('count(*)')} AS n_rows, {rd('avg(us / 1e6)', 3)} AS us_mean,
   {big('count(DISTINCT product)')} AS n_products FROM ev GROUP BY entity"""
 
+    q["log_known_screened"] = q["log_known"]
+    q["log_excluded_screened"] = f"""WITH {LINES} SELECT * FROM ln
+WHERE (entity, actor) NOT IN (SELECT entity, actor FROM ln WHERE product = 'R')"""
+    q["join_features_bucketed"] = f"""WITH {LINES}
+SELECT entity, {big('count(*)')} AS n_rows, {big('count(DISTINCT actor)')} AS n_actors,
+  {big('count(DISTINCT product)')} AS n_products, min(us) AS first_us, max(us) AS last_us,
+  min(l_partkey) AS least_part, max(l_partkey) AS most_part, {big('sum(l_partkey)')} AS parts,
+  {big('sum(length(actor))')} AS actor_chars,
+  {big("count(*) FILTER (WHERE product = 'R')")} AS returned FROM ln GROUP BY entity"""
+
     # -- target statistics
     items = ", ".join(rd(f"actor_{s}", 9) + f" AS actor_{s}" for s in ("mean", "std", "sum"))
     q["target_stats"] = f"WITH {EVENTS}, s AS ({other_folds('actor')}) SELECT actor, coalesce(fold, -1) AS fold, {items} FROM s"
@@ -321,6 +331,8 @@ FROM filled GROUP BY entity"""
 SELECT actor, {', '.join(i for c in ('gap_entity', 'gap_actor') for i in nine(c, None, GAP_DIGITS))}
 FROM gaps GROUP BY actor"""
     q["rollup_hot_groups"] = q["gap_stats_nulls"]
+    for name in ("date_stats", "recency", "recency_lines", "gap_stats", "gap_stats_nulls"):
+        q[f"{name}_radix"] = q[name]
 
     # -- sequences
     q["sequences"] = f"""WITH {EVENTS}, {EV_GAPS}, placed AS (
@@ -380,6 +392,7 @@ SELECT entity, feature, {rd('value')} AS value FROM coo"""
     q["min_doc_freq"] = f"""WITH {words2}, {hashed(2**28, 'max')}
 SELECT entity, feature, {rd('value')} AS value FROM coo
 WHERE feature IN (SELECT feature FROM cells GROUP BY feature HAVING count(*) > 10)"""
+    q["min_doc_freq_screened"] = q["min_doc_freq"]
     q["reindex"] = f"""WITH {words2}, {hashed(2**28, 'max')}
 SELECT entity, {big('dense_rank() OVER (ORDER BY feature) - 1')} AS feature, {rd('value')} AS value
 FROM coo WHERE feature IN (SELECT feature FROM cells GROUP BY feature HAVING count(*) > 10)"""
@@ -441,6 +454,8 @@ FROM en JOIN (SELECT unnest(range(10)) AS fold) f ON en.fold IS NULL OR en.fold
     q["minmax"] = f"""SELECT o_orderkey, {rd('(o_totalprice - min(o_totalprice) OVER ()) / '
         '(max(o_totalprice) OVER () - min(o_totalprice) OVER ())')} AS o_totalprice FROM orders"""
 
+    q["scaled_seen"], q["minmax_seen"] = q["scaled"], q["minmax"]
+
     # -- scoring
     q["auc"] = f"""WITH {SCORES}, a AS (SELECT p FROM sd WHERE quality = 1),
 b AS (SELECT p FROM sd WHERE quality = 0)

@@ -12,13 +12,13 @@ from logfeat.functions import (
     count_char, count_digits, date_parts, list_to_text, micros, nan_to_null, parse_ts,
     seconds_between, str_key, with_ngrams)
 from logfeat.functions.columns import DATE_PARTS
-from logfeat.operators import gaps, keys, matrix, rollup, scaling, scoring, sequences
+from logfeat.operators import gaps, keys, matrix, rollup, scaling, scoring, screens, sequences
 from logfeat.operators.factors import latent_factors
 from logfeat.operators import target_stats as target_sums
 from logfeat.operators.target_stats import target_stats
 from logfeat.plans.features import GAP_COLS, RANKS, TARGET_COLS, target_rollup
 from logfeat.plans.score import BLEND_WEIGHTS
-from logfeat.session import scratch_path, settle
+from logfeat.session import co_locate, scratch_path, settle
 
 from . import standins as src
 
@@ -66,6 +66,22 @@ def log_known(spark, d):
     return keys.attach(log, known).select("entity", "actor", "product", "us", "target")
 
 
+@query
+def log_known_screened(spark, d):
+    """The same, with rows of unknown entities passed over by a bitmap before the shuffle."""
+    known = src.line_entities(spark, d).dropna(subset=["target"])
+    log = screens.screened_known(src.line_log(spark, d), known, ["entity"])
+    return keys.attach(log, known).select("entity", "actor", "product", "us", "target")
+
+
+@query
+def log_excluded_screened(spark, d):
+    """Log rows but those of (entity, actor) pairs that the returned rows name."""
+    log = src.line_log(spark, d)
+    listed = log.where(F.col("product") == "R").select("entity", "actor")
+    return tidy(screens.screened_exclude(log, listed, ["entity", "actor"]))
+
+
 @query
 def folds(spark, d):
     return tidy(src.line_entities(spark, d))
@@ -138,6 +154,20 @@ def join_features(spark, d):
     return tidy(keys.join_features([rows, means, products]), {"us_mean": 3})
 
 
+@query
+def join_features_bucketed(spark, d):
+    """Ten tables of one key, each written once by buckets of the key and joined as they lie."""
+    log = settle(src.line_log(spark, d), "log")
+    aggs = {"n_rows": F.count(F.lit(1)), "n_actors": F.count_distinct("actor"),
+            "n_products": F.count_distinct("product"), "first_us": F.min("us"),
+            "last_us": F.max("us"), "least_part": F.min("l_partkey"),
+            "most_part": F.max("l_partkey"), "parts": F.sum("l_partkey"),
+            "actor_chars": F.sum(F.length("actor")), "returned": F.count_if(F.col("product") == "R")}
+    return tidy(keys.join_features([
+        co_locate(log.groupBy("entity").agg(agg.alias(name)), "entity", 8)
+        for name, agg in aggs.items()]))
+
+
 # -- target statistics
 
 @query
@@ -258,6 +288,14 @@ def date_stats(spark, d):
     return tidy(rollup.rollup_stats(rows, "entity", DATE_PARTS))
 
 
+@query
+def date_stats_radix(spark, d):
+    """The same, with the percentiles found by radix selection."""
+    rows = src.table(spark, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("entity"), *date_parts("o_orderdate"))
+    return tidy(rollup.rollup_stats(rows, "entity", DATE_PARTS, radix=True))
+
+
 @query
 def recency(spark, d):
     return tidy(rollup.recency(src.event_log(spark, d)))
@@ -268,6 +306,16 @@ def recency_lines(spark, d):
     return tidy(rollup.recency(src.line_log(spark, d), tie=src.LINE_TIE))
 
 
+@query
+def recency_radix(spark, d):
+    return tidy(rollup.recency(src.event_log(spark, d), radix=True))
+
+
+@query
+def recency_lines_radix(spark, d):
+    return tidy(rollup.recency(src.line_log(spark, d), radix=True))
+
+
 @query
 def global_gap(spark, d):
     return tidy(gaps.global_gap(src.event_log(spark, d)).select("rid", "gap"))
@@ -303,6 +351,20 @@ def gap_stats_nulls(spark, d):
                                     source=log), GAP_DIGITS)
 
 
+@query
+def gap_stats_radix(spark, d):
+    """gap_stats with the percentiles found by radix selection."""
+    rows = gaps.all_gaps(src.event_log(spark, d)).fillna(-1.0, subset=GAP_COLS)
+    return tidy(rollup.rollup_stats(rows, "entity", GAP_COLS, radix=True), GAP_DIGITS)
+
+
+@query
+def gap_stats_nulls_radix(spark, d):
+    rows = gaps.all_gaps(src.event_log(spark, d))
+    return tidy(rollup.rollup_stats(rows, "actor", ["gap_entity", "gap_actor"], radix=True),
+                GAP_DIGITS)
+
+
 @query
 def rollup_hot_groups(spark, d):
     """The same, with a low limit so that the larger groups are ranked in slices."""
@@ -414,6 +476,12 @@ def min_doc_freq(spark, d):
     return tidy(matrix.min_doc_freq(_word_cells(spark, d), 10))
 
 
+@query
+def min_doc_freq_screened(spark, d):
+    """The same, with a count-min sketch before the exact counts."""
+    return tidy(screens.screened_doc_freq(_word_cells(spark, d), 10))
+
+
 @query
 def reindex(spark, d):
     return tidy(matrix.reindex(matrix.min_doc_freq(_word_cells(spark, d), 10)).coo)
@@ -496,6 +564,13 @@ def scaled(spark, d):
     return tidy(scaling.scale_columns(rows, src.DIMS))
 
 
+@query
+def scaled_seen(spark, d):
+    """The same, with the statistics taken while the table is written."""
+    rows = src.embedding_columns(spark, d).drop("label")
+    return tidy(scaling.scale_columns(rows, src.DIMS, store=True))
+
+
 @query
 def scaled_skip_nulls(spark, d):
     return tidy(scaling.scale_columns(_with_holes(spark, d), src.DIMS, nulls="skip"))
@@ -512,6 +587,12 @@ def minmax(spark, d):
     return tidy(scaling.minmax(rows, "o_totalprice"))
 
 
+@query
+def minmax_seen(spark, d):
+    rows = src.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return tidy(scaling.minmax(rows, "o_totalprice", store=True))
+
+
 # -- scoring
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import integer_div
-from ..session import settle
+from ..session import settle, settle_and_see
 from .ordered import over_ordered
 
 
@@ -52,9 +52,15 @@ def join_features(tables: Sequence[DataFrame], on: str = "entity") -> DataFrame:
     return reduce(lambda a, b: a.join(b, on), tables)
 
 
-def with_global(df: DataFrame, **aggs) -> DataFrame:
-    """Add whole-table aggregates as constant columns; one row passes through the driver."""
-    row = df.agg(*[agg.alias(name) for name, agg in aggs.items()]).first()
+def with_global(df: DataFrame, *, store: bool = False, **aggs) -> DataFrame:
+    """Add whole-table aggregates as constant columns; one row passes through the driver.
+
+    ``store=True`` writes ``df`` and takes them on the way, so it is computed once.
+    """
+    if store:
+        df, row = settle_and_see(df, "seen", **aggs)
+    else:
+        row = df.agg(*[agg.alias(name) for name, agg in aggs.items()]).first()
     return df.withColumns({name: F.lit(row[name]) for name in aggs})
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_digits, integer_div
-from ..session import settle
+from ..session import settle, settle_and_see
 from .keys import stack
 from .ordered import over_ordered
+from .selection import radix_points, select_ranks
 
 STATS = ("mean", "std", "min", "median", "max", "10per", "25per", "75per", "90per")
 _RANKED = {"10per": 0.10, "25per": 0.25, "median": 0.50, "75per": 0.75, "90per": 0.90}
@@ -28,6 +29,7 @@ def rollup_stats(
     source: DataFrame | None = None,
     group_rows: int = GROUP_ROWS,
     slices: int | None = None,
+    radix: bool = False,
 ) -> DataFrame:
     """One row per ``by`` with ``<col>_<stat>`` for every column and statistic.
 
@@ -41,11 +43,20 @@ def rollup_stats(
     taken out and ranked over the whole cluster instead; the result is the same.
     Groups are counted on ``source``, a cheaper DataFrame with the same rows per
     key, where one is given.
+
+    ``radix=True`` finds the percentiles of all groups by radix selection: one way for every
+    size, without lists or an order.  It takes more, smaller jobs and pays for logs whose
+    groups are mostly large or whose shuffled lists would not fit the disks.
     """
     source = df if source is None else source
     df = df.where(F.col(by).isNotNull())
     ranked = [s for s in stats if s in _RANKED]
     out = [f"{c}_{s}" for c in cols for s in stats]
+    if ranked and radix:
+        df = settle(df, "rollup")
+        result = _with_points(df, by, cols, stats, ranked, extra, radix_points(
+            df, by, cols, [_RANKED[s] for s in ranked]))
+        return result.fillna(fill, subset=out) if fill is not None else result
     if ranked:
         sizes = source.where(F.col(by).isNotNull()).groupBy(by).count()
         hot = settle(sizes.where(F.col("count") > group_rows).select(by), "hot")
@@ -53,26 +64,31 @@ def rollup_stats(
             df = settle(df, "rollup")  # read three times below
             cold = _rollup(df.join(hot, by, "left_anti"), by, cols, stats, ranked, extra)
             large = df.join(hot, by, "left_semi")
-            plain = [s for s in stats if s not in _RANKED]
-            seen = [F.count(c).alias(f"__n_{c}") for c in cols]
-            sums = _rollup(large, by, cols, plain, [], [F.count(F.lit(1)).alias("__n"), *seen,
-                                                        *extra])
             points = ranked_points(large, by, cols, [_RANKED[s] for s in ranked], slices=slices)
-            both = sums.join(points, by, "left")
-            values = {}
-            for c in cols:
-                for i, s in enumerate(ranked):
-                    v = F.col(f"__{c}_{i}")
-                    values[f"{c}_{s}"] = v if s == "median" else F.when(
-                        F.col(f"__n_{c}") == F.col("__n"), v)
-            both = both.withColumns(values)
-            names = cold.columns
-            result = cold.unionByName(both.select(*names))
+            result = cold.unionByName(_with_points(large, by, cols, stats, ranked, extra, points))
             return result.fillna(fill, subset=out) if fill is not None else result
     result = _rollup(df, by, cols, stats, ranked, extra)
     return result.fillna(fill, subset=out) if fill is not None else result
 
 
+def _with_points(df, by, cols, stats, ranked, extra, points) -> DataFrame:
+    """All statistics, where the percentiles come as a table of their own."""
+    plain = [s for s in stats if s not in _RANKED]
+    seen = [F.count(c).alias(f"__n_{c}") for c in cols]
+    sums = _rollup(df, by, cols, plain, [], [F.count(F.lit(1)).alias("__n"), *seen, *extra])
+    both = sums.join(points, by, "left")
+    values = {}
+    for c in cols:
+        for i, s in enumerate(ranked):
+            v = F.col(f"__{c}_{i}")
+            values[f"{c}_{s}"] = v if s == "median" else F.when(
+                F.col(f"__n_{c}") == F.col("__n"), v)
+    riders = [c for c in sums.columns if c not in ("__n", by, *[f"__n_{c}" for c in cols],
+                                                   *[f"{c}_{s}" for c in cols for s in plain])]
+    return both.withColumns(values).select(
+        by, *[f"{c}_{s}" for c in cols for s in stats], *riders)
+
+
 _PLAIN = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
@@ -211,18 +227,43 @@ def char_totals(actor: str = "actor", product: str = "product") -> list[Column]:
 
 def recency(
     log: DataFrame, entity: str = "entity", us: str = "us", tie: Sequence[str] = ("rid",),
-    slices: int | None = None,
+    slices: int | None = None, radix: bool = False,
 ) -> DataFrame:
     """Seconds from an entity's rows to the latest row of the whole log.
 
     ``age_min`` belongs to the earliest row and so is the largest; the
-    percentiles pick the row at position floor((n - 1) * p / 100).
+    percentiles pick the row at position floor((n - 1) * p / 100).  The latest time is seen
+    while the log's times are stored.
+
+    ``radix=True`` finds the five positions by radix selection instead of numbering the log.
     """
-    placed = over_ordered(log.select(entity, us, *tie), [entity], [us, *tie],
-                          index="at", size="n", slices=slices)
-    latest = log.agg(F.max(us)).first()[0]
-    return with_ages(
-        placed.where(F.col(entity).isNotNull()).groupBy(entity).agg(*age_points(us)), latest)
+    if radix:
+        return _radix_recency(log, entity, us)
+    narrow, seen = settle_and_see(log.select(entity, us, *tie), "times", latest=F.max(us))
+    placed = over_ordered(narrow, [entity], [us, *tie], index="at", size="n", slices=slices)
+    return with_ages(placed.where(F.col(entity).isNotNull()).groupBy(entity).agg(
+        *age_points(us)), seen["latest"])
+
+
+def _radix_recency(log: DataFrame, entity: str, us: str) -> DataFrame:
+    """recency() from the times and their numbers; null times come first, as in an order."""
+    counted = log.groupBy(F.col(entity).alias("entity"), F.col(us).alias("key")).agg(
+        F.count(F.lit(1)).alias("n"))
+    cells, seen = settle_and_see(counted, "times", latest=F.max("key"))
+    cells = cells.where("entity IS NOT NULL")
+    ends = settle(cells.groupBy("entity").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("n"))),
+                                          F.lit(0)).alias("nulls"),
+        F.min("key").alias("__us_min"), F.max("key").alias("__us_max")), "ends")
+    shares = [(name, p) for name, p in AGES.items() if p is not None]
+    rank = {name: integer_div((F.col("n") - 1) * p, 100) - F.col("nulls") for name, p in shares}
+    wanted = ends.select("entity", F.explode(F.array(*rank.values())).alias("r")).where("r >= 0")
+    found = select_ranks(cells.where("key IS NOT NULL"), wanted, ["entity"])
+    picked = ends.join(found, "entity", "left").groupBy(
+        "entity", "n", "nulls", "__us_min", "__us_max").agg(*[
+            F.max(F.when(F.col("r") == rank[name], F.col("key"))).alias(f"__us_{name}")
+            for name, _ in shares])
+    return with_ages(picked.drop("n", "nulls").withColumnRenamed("entity", entity), seen["latest"])
 
 
 AGES = {"min": None, "10per": 10, "25per": 25, "median": 50, "75per": 75, "90per": 90, "max": None}

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle_and_see
 from .keys import with_global
 
 
@@ -32,23 +33,29 @@ def drop_degenerate(
 
 
 def scale_columns(
-    df: DataFrame, cols: Sequence[str], *, nulls: str = "fill", fill: float = -1.0
+    df: DataFrame, cols: Sequence[str], *, nulls: str = "fill", fill: float = -1.0,
+    store: bool = False,
 ) -> DataFrame:
     """(x - mean) / (std + mean + 1) with the population std.
 
     ``nulls='fill'`` fills before the statistics are taken, ``'skip'`` leaves
     nulls out of them and fills afterwards.  Where the denominator is 0 the
     result is null (and stays null; drop_degenerate() removes such columns).
+
+    ``store=True`` writes ``df`` to the scratch folder and takes the statistics on the way, so
+    a table that is costly to compute is computed once.
     """
     if nulls not in ("fill", "skip"):
         raise ValueError(nulls)
     number = {c: f"CAST(`{c}` AS DOUBLE)" for c in cols}
     if nulls == "fill":
         number = {c: f"coalesce({x}, {float(fill)}D)" for c, x in number.items()}
-    row = df.selectExpr(*[
-        part for i, c in enumerate(cols) for part in (
-            f"avg({number[c]}) AS m{i}", f"stddev_pop({number[c]}) AS s{i}")
-    ]).first()
+    aggs = {k: f"{f}({number[c]})" for i, c in enumerate(cols)
+            for k, f in ((f"m{i}", "avg"), (f"s{i}", "stddev_pop"))}
+    if store:
+        df, row = settle_and_see(df, "unscaled", **{k: F.expr(a) for k, a in aggs.items()})
+    else:
+        row = df.selectExpr(*[f"{a} AS {k}" for k, a in aggs.items()]).first()
     scaled = {}
     for i, c in enumerate(cols):
         mean, std = row[f"m{i}"], row[f"s{i}"]
@@ -61,9 +68,11 @@ def scale_columns(
         f"{scaled[c]} AS `{c}`" if c in scaled else f"`{c}`" for c in df.columns])
 
 
-def minmax(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    """Stretch a column to [0, 1]; null where all values are equal."""
-    both = with_global(df, __low=F.min(column), __high=F.max(column))
+def minmax(
+    df: DataFrame, column: str, out: str | None = None, *, store: bool = False
+) -> DataFrame:
+    """Stretch a column to [0, 1]; null where all values are equal; ``store`` as in scale_columns()."""
+    both = with_global(df, store=store, __low=F.min(column), __high=F.max(column))
     span = F.nullif(F.col("__high") - F.col("__low"), F.lit(0))
     return both.withColumn(out or column, (F.col(column) - F.col("__low")) / span).drop(
         "__low", "__high")

@@ -121,7 +121,7 @@ def feature_matrix(
     gaps = settle(all_gaps(log, slices=slices), "gaps")
     table = feature_table(log, entities, group_rows=group_rows, slices=slices, gaps=gaps)
     cols = feature_columns(table)
-    scaled = scale_columns(settle(table, "features"), cols)
+    scaled = scale_columns(table, cols, store=True)
     options["row_codes"] = settle(code_table(entities, "entity", slices), "rows")
     actor, product = token_matrices(log, ranks["product"], slices=slices, buckets=actor_buckets,
                                     hashing=hashing, **options)

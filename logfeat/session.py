@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "logfeat") -> SparkSession:
@@ -88,3 +88,33 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     for stored in _STORED:
         stored.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def co_locate(df: DataFrame, on: str, buckets: int, name: str = "features") -> DataFrame:
+    """settle() into ``buckets`` files by the hash of ``on``, sorted in each, as a table of its own.
+
+    Tables with the same number of buckets join and aggregate by ``on`` without being shuffled
+    again.  Choose some hundred MB a bucket of the largest one.  The files lie in the scratch
+    folder; on a catalog that outlives the application, drop the table at the end of a job.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, on).write.bucketBy(buckets, on).sortBy(on).option("path", path).format(
+        "parquet").saveAsTable(table)
+    for stored in _STORED:
+        stored.append(path)
+    return spark.table(table)
+
+
+def settle_and_see(
+    df: DataFrame, name: str = "table", **aggs: Column
+) -> tuple[DataFrame, dict[str, object]]:
+    """settle(), and aggregates over all rows that are taken while they are written.
+
+    The table is not read again for them.  They sit in the writing stage itself, whose tasks
+    Spark counts once each however often they are run.  No rows give what an aggregate
+    without rows gives (null for a maximum).
+    """
+    seen = Observation()
+    stored = settle(df.observe(seen, *[agg.alias(k) for k, agg in aggs.items()]), name)
+    return stored, seen.get
