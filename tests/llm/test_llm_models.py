@@ -262,7 +262,7 @@ TEXT = ("Mrs Johnson met Maria Garcia (maria.garcia@mail.example.com, +1 (212) 5
 
 def test_surrogates_keep_form_gender_and_script():
     new, kinds = surrogates.replace(TEXT, {})
-    assert Counter(kinds)["surname"] == 4 and Counter(kinds)["given_f"] == 2
+    assert Counter(kinds)["surname"] == 5 and Counter(kinds)["given_f"] == 2  # GARCIA is one
     for old in ("Maria", "Garcia", "Johnson", "maria.garcia", "555-0147", "4111 1111", "52.10.20",
                 "123-45-6789", "Петрова", "Иван", "AKIAABCD", "ab12cd34"):
         assert old not in new
@@ -313,3 +313,59 @@ def test_collisions_move_on(spark):
     values = [r["value"] for r in rows_of(known)]
     names = [surrogates.surrogate("email", v, moved.get(v, 0)) for v in values]
     assert moved and len(set(names)) == len(values) and not set(names) & set(values)
+
+
+def test_one_person_has_one_surrogate():
+    for text, same in (
+            ("Mr Tariq Aziz came. Tariq said AZIZ left.", [(1, 4), (2, 6)]),
+            ("Dr Tariq Aziz and Mr Tariq Aziz", [(1, 5), (2, 6)]),
+            ("MARIA GARCIA and Maria Garcia", [(0, 3), (1, 4)])):
+        new = re.findall(r"\w+", surrogates.replace(text, {})[0])
+        old = re.findall(r"\w+", text)
+        for i, j in same:
+            assert new[i].lower() == new[j].lower() != old[i].lower()
+            assert new[i].isupper() == old[i].isupper() and new[j].isupper() == old[j].isupper()
+        assert len({w.lower() for w in old}) == len({w.lower() for w in new})
+    new = surrogates.replace("Mr President Obama; the president. President", {})[0]
+    assert new.endswith("; the president. President")  # a word that the text has in small letters
+
+
+def test_more_forms():
+    old = ("call 020 7946 0958 or +44 20 7946 0958; GB82 WEST 1234 5698 7654 32, DE89370400440532013000; "
+           "3782 822463 10005; 2001:db8:85a3::8a2e:370:7334; password: hunter22 api_key=x")
+    new, kinds = surrogates.replace(old, {})
+    assert kinds == ["phone", "phone", "iban", "iban", "card", "ipv6", "secret", "secret"]
+    for form in (r"call 0\d\d \d{4} \d{4} or \+44 \d\d \d{4} \d{4};", r"; 3\d{3} \d{6} \d{5};",
+                 r" DE\d{20};", r"[\da-f]{4}:[\da-f]{3}:[\da-f]{4}::[\da-f]{4}:[\da-f]{3}:[\da-f]{4};"):
+        assert re.search(form, new), form
+    for iban in re.findall(r"GB[^,]+|DE\d+", new):
+        assert surrogates._is_iban(iban.replace(" ", "")) and iban not in old
+    clean = "Password: required; a::b, std::vector, 12:30:45, 1:2:3, 00:1A:2B:3C:4D:5E, 2020-2021, token: yes"
+    assert surrogates.replace(clean, {}) == (clean, [])
+
+
+def test_genders_of_the_whole_corpus(spark):
+    """Against a plain pass over all texts: told genders are counted, and hold in every text."""
+    texts = ["Ms Kamala Okoro spoke.", "Mr Kamala Okoro?", "Ms Kamala Okoro and Dr Kamala Okoro", None, "",
+             "Dr Kamala Okoro alone", "Mr Tariq Aziz; Tariq", "Prof Wei Zhang, Mrs Zhang, MARIA"] * 2
+    votes = Counter()
+    for t in texts:
+        for s in {(s.value, surrogates.told_gender(s)) for s in surrogates.find(t or "")}:
+            votes[s] += 1
+    genders = {v: "f" if votes[v, "f"] > votes[v, "m"] else "m" for v, g in votes if g}
+    assert genders == {"kamala": "f", "tariq": "m"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r for r in rows_of(surrogates.replace_entities(df))}
+    for i, t in enumerate(texts):
+        want = (None, []) if t is None else surrogates.replace(t, {}, genders=genders)
+        assert (got[i]["text"], list(got[i]["kinds"])) == want
+    assert re.search(r"Dr \w+(ina|ela|ora|issa) ", got[5]["text"])  # told elsewhere
+
+
+def test_small_spaces_do_not_run_out(spark):
+    known = spark.range(40_000).selectExpr(
+        "'ip' AS kind", "concat('192.168.', id div 256, '.', id % 256) AS value")
+    moved = {r["value"]: r["attempt"] for r in rows_of(surrogates.further_attempts(known))}
+    names = [surrogates.surrogate("ip", r["value"], moved.get(r["value"], 0)) for r in rows_of(known)]
+    assert len(set(names)) == 40_000 and not set(names) & {r["value"] for r in rows_of(known)}
+    assert all(n.startswith(("192.168.", "10.")) for n in names)
