@@ -53,14 +53,15 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _FULL = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_DIGITS = re.compile(
+_DIGITS = re.compile(  # the first line asks what all forms need, so most places take one look
+    r"(?=[\d+(])(?<!\w)(?:"
     rf"(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<!\w)(?:[2-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}|3[47]\d\d[ -]\d{6}[ -]\d{5})(?!\w))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\w)"
     r"|(?<![\w.-])0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}(?![\w-])"
     r"|(?<!\w)\+\d{1,3}(?:[ -]\d{2,5}){2,4}(?![\w-])"
-    r"|(?<!\w)\+\d{10,14}(?!\w))")
+    r"|(?<!\w)\+\d{10,14}(?!\w)))")
 _SECRET = re.compile(
     r"\bAKIA[0-9A-Z]{16}\b|(?<=password=)[^\s\"']+|(?<=token = \")[^\s\"]+"
     r"|(?:[Pp]assword|PASSWORD|[Pp]asswd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API_KEY"
