@@ -329,11 +329,9 @@ def group_gaps(spark, d):
 
 @query
 def gaps_with_ties(spark, d):
-    log = src.line_log(spark, d)
-    shared = dict(tie=src.LINE_TIE, rows=log.count())
-    rows = gaps.global_gap(log, **shared)
-    for key in ("product", "actor"):
-        rows = gaps.group_gap(rows, key, **shared)
+    rows = gaps.chained_gaps(
+        src.line_log(spark, d), {"gap": None, "gap_product": "product", "gap_actor": "actor"},
+        tie=src.LINE_TIE)
     return tidy(rows.select(*src.LINE_TIE, "gap", "gap_product", "gap_actor"))
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import seconds_between
+from ..session import settle_and_see
 from .ordered import over_ordered
 
 
@@ -48,9 +49,26 @@ def all_gaps(
 
     The log is placed once per column, in slices of that column's groups.
     """
-    found = log
-    shared = dict(us=us, tie=tie, rows=log.count(), slices=slices)
-    found = group_gap(found, None, "gap", **shared)
-    found = group_gap(found, actor, "gap_actor", **shared)
-    found = group_gap(found, product, "gap_product", **shared)
-    return group_gap(found, entity, "gap_entity", index="at", size="n", **shared)
+    found = chained_gaps(log, {"gap": None, "gap_actor": actor, "gap_product": product},
+                         us=us, tie=tie, slices=slices)
+    found, seen = settle_and_see(found, "gaps", n=F.count(F.lit(1)))
+    return group_gap(found, entity, "gap_entity", us, tie, index="at", size="n", rows=seen["n"],
+                     slices=slices)
+
+
+def chained_gaps(
+    log: DataFrame, keys: Mapping[str, str | None], us: str = "us", tie: Sequence[str] = ("rid",),
+    slices: int | None = None,
+) -> DataFrame:
+    """The gap columns ``keys`` (name: key, None for the whole log), one placement after the other.
+
+    Each step is stored before the next, whose range exchange reads its input twice (a sample
+    for the bounds, then the rows) and would else run the step's windows twice.
+    """
+    found, rows = log, None
+    for i, (out, key) in enumerate(keys.items()):
+        if i:
+            found, seen = settle_and_see(found, "gaps", n=F.count(F.lit(1)))
+            rows = seen["n"]
+        found = group_gap(found, key, out, us, tie, rows=rows, slices=slices)
+    return found
