@@ -105,6 +105,7 @@ PARTS = {
     "second": "second({0})", "week": "week({0})", "weekday": "isodow({0}) - 1",
     "yearday": "dayofyear({0})",
 }
+FEATURE_STATS = ("mean", "std", "min", "median", "max", *_POINTS)
 MEAN_DIGITS = {s: 10 for s in ("mean", "min", "median", "max", "10per", "25per", "75per", "90per")}
 GAPS = ["gap", "gap_entity", "gap_actor", "gap_product"]
 # grid values are safe at 8 digits, averages are not
@@ -168,6 +169,20 @@ def hashed(buckets: int, agg: str, norm: bool = True) -> str:
 coo AS (SELECT entity, feature, {value} AS value FROM cells)"""
 
 
+def seconds_text(c: str) -> str:
+    """Seconds as Spark writes a double: from 0.001 on as they are, below with an exponent."""
+    us, k = f"CAST(round({c} * 1e6) AS BIGINT)", f"(length(CAST(CAST(round({c} * 1e6) AS BIGINT) AS VARCHAR)) - 1)"
+    return (f"coalesce(CASE WHEN {us} BETWEEN 1 AND 999 THEN CAST({us} / pow(10, {k}) AS VARCHAR) "
+            f"|| 'E' || ({k} - 6) ELSE CAST({c} AS VARCHAR) END, 'nan')")
+
+
+def frequent_cells(token: str, w1: float, buckets: int, agg: str, t: int) -> str:
+    """Scaled cells of hashed tokens and pairs of ``gaps`` in more than ``t`` entities."""
+    return f"""(WITH {gram_rows('gaps', token, 'us, rid', w1, 1.0)}, {hashed(buckets, agg)}
+  SELECT * FROM coo WHERE feature IN (
+    SELECT feature FROM coo GROUP BY feature HAVING count(*) > {t}))"""
+
+
 E0 = "CAST(embedding[{0}] AS DOUBLE)"
 EMB = "emb AS (SELECT CAST(vec_id AS VARCHAR) AS entity, label, " + ", ".join(
     f"{E0.format(i + 1)} AS {c}" for i, c in enumerate(DIMS)) + " FROM embeddings)"
@@ -423,11 +438,12 @@ SELECT entity, {big('dense_rank() OVER (ORDER BY actor) - 1')} AS feature, n::DO
 SELECT entity, {big('count(*)')} AS cells, {rd('sum(n)')} AS total, {rd('max(n)')} AS largest
 FROM a GROUP BY entity"""
 
-    # values depend on a fit, so rows and properties are compared
+    # vectors are defined up to rotation, so what their products rebuild is compared
     q["latent_factors"] = f"""WITH {EVENTS}, cells AS (
   SELECT entity, actor FROM ev WHERE actor IS NOT NULL GROUP BY ALL)
-SELECT DISTINCT entity, 350::BIGINT AS n_factors, TRUE AS finite FROM cells WHERE actor IN (
-  SELECT actor FROM cells GROUP BY actor HAVING count(*) > 1)"""
+SELECT entity, {big('count(*)')} AS cells, 350::BIGINT AS n_factors, TRUE AS rebuilt
+FROM cells WHERE actor IN (SELECT actor FROM cells GROUP BY actor HAVING count(*) > 1)
+GROUP BY entity"""
     q["crossfit_scores"] = """WITH p AS (
   SELECT CAST(vec_id AS VARCHAR) AS entity, CAST(embedding[1] >= 0 AS INT)::DOUBLE AS positive,
     CASE WHEN vec_id % 10 <> 9 THEN CAST(embedding[1] >= 0 AS INT)::DOUBLE END AS target
@@ -509,6 +525,42 @@ age AS (SELECT entity, {ages} FROM ages)
 SELECT en.entity, en.target, coalesce(en.fold, -1) AS fold, agg.* EXCLUDE (entity), age.* EXCLUDE (entity),
   {big(digits_of('en.entity'))} AS n_digits, {letters('en.entity')}
 FROM en LEFT JOIN agg ON agg.entity = en.entity LEFT JOIN age ON age.entity = en.entity"""
-    # most blocks of the matrix depend on a fit or on hashes: rows and properties are compared
-    q["feature_matrix"] = f"WITH {EVENTS} SELECT entity, TRUE AS has_table, TRUE AS inside FROM en"
+
+    # the matrix by block; of blocks of factors (vectors up to rotation) the cells alone
+    exact = {s: 15 for s in FEATURE_STATS}
+    raw = [i for c in TARGET_COLS for i in nine(c, "-1", exact)]
+    raw += [i for c in [*PARTS, *GAPS] for i in nine(c, None, exact)]
+    product = "coalesce(product, 'nan')"
+    blocks = {
+        2: (frequent_cells("coalesce(actor, 'nan')", 1.5, 2**29, "max", 1), None),
+        3: (frequent_cells(product, 1.0, 2**28, "sum", 10), 100),
+        4: (frequent_cells(seconds_text("gap"), 1.5, 2**28, "max", 1), None),
+        5: (frequent_cells(seconds_text("gap_entity"), 1.5, 2**28, "max", 5), 300),
+        6: (frequent_cells(seconds_text("gap_actor"), 1.5, 2**28, "max", 5), 50),
+        7: (frequent_cells(seconds_text("gap_product"), 1.5, 2**28, "max", 1), 50),
+    }
+    summed = (f"count(*)::BIGINT AS cells, {rd('sum(value)', 4)} AS total, "
+              f"{rd('sqrt(sum(value * value))', 4)} AS length")
+    parts = [f"SELECT entity, 0::BIGINT AS block, {summed} FROM scaled WHERE abs(value) > 1e-9 GROUP BY entity",
+             """SELECT DISTINCT entity, 1, 350, NULL, NULL FROM acts WHERE actor IN (
+  SELECT actor FROM acts GROUP BY actor HAVING count(*) > 1)"""]
+    parts += [f"SELECT entity, {b}, {summed} FROM {cells} GROUP BY entity" if rank is None
+              else f"SELECT DISTINCT entity, {b}, {rank}, NULL, NULL FROM {cells}"
+              for b, (cells, rank) in blocks.items()]
+    q["feature_matrix"] = f"""WITH {EVENTS}, {attached()}, {EV_GAPS}, {FILLED}, {AGES},
+wide AS (SELECT enc.*, {dated('enc.ts')}, {', '.join(f'filled.{g}' for g in GAPS)}
+         FROM enc JOIN filled ON filled.rid = enc.rid),
+agg AS (SELECT entity, {', '.join(raw)}, {counts} FROM wide GROUP BY entity),
+age AS (SELECT entity, {ages} FROM ages),
+feats AS (
+  SELECT en.entity, agg.* EXCLUDE (entity), age.* EXCLUDE (entity),
+    {big(digits_of('en.entity'))} AS n_digits, {letters('en.entity')}
+  FROM en LEFT JOIN agg ON agg.entity = en.entity LEFT JOIN age ON age.entity = en.entity),
+doubles AS (SELECT entity, coalesce(CAST(COLUMNS(* EXCLUDE (entity)) AS DOUBLE), -1) FROM feats),
+long AS (UNPIVOT doubles ON COLUMNS(* EXCLUDE (entity)) INTO NAME c VALUE x),
+scaled AS (
+  SELECT entity, (x - avg(x) OVER w) / nullif(stddev_pop(x) OVER w + avg(x) OVER w + 1, 0) AS value
+  FROM long WINDOW w AS (PARTITION BY c)),
+acts AS (SELECT entity, actor FROM ev WHERE actor IS NOT NULL GROUP BY ALL)
+""" + "\nUNION ALL ".join(parts)
     return q

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,8 @@ from logfeat.functions import (
     seconds_between, str_key, with_ngrams)
 from logfeat.functions.columns import DATE_PARTS
 from logfeat.operators import gaps, keys, matrix, rollup, scaling, scoring, screens, sequences
-from logfeat.operators.factors import latent_factors
 from logfeat.operators import target_stats as target_sums
+from logfeat.operators.factors import both_factors, known_and_all
 from logfeat.operators.target_stats import target_stats
 from logfeat.plans.features import GAP_COLS, RANKS, TARGET_COLS, target_rollup
 from logfeat.plans.score import BLEND_WEIGHTS
@@ -527,9 +528,11 @@ def vector_rows(spark, d):
 @query
 def latent_factor_rows(spark, d):
     cells = matrix.min_doc_freq(matrix.interactions(src.event_log(spark, d)), 1)
-    rows = latent_factors(cells, RANKS["user"])
-    finite = F.forall("factors", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return tidy(rows.select("entity", F.size("factors").alias("n_factors"), finite.alias("finite")))
+    rows, cols = both_factors(cells, RANKS["user"])
+    seen = known_and_all(cells, rows, cols).join(rows, "entity")
+    return tidy(seen.select(
+        "entity", "cells", F.size("factors").alias("n_factors"),
+        ((F.col("known") > 0.5) & (F.col("known") > F.col("overall"))).alias("rebuilt")))
 
 
 ALL["latent_factors"] = ALL.pop("latent_factor_rows")
@@ -691,12 +694,15 @@ def feature_table(spark, d):
 
 @query
 def feature_matrix(spark, d):
-    """Per entity: cells of the feature table, and whether all cells are inside the width."""
+    """Per entity and block: cells, sum and length; of blocks of factors, the cells alone."""
     log = src.prepared_events(spark, d)
-    m = plans.feature_matrix(log, src.event_entities(spark, d))
-    inside = (F.min("feature") >= 0) & (F.max("feature") < m.width)
-    return tidy(m.coo.groupBy("entity").agg(
-        (F.count_if(F.col("feature") < 183) > 100).alias("has_table"), inside.alias("inside")))
+    m = plans.feature_matrix(log, src.event_entities(spark, d), hashing="md5")
+    # a column without spread scales to 0, or to the rounding error of its mean
+    m = replace(m, coo=m.coo.where(F.abs("value") > 1e-9))
+    fitted = F.col("block").isin(1, 3, 5, 6, 7)
+    rows = matrix.block_sums(m).withColumns(
+        {c: F.when(~fitted, F.col(c)) for c in ("total", "length")})
+    return tidy(rows, {"total": 4, "length": 4})
 
 
 def queries() -> dict[str, Query]:

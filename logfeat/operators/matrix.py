@@ -17,10 +17,29 @@ from .ordered import over_ordered
 
 @dataclass(frozen=True)
 class Matrix:
-    """Coordinate rows plus the declared width: trailing empty columns leave no rows."""
+    """Coordinate rows plus the declared width: trailing empty columns leave no rows.
+
+    ``starts`` has the first feature of every block that hstack() has put in, in ascending order.
+    """
 
     coo: DataFrame
     width: int
+    starts: tuple[int, ...] = (0,)
+
+
+def block_of(m: Matrix) -> Column:
+    """The number, from 0, of the block that a cell of ``m`` lies in."""
+    later = [(F.col("feature") >= F.lit(s)).cast("int") for s in m.starts[1:]]
+    return sum(later, F.lit(0))
+
+
+def block_sums(m: Matrix) -> DataFrame:
+    """(entity, block, cells, total, length): one row per entity and block with cells; the
+    Euclidean length shows whether a block is scaled as its neighbours are."""
+    v = F.col("value")
+    return m.coo.groupBy("entity", block_of(m).alias("block")).agg(
+        F.count(F.lit(1)).alias("cells"), F.sum(v).alias("total"),
+        F.sqrt(F.sum(v * v)).alias("length"))
 
 
 def interactions(log: DataFrame, row: str = "entity", col: str = "actor") -> DataFrame:
@@ -167,13 +186,14 @@ def to_dense(matrix: Matrix, names: Sequence[str]) -> DataFrame:
 
 def hstack(blocks: Sequence[Matrix]) -> Matrix:
     """Blocks side by side: features move up by the declared widths of earlier blocks."""
-    offset, moved = 0, None
+    offset, moved, starts = 0, None, []
     for b in blocks:
         part = b.coo.select(
             "entity", (F.col("feature") + F.lit(offset)).alias("feature"), "value")
         moved = part if moved is None else moved.unionByName(part)
+        starts += [offset + s for s in b.starts]
         offset += b.width
-    return Matrix(moved, offset)
+    return Matrix(moved, offset, tuple(starts))
 
 
 _VECTOR = T.StructType([T.StructField("v", VectorUDT())])

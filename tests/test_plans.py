@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from logfeat import plans, sources
-from logfeat.operators import scoring
-from logfeat.operators.factors import latent_factors
+from logfeat.operators import matrix, scoring
+from logfeat.operators.factors import both_factors, known_and_all, latent_factors
 from logfeat.plans.features import feature_columns
 
 
@@ -103,6 +103,39 @@ def test_factors_rank_seen_pairs_first(spark):
     assert alike("e0", "e2") > alike("e0", "e1")
 
 
+def test_factors_rebuild_the_cells(spark):
+    cells = [(f"e{i}", f"c{j}", 1.0) for i in range(20) for j in range(20) if i % 2 == j % 2]
+    coo = spark.createDataFrame(cells, "entity string, feature string, value double")
+    rows, cols = both_factors(coo, 2)
+    u, v = ({r[0]: r["factors"] for r in t.collect()} for t in (rows, cols))
+    got = {r["entity"]: r for r in known_and_all(coo, rows, cols).collect()}
+    assert len(got) == 20
+    for e, r in got.items():
+        p = {c: sum(x * y for x, y in zip(u[e], v[c])) for c in v}
+        own = [p[c] for a, c, _ in cells if a == e]
+        assert r["cells"] == 10 and r["known"] == pytest.approx(sum(own) / 10, abs=1e-6)
+        assert r["overall"] == pytest.approx(sum(p.values()) / 20, abs=1e-6)
+        assert r["known"] > 0.5 > r["overall"] + 0.01
+    # vectors that belong to other entities do not pass for a fit
+    other = rows.withColumn("entity", F.concat(F.lit("e"), (
+        F.substring("entity", 2, 9).cast("int") + 1) % 20))
+    assert all(r["known"] < 0.5 for r in known_and_all(coo, other, cols).collect())
+
+
+def test_blocks_of_stacked_matrices(spark):
+    def cells(*rows):
+        return spark.createDataFrame(rows, "entity string, feature long, value double")
+
+    a = matrix.Matrix(cells(("x", 0, 3.0), ("x", 1, 4.0), ("y", 1, 1.0)), 2)
+    b = matrix.Matrix(cells(("x", 0, 5.0)), 3)
+    m = matrix.hstack([a, matrix.hstack([b, a])])
+    assert (m.width, m.starts) == (7, (0, 2, 5))
+    got = {(r["entity"], r["block"]): (r["cells"], r["total"], r["length"])
+           for r in matrix.block_sums(m).collect()}
+    assert got == {("x", 0): (2, 7.0, 5.0), ("y", 0): (1, 1.0, 1.0), ("x", 1): (1, 5.0, 5.0),
+                   ("x", 2): (2, 7.0, 5.0), ("y", 2): (1, 1.0, 1.0)}
+
+
 def test_matrix_and_scores(prepared):
     log, entities = prepared
     ranks = {"user": 3, "product": 2, "gap_entity": 2, "gap_actor": 2, "gap_product": 2}
