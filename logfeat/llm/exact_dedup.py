@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.screens import screened_known
 from ..session import settle
+from . import common
 from .common import partitions, whole
 
 FILTER_KEYS, LEAST_KEYS = 200_000, 1_000  # digests in a filter, and fewer for more cores
@@ -119,19 +121,48 @@ def screen(incoming: DataFrame, filters: DataFrame) -> DataFrame:
         passes, "snapshot int, bucket long, digest long, text_sha binary, bytes long, batch int")
 
 
+def texts_of(texts: DataFrame, digests: DataFrame) -> DataFrame:
+    """The distinct (batch, digest, body) of ``texts`` with one of the stored ``digests``.
+
+    A short list travels to the texts.  Of a longer one a bitmap does, as far as one can be made;
+    what it lets pass is made distinct in the tasks before it is shuffled, so that a text that a
+    third of all rows have is one row of each task.
+    """
+    if digests.count() <= common.BROADCAST_ROWS:
+        return texts.join(F.broadcast(digests), "digest", "left_semi").distinct()
+    return screened_known(texts.distinct(), digests, ["digest"])
+
+
+def same_bytes(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """The distinct (digest, text_sha, bytes) of bodies that a batch shares with a snapshot.
+
+    ``found`` has the positives (snapshot, batch, digest) that are in the snapshot's exact bucket.
+    Only their texts are read again and shuffled; bodies join by all their bytes.
+    """
+    found = settle(found.select("snapshot", "batch", "digest").distinct(), "found")
+    held = settle(texts_of(texts, settle(found.select("digest").distinct(), "positives")), "bodies")
+    new = found.join(held, ["batch", "digest"])
+    old = held.withColumnRenamed("batch", "snapshot")
+    agreed = new.join(old, ["snapshot", "digest", "body"]).select("digest", "body").distinct()
+    return agreed.select("digest", F.unhex(F.sha2("body", 256)).alias("text_sha"),
+                         F.octet_length("body").cast("long").alias("bytes"))
+
+
 def exact_groups(
     docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", n_batches: int = N_BATCHES,
-    batch=None, filter_keys: int = FILTER_KEYS,
+    batch=None, filter_keys: int = FILTER_KEYS, check_bytes: bool = True,
 ) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs``.
+    """(doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs`` (a stored table).
 
     The rows come in batches (``batch``: an integer column from 0, null as 0; by default a hash of
     the id).
     Of each batch equal digests are grouped among themselves first, whatever came earlier; what
     is left, one row per text, is the batch's immutable snapshot.  Each snapshot has static
     binary fuse filters over 64-bit digests; a later batch asks the filters of all earlier ones,
-    and only what they let pass joins the snapshot's exact bucket, where length and all bytes of
-    the SHA-256 must agree.  Texts that no other batch has are done without that join.
+    and only what they let pass joins the snapshot's exact bucket by digest, length and SHA-256;
+    then the texts of what is found there are read, and all their bytes must agree.  Texts that no
+    other batch has are done without these joins.  Inside a batch digest, length and SHA-256
+    decide; with ``check_bytes=False`` they do everywhere.
 
     The row with the largest id stays (of rows with the same id and text, the one read last).
     Null texts are empty texts; a null id is below all others.  No rows give no rows, other
@@ -139,10 +170,10 @@ def exact_groups(
     """
     body = whole(text)
     of = F.pmod(F.xxhash64(F.lit("batch"), F.col(id_col)), F.lit(n_batches)).cast("int")
+    of = (of if batch is None else F.coalesce(batch, F.lit(0)).cast("int")).alias("batch")
+    digest = F.xxhash64(body).alias("digest")
     rows = settle(docs.select(
-        F.col(id_col).alias("doc_id"),
-        (of if batch is None else F.coalesce(batch, F.lit(0)).cast("int")).alias("batch"),
-        F.xxhash64(body).alias("digest"), F.unhex(F.sha2(body, 256)).alias("text_sha"),
+        F.col(id_col).alias("doc_id"), of, digest, F.unhex(F.sha2(body, 256)).alias("text_sha"),
         F.octet_length(body).cast("long").alias("bytes"),
         F.monotonically_increasing_id().alias("row")), "digests")
     n, cores = rows.count(), docs.sparkSession.sparkContext.defaultParallelism
@@ -156,9 +187,10 @@ def exact_groups(
         "snapshot", F.explode(F.sequence(F.lit(0), F.col("batch") - 1)))
     passed = screen(incoming, filters)
     bucket = groups.select(F.col("batch").alias("snapshot"), "digest", "text_sha", "bytes")
-    found = passed.join(bucket, ["snapshot", "digest", "text_sha", "bytes"])
-    shared = settle(found.select("digest", "text_sha", "bytes").distinct(), "shared")
     key = ["digest", "text_sha", "bytes"]
+    found = passed.join(bucket, ["snapshot", *key])
+    shared = settle(same_bytes(docs.select(of, digest, body.alias("body")), found) if check_bytes
+                    else found.select(*key).distinct(), "shared")
     merged = groups.join(shared, key, "left_semi").groupBy(*key).agg(
         F.max("last").alias("all_last"), F.sum("n").alias("all_n"))
     final = groups.join(merged, key, "left").select(

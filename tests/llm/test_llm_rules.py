@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.compare import difference, duck
-from logfeat.llm import exact_dedup, host_rules, line_dedup, mixing, queries, sharding
+from logfeat.llm import common, exact_dedup, host_rules, line_dedup, mixing, queries, sharding
 from logfeat.session import settle
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -119,6 +119,35 @@ def test_drop_copies(spark):
             [(None, "a"), (4, "b"), (6, "")])
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_bytes_of_positives(spark, monkeypatch, most):
+    """Texts of equal digests count as shared only if all bytes agree, by either way to them."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+    rows = [(0, 7, "a"), (1, 7, "a"), (1, 7, "b"), (2, 7, "c"), (0, 8, "x"), (2, 8, "y"), (0, 9, "d"),
+            (2, 9, "d"), (2, 9, "d"), (1, 5, "never asked")]
+    texts = spark.createDataFrame(rows, "batch int, digest long, body string")
+    pairs = [(0, 1, 7), (0, 2, 7), (1, 2, 7), (0, 2, 8), (0, 2, 9), (0, 2, 9)]
+    found = spark.createDataFrame(pairs, "snapshot int, batch int, digest long")
+    got = rows_of(exact_dedup.same_bytes(texts, found))
+    assert sorted((r["digest"], bytes(r["text_sha"]), r["bytes"]) for r in got) == [
+        (7, hashlib.sha256(b"a").digest(), 1), (9, hashlib.sha256(b"d").digest(), 1)]
+    asked = settle(spark.createDataFrame([(7,), (9,)], "digest long"))
+    assert Counter((r["batch"], r["digest"], r["body"]) for r in rows_of(
+        exact_dedup.texts_of(texts, asked))) == Counter(set(x for x in rows if x[1] in (7, 9)))
+
+
+def test_a_third_of_the_rows_are_one_text(spark, monkeypatch):
+    df = settle(spark.range(3000).select(F.col("id").alias("doc_id"), F.expr(
+        "CASE WHEN id % 3 = 0 THEN repeat('one text ', 900) ELSE 'text ' || id div 4 END").alias("text")))
+    runs = []
+    for most, check in ((1_000_000, True), (0, True), (0, False)):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+        runs.append(Counter(tuple(r) for r in exact_dedup.exact_groups(
+            df, filter_keys=300, check_bytes=check).collect()))
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == 3000
+    assert sum(r[2] == 1000 for r in runs[0]) == 1000
+
+
 def test_null_batches(spark):
     rows = [(1, "a", None), (2, "a", 1), (3, "b", None), (4, "b", None), (5, "c", 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, batch int")
