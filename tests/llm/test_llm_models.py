@@ -234,6 +234,61 @@ def test_normal_equations_over_partitions(spark):
         assert np.allclose(got[fold], np.hstack([z.T @ z, (z.T @ y)[:, None]]))
 
 
+def plain_scores(docs, labels):
+    """Score by id without Spark: ridge by least squares, isotonic means by the max-min formula."""
+    q = quality_model
+    marks = {}
+    for i, y in labels:
+        marks.setdefault(i, []).append(y)
+    x = np.array([q.statistics(t or "") for _, t in docs])
+    own = [k for k, (i, _) in enumerate(docs) if i in marks and zlib.crc32(str(i).encode()) % 5]
+    y = np.array([np.mean(marks[docs[k][0]]) for k in own])
+    half = np.array([zlib.crc32(f"half{docs[k][0]}".encode()) % 2 for k in own])
+    mean, std = x[own].mean(0), x[own].std(0, ddof=1)
+    rng = np.random.default_rng(q.SEED)
+    w = rng.normal(size=(len(q.NAMES), q.N_FEATURES)) / q.WIDTH
+    shift = rng.uniform(0, 2 * np.pi, q.N_FEATURES)
+    flat = np.clip((x - mean) / np.where(std > 1e-9, std, 1), -6, 6)
+    z = np.hstack([np.cos(flat @ w + shift) * (2 / q.N_FEATURES) ** 0.5, np.ones((len(x), 1))])
+    weight = np.diag(np.sqrt([q.RIDGE] * q.N_FEATURES + [1e-6]))
+
+    def fit(a, b):
+        return np.linalg.lstsq(np.vstack([a, weight]), np.concatenate([b, np.zeros(len(weight))]),
+                               rcond=None)[0]
+
+    crossed = np.zeros(len(own))
+    for h in (0, 1):
+        crossed[half == h] = z[own][half == h] @ fit(z[own][half != h], y[half != h])
+    bins = {}
+    for r, v in zip(crossed, y):
+        step = int(min(max((r + 0.5) / 2, 0), 1 - 1e-9) * q.STEPS)
+        bins.setdefault((step + 0.5) / q.STEPS * 2 - 0.5, []).append(v)
+    at = sorted(bins)
+    n = np.array([len(bins[a]) for a in at], float)
+    sums = np.array([sum(bins[a]) for a in at])
+    fitted = [max(min(sums[a:b].sum() / n[a:b].sum() for b in range(i + 1, len(at) + 1))
+                  for a in range(i + 1)) for i in range(len(at))]
+    knots, values, i = [], [], 0
+    while i < len(at):
+        same = [j for j in range(len(at)) if abs(fitted[j] - fitted[i]) < 1e-12]
+        knots.append(np.average(np.array(at)[same], weights=n[same]))
+        values.append(fitted[i])
+        i = same[-1] + 1
+    raw = z @ fit(z[own], y)
+    return np.clip(0.999 * np.interp(raw, knots, values) + 0.001 / (1 + np.exp(-4 * raw)), 0, 1)
+
+
+def test_scores_against_a_fit_without_spark(spark, data):
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    pairs = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = plain_scores(pairs, [(r["doc_id"], r["quality"]) for r in labels.collect()])
+    got = {r["doc_id"]: r for r in rows_of(quality_model.score_quality(docs, labels))}
+    assert len(got) == len(pairs) and 0 < sum(r["predicted"] for r in got.values()) < len(got)
+    for (i, _), score in zip(pairs, want):
+        assert got[i]["score"] == pytest.approx(score, abs=1e-6)
+        assert got[i]["predicted"] == (got[i]["score"] >= 0.3)
+
+
 def test_held_out_quality(spark, awkward, nothing):
     d = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))

@@ -194,6 +194,30 @@ def test_shards(spark, awkward):
     assert max(sums) - min(sums) < 0.005 * sum(sums) / 8, sums
 
 
+def differenced(sizes, k):
+    """The sets of a Karmarkar-Karp partition, kept as sets of items all the way."""
+    states = [[(s, {i})] + [(0, set())] * (k - 1) for i, s in enumerate(sizes)]
+    while len(states) > 1:
+        states.sort(key=lambda x: x[0][0] - x[-1][0])
+        a, b = states.pop(), states.pop()
+        both = [(s + t, x | y) for (s, x), (t, y) in zip(a, reversed(b))]
+        states.append(sorted(both, key=lambda x: -x[0]))
+    return {frozenset(x) for _, x in states[0]}
+
+
+def test_shards_against_differencing_of_sets(spark):
+    """All sizes and sums of them differ, so there is one answer: shards are those sets of groups."""
+    rng = random.Random(8)
+    sizes = [rng.randint(10**4, 10**6) for _ in range(120)]
+    rows = [(i * 10 + j, chr(97 + i % 26) + str(i) + "x" * s) for i, s in enumerate(sizes) for j in range(1 + i % 3)]
+    df = settle(spark.createDataFrame(rows, "doc_id long, text string"))
+    total = [sum(len(t) + 1 for d, t in rows if d // 10 == i) for i in range(len(sizes))]
+    got = defaultdict(set)
+    for r in rows_of(sharding.shard(df)):
+        got[r["shard"]].add(r["doc_id"] // 10)
+    assert {frozenset(v) for v in got.values()} == differenced(total, 8)
+
+
 def test_targets(spark):
     rng = random.Random(2)
     for _ in range(4):
