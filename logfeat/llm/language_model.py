@@ -254,8 +254,9 @@ def score_documents(
     ``folds`` is ``out`` (``held_out``).  The softmax has classes of the HEAD most frequent
     tokens and TAILS classes of all other words, which share their class's probability by their
     counts; all is one distribution over the training words and unseen words.  Training goes
-    once over all training texts, in ROUNDS disjoint parts: in each, tasks train on their own
-    texts and the weights are averaged.  Scoring carries the state through each whole text.
+    once over all training texts, in ROUNDS disjoint parts by a hash of the id (of a row without
+    one, its place): in each, tasks train on their own texts and the weights are averaged, so
+    weights differ a little where files are laid out otherwise.  Scoring carries the state through each whole text.
 
     Words beyond the DICTIONARY most frequent are looked up by a join of (row, word, times).  A
     null text is an empty one (its end token alone); rows with a null id are training rows; equal
@@ -272,7 +273,8 @@ def score_documents(
     texts = settle(coded(rows, sent, kind), "coded")
 
     weights = lex.shape.initial(lex.start_counts)
-    part = F.pmod(F.xxhash64("row"), F.lit(ROUNDS))
+    own_id = F.coalesce(F.col("doc_id").cast("string"), F.col("row").cast("string"))
+    part = F.pmod(F.xxhash64(own_id), F.lit(ROUNDS))
     for r in range(ROUNDS):
         rates = RATE * (1 - 0.9 * r / ROUNDS), RATE * (1 - 0.9 * (r + 1) / ROUNDS)
         own = texts.where(~F.col("held_out") & (part == r))
