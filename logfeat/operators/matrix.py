@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import settle
+from ..session import deal_out, settle
 from .keys import attach
 from .ordered import over_ordered
 
+LIST_ROWS = 50_000  # tokens of one entity that are gathered in a row; longer ones stay rows
+TRAVEL_KEYS = 1_000_000  # of the most frequent features, which travel to their cells
+
 
 @dataclass(frozen=True)
 class Matrix:
@@ -61,40 +64,102 @@ def min_doc_freq(coo: DataFrame, t: int) -> DataFrame:
     two passes would share no work.
     """
     coo = settle(coo, "cells")
-    kept = doc_freq(coo).where(F.col("df") > t).select("feature")
-    return coo.join(kept, "feature", "left_semi").select(*coo.columns)
+    return keep_features(coo, settle(doc_freq(coo).where(F.col("df") > t), "kept"))
+
+
+def frequent(counted: DataFrame, n: str, most: int = TRAVEL_KEYS) -> tuple[DataFrame, DataFrame | None]:
+    """(the most frequent features, ``most`` at most; the others, None if there are none).
+
+    ``counted`` is stored and has a row per feature with its count ``n``.  The border is a step of
+    the counts' logarithm, so that a few hundred numbers decide on it.
+    """
+    step = F.floor(F.log2(n) * 8)
+    room, border, left = most, None, False
+    for r in counted.groupBy(step.alias("s")).count().orderBy(F.desc("s")).collect():
+        room -= r["count"]
+        if room < 0:
+            left = True
+            break
+        border = r["s"]
+    if not left:
+        return counted, None
+    top = F.lit(False) if border is None else step >= border
+    return counted.where(top), counted.where(~top)
+
+
+def keep_features(coo: DataFrame, kept: DataFrame, most: int = TRAVEL_KEYS) -> DataFrame:
+    """Cells of the features of ``kept``, stored (feature, df).
+
+    The most frequent ones, which have most of the cells, travel to them; only cells of none of
+    these are shuffled.  ``coo`` is read twice where there are others, so give it stored.
+    """
+    top, rest = frequent(kept, "df", most)
+    top = F.broadcast(top.select("feature"))
+    found = coo.join(top, "feature", "left_semi").select(*coo.columns)
+    if rest is None:
+        return found
+    rare = coo.join(top, "feature", "left_anti").join(
+        rest.select("feature"), "feature", "left_semi")
+    return found.unionByName(rare.select(*coo.columns))
 
 
-def reindex(coo: DataFrame, slices: int | None = None) -> Matrix:
-    """Number the features that occur from 0, in ascending order of their old ids."""
-    old = settle(coo.select("feature").distinct(), "features")
-    new = over_ordered(old, [], ["feature"], index="__new", slices=slices)
-    dense = attach(coo, new, "feature").select(
-        "entity", F.col("__new").alias("feature"), "value")
-    return Matrix(dense, old.count())
+def reindex(coo: DataFrame, slices: int | None = None, most: int = TRAVEL_KEYS) -> Matrix:
+    """Number the features that occur from 0, in ascending order of their old ids.
+
+    The cells are stored and read twice.  New ids of the most frequent features travel to their
+    cells; only the other cells are shuffled.
+    """
+    coo = settle(coo.select("entity", "feature", "value"), "cells")
+    old = settle(coo.groupBy("feature").agg(F.count(F.lit(1)).alias("__n")), "features")
+    width = old.count()
+    new = settle(over_ordered(old, [], ["feature"], index="__new", rows=width, slices=slices), "codes")
+    top, rest = frequent(new, "__n", most)
+    dense = F.col("__new").alias("feature")
+    if rest is None:
+        return Matrix(coo.join(F.broadcast(top), "feature", "left").select("entity", dense, "value"), width)
+    # a null feature has a number among the old ids, but cells that name it keep a null
+    found = coo.join(F.broadcast(top), "feature").select("entity", dense, "value")
+    other = coo.join(F.broadcast(top.select("feature")), "feature", "left_anti")
+    return Matrix(found.unionByName(attach(other, rest, "feature").select("entity", dense, "value")), width)
 
 
 def hashed_ngrams(
     tokens: DataFrame, token: str, entity: str = "entity", order: Sequence[str] = ("us", "rid"),
     *, weights: Sequence[float] = (1.5, 1.0), buckets: int = 2**28, tf: str = "binary",
     norm: bool = True, hashing: str = "xxhash64", slices: int | None = None,
+    list_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """Hash every token and every pair of neighbours into buckets; one row per (entity, bucket).
 
     ``tf='binary'`` keeps the largest weight of a bucket, ``'count'`` adds them
     up; ``norm`` divides by the Euclidean length of the entity's row.  The pairs
-    come from the ordered rows, so no token list is ever gathered.
+    come from the ordered rows: those of an entity with at most ``list_rows`` tokens are gathered
+    in one row and hashed there; larger ones are placed in slices, so no long list is made.
     ``hashing='md5'`` exists for comparison with other engines.
     """
+    rows = tokens.where(F.col(entity).isNotNull())
+    text = F.coalesce(F.col(token).cast("string"), F.lit("nan"))
+    hot = settle(rows.groupBy(F.col(entity).alias("entity")).agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") > list_rows).select("entity"), "hot")
+    few = rows.select(F.col(entity).alias("entity"), F.struct(
+        *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], text.alias("t")).alias("i"))
+    large = not hot.isEmpty()
+    if large:
+        few = few.join(hot, "entity", "left_anti")
+    lists = few.groupBy("entity").agg(F.array_sort(F.collect_list("i")).alias("i")).select(
+        "entity", F.col("i.t").alias("__a"))
+    cells = _list_cells(lists, weights, buckets, tf, norm, hashing)
+    if not large:
+        return cells
     # stored narrow: counting, placing and pairing read it instead of making the tokens again
-    texts = settle(tokens.where(F.col(entity).isNotNull()).select(
-        entity, *[c for c in order if c != entity],
-        F.coalesce(F.col(token).cast("string"), F.lit("nan")).alias("__token")), "tokens")
+    texts = settle(rows.select(
+        entity, *[c for c in order if c != entity], text.alias("__token")).join(
+            hot.withColumnRenamed("entity", entity), entity, "left_semi"), "tokens")
     pairs = over_ordered(texts, [entity], list(order), prev={"__prev": "__token"}, slices=slices)
     both = F.array(*[F.struct(term.alias("term"), F.lit(float(w)).alias("w")) for term, w in zip(
         (F.col("__token"), F.concat("__prev", F.lit(" "), "__token")), weights)])
     terms = pairs.select(F.col(entity).alias("entity"), F.explode(both).alias("i"))
-    return _bag(terms.select("entity", "i.*"), buckets, tf, norm, hashing)
+    return cells.unionByName(_bag(terms.select("entity", "i.*"), buckets, tf, norm, hashing))
 
 
 def hashed_list_ngrams(
@@ -104,26 +169,58 @@ def hashed_list_ngrams(
 ) -> DataFrame:
     """hashed_ngrams() where each row already holds its tokens in an array column.
 
-    Pairs form inside the row, so nothing is sorted or windowed.
+    Pairs form inside the row, so nothing is sorted or windowed.  Cells of an entity with one row
+    are made there too; those of an entity with several rows meet in a shuffle.
     """
     text = F.transform(F.col(column).cast("array<string>"), lambda x: F.coalesce(x, F.lit("nan")))
+    rows = df.select(F.col(entity).alias("entity"), text.alias("__a")).where(F.col("entity").isNotNull())
+    several = settle(rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "entity"), "several")
     # lists are far smaller than the terms they make, so they are dealt out first: files may be few
-    session = df.sparkSession
-    parts = max(session.sparkContext.defaultParallelism,
-                int(session.conf.get("spark.sql.shuffle.partitions")))
-    rows = df.select(F.col(entity).alias("entity"), text.alias("__a")).where(
-        F.col("entity").isNotNull()).repartition(parts)
-    # the last token has no successor: zip_with() gives it a null
-    pairs = F.zip_with("__a", F.slice("__a", 2, F.size("__a")),
-                       lambda x, y: F.concat(x, F.lit(" "), y))
-    if tf == "binary":  # a row names each of its terms once
-        each = rows.select("entity", F.array_distinct("__a").alias("t"),
-                           F.array_distinct(pairs).alias("p"))
-    else:
-        each = rows.select("entity", F.col("__a").alias("t"), pairs.alias("p"))
-    terms = [each.select("entity", F.explode(c).alias("term"), F.lit(float(w)).alias("w"))
-             for c, w in zip("tp", weights)]
-    return _bag(terms[0].unionByName(terms[1]), buckets, tf, norm, hashing)
+    if several.isEmpty():
+        return _list_cells(deal_out(rows), weights, buckets, tf, norm, hashing)
+    single, met = (deal_out(rows.join(several, "entity", how)) for how in ("left_anti", "left_semi"))
+    return _list_cells(single, weights, buckets, tf, norm, hashing).unionByName(
+        _bag(_list_terms(met, weights, tf), buckets, tf, norm, hashing))
+
+
+def _pairs(words: str = "__a") -> Column:
+    """Each token with its successor; the last one has none, for which zip_with() gives a null."""
+    return F.zip_with(words, F.slice(words, 2, F.size(words)),
+                      lambda x, y: F.concat(x, F.lit(" "), y))
+
+
+def _list_terms(rows: DataFrame, weights: Sequence[float], tf: str) -> DataFrame:
+    """(entity, term, w) of lists ``__a``; for ``tf='binary'`` a row names each of its terms once."""
+    once = F.array_distinct if tf == "binary" else (lambda c: c)
+    kinds = F.array(*[F.struct(once(terms).alias("t"), F.lit(float(w)).alias("w"))
+                      for terms, w in zip((F.col("__a"), _pairs()), weights)])
+    return rows.select("entity", F.explode(kinds).alias("k")).select(
+        "entity", F.explode("k.t").alias("term"), F.col("k.w").alias("w"))
+
+
+def _list_cells(
+    rows: DataFrame, weights: Sequence[float], buckets: int, tf: str, norm: bool, hashing: str,
+) -> DataFrame:
+    """Weighted buckets of lists ``__a``, one row per entity; binary ones without a shuffle."""
+    if tf != "binary":
+        return _bag(_list_terms(rows, weights, tf), buckets, tf, norm, hashing)
+    ranked = sorted(zip((F.col("__a"), _pairs()), map(float, weights)), key=lambda x: -x[1])
+    names = [f"f{i}" for i in range(len(ranked))]
+    each = rows.select("entity", *[
+        F.array_distinct(F.transform(F.filter(F.array_distinct(terms), lambda x: x.isNotNull()),
+                                     lambda x: bucket_of(x, buckets, hashing))).alias(name)
+        for name, (terms, _) in zip(names, ranked)])
+    if len(names) > 1:  # a bucket of both kinds has the larger weight
+        each = each.withColumn("f1", F.array_except("f1", "f0"))
+    length = F.lit(1.0)
+    if norm:
+        length = F.sqrt(sum((F.size(name) * F.lit(w * w) for name, (_, w) in zip(names, ranked)), F.lit(0.0)))
+    each = each.withColumn("__length", length)
+    kinds = F.array(*[F.struct(F.col(name).alias("f"), (F.lit(w) / F.nullif(F.col("__length"), F.lit(0.0))).alias("v"))
+                      for name, (_, w) in zip(names, ranked)])
+    return each.select("entity", F.explode(kinds).alias("k")).select(
+        "entity", F.explode("k.f").alias("feature"), F.col("k.v").alias("value"))
 
 
 def _bag(terms: DataFrame, buckets: int, tf: str, norm: bool, hashing: str) -> DataFrame:

@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle, settle_and_see
+from .matrix import doc_freq, keep_features
 
 WORD = 64
 MOST_BITS = 1 << 26  # of a bitmap that travels: 8 MB
 KEY_BITS = 12  # bits a key: with three places a key about one foreign row in fifty passes
 PLACES = 3
+LANE = 8  # counters of a sketch that travel in one row
 
 
 def _places(cols: Sequence[str], bits: int, places: int = PLACES) -> list[Column]:
@@ -87,15 +89,19 @@ def screened_doc_freq(coo: DataFrame, t: int, bits: int = 1 << 22, places: int =
 
     Each feature adds to one counter a row of the sketch; a counter never undercounts, so a feature
     with a counter of t or less occurs in t entities at most and its cells leave before the
-    shuffle.  Counters are combined in the tasks, ``bits`` of them a row; with many more features
-    than that fewer cells leave, and the result is the same.
+    shuffle.  Counters are combined in the tasks, ``bits`` of them a row of the sketch and LANE
+    neighbours a row of a task; with many more features than that fewer cells leave, and the
+    result is the same.
     """
     coo = settle(coo, "cells")
     at = [F.pmod(F.xxhash64(F.lit(i), "feature"), F.lit(bits)) for i in range(places)]
-    counters = coo.select(F.explode(F.array(*[
-        p + F.lit(i * bits) for i, p in enumerate(at)])).alias("pos")).groupBy("pos").agg(
-        F.count(F.lit(1)).alias("n"))
+    lanes = coo.select(F.explode(F.array(*[
+        p + F.lit(i * bits) for i, p in enumerate(at)])).alias("pos")).groupBy(
+        F.expr(f"pos div {LANE}").alias("lane")).agg(*[
+            F.count_if(F.expr(f"pos % {LANE} = {j}")).alias(f"n{j}") for j in range(LANE)])
+    counters = lanes.select(F.explode(F.array(*[
+        F.struct((F.col("lane") * LANE + j).alias("pos"), F.col(f"n{j}").alias("n"))
+        for j in range(LANE)])).alias("c")).select("c.*")
     words = settle(bitmap(counters.where(F.col("n") > t).select("pos"), bits * places), "sketch")
     perhaps = coo.where(all_set(words.scalar(), [p + F.lit(i * bits) for i, p in enumerate(at)]))
-    kept = perhaps.groupBy("feature").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > t)
-    return perhaps.join(kept.select("feature"), "feature", "left_semi").select(*coo.columns)
+    return keep_features(perhaps, settle(doc_freq(perhaps).where(F.col("df") > t), "kept"))

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", app: str = "logfeat") -> SparkSession:
@@ -90,6 +91,19 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deal_out(df: DataFrame) -> DataFrame:
+    """``df`` in equal parts for every core, unless its rows lie about so already.
+
+    For narrow rows that long work makes many of; a file of one row group is one task else.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    held = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    if not held or max(held) <= 2 * -(-sum(held) // cores):
+        return df
+    return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def co_locate(df: DataFrame, on: str, buckets: int, name: str = "features") -> DataFrame:
     """settle() into ``buckets`` files by the hash of ``on``, sorted in each, as a table of its own.
 
