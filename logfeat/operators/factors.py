@@ -22,7 +22,8 @@ def both_factors(
     The product of two vectors is near 1 where the entity has the feature and near 0 elsewhere.
     Factors are only defined up to rotation: compare rankings, not coordinates.
     ``blocks`` divides both sides of the matrix; it defaults to the cluster's
-    cores.  Row and column codes are 32-bit integers; ``row_codes``, a code_table()
+    cores.  Vectors are solved in as many numbers as the matrix has rows or columns, where that is
+    less than ``rank``, and stretched().  Row and column codes are 32-bit integers; ``row_codes``, a code_table()
     of all entities, saves numbering them again for every matrix.
     """
     context = coo.sparkSession.sparkContext
@@ -34,19 +35,32 @@ def both_factors(
     coded = settle(coded.select("entity", "feature", F.col("row").cast("int"),
                                 F.col("col").cast("int"), F.col("value").cast("float")), "ratings")
     blocks = blocks or context.defaultParallelism
+    # a matrix of m rows or columns has no more than m independent directions: all products that
+    # longer vectors can have, m numbers have too, at the same lengths
+    sides = coded.select(F.max("row"), F.max("col")).first()
+    solved = rank if sides[0] is None else min(rank, min(sides) + 1)
     als = ALS(
-        rank=rank, implicitPrefs=True, maxIter=iterations, regParam=reg, alpha=alpha, seed=seed,
+        rank=solved, implicitPrefs=True, maxIter=iterations, regParam=reg, alpha=alpha, seed=seed,
         numUserBlocks=blocks, numItemBlocks=blocks,
         userCol="row", itemCol="col", ratingCol="value")
     model = als.fit(coded)
 
     def named(name: str, code: str, factors: DataFrame) -> DataFrame:
-        return coded.select(name, F.col(code).alias("id")).distinct().join(factors, "id").select(
-            name, F.col("features").alias("factors"))
+        rows = coded.select(name, F.col(code).alias("id")).distinct().join(factors, "id")
+        return settle(rows.select(name, stretched("features", solved, rank).alias("factors")), "factors")
 
     return named("entity", "row", model.userFactors), named("feature", "col", model.itemFactors)
 
 
+def stretched(vector: str, n: int, rank: int) -> Column:
+    """The vector of ``n`` floats with ``rank`` ones: number i is shared by the places i, i + n, ...
+    so that products and lengths of vectors stay the same."""
+    if n == rank:
+        return F.col(vector)
+    share = f"sqrt(1D + ({rank} - 1 - j % {n}) div {n})"
+    return F.expr(f"transform(sequence(0, {rank} - 1), j -> CAST({vector}[j % {n}] / {share} AS FLOAT))")
+
+
 def latent_factors(coo: DataFrame, rank: int, **options) -> DataFrame:
     """(entity, factors): the entities' side of both_factors()."""
     return both_factors(coo, rank, **options)[0]
@@ -67,8 +81,9 @@ def known_and_all(coo: DataFrame, entities: DataFrame, features: DataFrame) -> D
         return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0),
                            lambda s, x: s + x)
 
-    each = coo.select("entity", "feature").join(
-        features.withColumnRenamed("factors", "_of"), "feature").join(entities, "entity").select(
+    # entities first: a cell is shuffled before it has a vector, and the fewer features may travel
+    each = coo.select("entity", "feature").join(entities, "entity").join(
+        features.withColumnRenamed("factors", "_of"), "feature").select(
         "entity", product(F.col("factors"), F.col("_of")).alias("p"))
     known = each.groupBy("entity").agg(F.count(F.lit(1)).alias("cells"), F.avg("p").alias("known"))
     rows = known.join(entities, "entity").withColumn("_mean", mean.scalar())

@@ -75,3 +75,24 @@ def test_rows_of_one_partition_are_dealt_out(spark):
     assert deal_out(spark.range(0, 1000, 1, 1)).select(F.spark_partition_id()).distinct().count() > 1
     even = spark.range(0, 1000, 1, 8)
     assert deal_out(even) is even
+
+
+def test_factors_are_solved_in_no_more_numbers_than_the_matrix_has_columns(spark, monkeypatch):
+    ranks, als = [], factors.ALS
+    monkeypatch.setattr(factors, "ALS", lambda **kw: ranks.append(kw["rank"]) or als(**kw))
+    coo = spark.range(60).selectExpr("CAST(id AS STRING) AS entity", "explode(array(id % 5, id * 3 % 7)) AS feature",
+                                     "1D AS value").distinct()
+    rows, cols = factors.both_factors(coo, 20)
+    assert ranks == [7]
+    assert {r["n"] for r in rows.union(cols).select(F.size("factors").alias("n")).collect()} == {20}
+    seen = factors.known_and_all(coo, rows, cols).collect()
+    assert len(seen) == 60 and all(r["known"] > 0.5 and r["known"] > r["overall"] for r in seen)
+
+
+def test_stretching_keeps_products(spark):
+    a, b = [0.5, -2.0, 3.0], [1.0, 4.0, 0.25]
+    for rank in (3, 4, 7, 9):
+        r = spark.createDataFrame([(a, b)], "a array<float>, b array<float>").select(
+            factors.stretched("a", 3, rank).alias("a"), factors.stretched("b", 3, rank).alias("b")).first()
+        assert len(r["a"]) == rank
+        assert sum(x * y for x, y in zip(r["a"], r["b"])) == pytest.approx(-6.75, rel=1e-5)
