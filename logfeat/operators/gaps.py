@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import seconds_between
 from ..session import settle_and_see
-from .ordered import over_ordered
+from .ordered import ROWS_PER_SLICE, largest_group, over_ordered
 
 
 def global_gap(
@@ -49,26 +49,33 @@ def all_gaps(
 
     The log is placed once per column, in slices of that column's groups.
     """
-    found = chained_gaps(log, {"gap": None, "gap_actor": actor, "gap_product": product},
-                         us=us, tie=tie, slices=slices)
-    found, seen = settle_and_see(found, "gaps", n=F.count(F.lit(1)))
-    return group_gap(found, entity, "gap_entity", us, tie, index="at", size="n", rows=seen["n"],
-                     slices=slices)
+    return chained_gaps(
+        log, {"gap": None, "gap_actor": actor, "gap_product": product, "gap_entity": entity},
+        us=us, tie=tie, slices=slices, index="at", size="n")
 
 
 def chained_gaps(
     log: DataFrame, keys: Mapping[str, str | None], us: str = "us", tie: Sequence[str] = ("rid",),
-    slices: int | None = None,
+    slices: int | None = None, index: str | None = None, size: str | None = None,
 ) -> DataFrame:
     """The gap columns ``keys`` (name: key, None for the whole log), one placement after the other.
 
-    Each step is stored before the next, whose range exchange reads its input twice (a sample
-    for the bounds, then the rows) and would else run the step's windows twice.
+    ``index`` and ``size`` are those of the last key.
+
+    Keys whose groups all fit a slice need none: their windows run on whole groups, which are
+    shuffled once.  The step before one that is cut into slices is stored, for the latter's range
+    exchange reads its input twice (a sample for the bounds, then the rows) and would else run the
+    step's windows twice.
     """
     found, rows = log, None
     for i, (out, key) in enumerate(keys.items()):
-        if i:
+        cut = slices
+        if key and slices is None and largest_group(log, [key]) <= ROWS_PER_SLICE:
+            cut = 1
+        if i and cut != 1:
             found, seen = settle_and_see(found, "gaps", n=F.count(F.lit(1)))
             rows = seen["n"]
-        found = group_gap(found, key, out, us, tie, rows=rows, slices=slices)
+        last = i == len(keys) - 1
+        found = group_gap(found, key, out, us, tie, index=index if last else None,
+                          size=size if last else None, rows=rows, slices=cut)
     return found

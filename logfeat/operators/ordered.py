@@ -34,6 +34,12 @@ def slice_count(df: DataFrame, rows: int) -> int:
     return max(1, -(-rows // ROWS_PER_SLICE), min(cores, rows // SMALL_SLICE))
 
 
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group, nulls being a group; 0 without rows."""
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def in_slices(df: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
     """``df`` stored in ``slices`` ranges of ``keys`` (nulls first), each row with its number.
 
