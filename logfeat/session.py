@@ -104,16 +104,21 @@ def deal_out(df: DataFrame) -> DataFrame:
     return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def co_locate(df: DataFrame, on: str, buckets: int, name: str = "features") -> DataFrame:
+def co_locate(
+    df: DataFrame, on: str, buckets: int, name: str = "features", lies: bool = False
+) -> DataFrame:
     """settle() into ``buckets`` files by the hash of ``on``, sorted in each, as a table of its own.
 
     Tables with the same number of buckets join and aggregate by ``on`` without being shuffled
     again.  Choose some hundred MB a bucket of the largest one.  The files lie in the scratch
     folder; on a catalog that outlives the application, drop the table at the end of a job.
+    ``lies``: ``df`` comes of such a table with as many buckets by aggregation by ``on``, so it
+    is written as it lies.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     table = f"{name}_{uuid.uuid4().hex}"
-    df.repartition(buckets, on).write.bucketBy(buckets, on).sortBy(on).option("path", path).format(
+    dealt = df if lies else df.repartition(buckets, on)
+    dealt.write.bucketBy(buckets, on).sortBy(on).option("path", path).format(
         "parquet").saveAsTable(table)
     for stored in _STORED:
         stored.append(path)
