@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import settle
 
 BITS = 6  # leading bits a level tells apart; 64-bit keys need eleven levels at most
+GATHERED = 1024  # keys between two bounds that are ranked in one row
 
 
 def order_key(x: str) -> str:
@@ -37,35 +38,57 @@ def _shift(low: str, high: str) -> str:
             f"ELSE greatest(0, length(bin({low} ^ {high})) - {BITS}) END")
 
 
-def select_ranks(cells: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
+def _ranked(cells: DataFrame, wishes: DataFrame, by: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """(by..., r, key, keep...) of wishes (by..., r, lo, hi, below) with few keys between their
+    bounds: these are gathered in one row and counted through.  Cells are shuffled once, by group."""
+    spans = wishes.groupBy(*by, "lo", "hi").agg(F.collect_list(F.struct("r", "below")).alias("__w"))
+    item = F.struct("key", "n", *keep)
+    rows = cells.join(spans, list(by)).where("key BETWEEN lo AND hi").groupBy(*by, "lo").agg(
+        F.first("__w").alias("__w"), F.array_sort(F.collect_list(item)).alias("__cells"))
+    # the first cell with which the running count passes r
+    at = ("aggregate(__cells, named_struct('i', 0, 'at', -1, 'run', __w.below), (a, x) -> "
+          "named_struct('i', a.i + 1, 'at', CASE WHEN a.at < 0 AND __w.r < a.run + x.n THEN a.i "
+          "ELSE a.at END, 'run', a.run + x.n), a -> __cells[a.at])")
+    picked = rows.select(*by, "__cells", F.explode("__w").alias("__w")).selectExpr(
+        *by, "__w.r AS r", f"{at} AS __x")
+    return picked.select(*by, "r", *[f"__x.{c}" for c in ("key", *keep)])
+
+
+def select_ranks(
+    cells: DataFrame, wanted: DataFrame, by: Sequence[str], keep: Sequence[str] = (),
+    gathered: int = GATHERED,
+) -> DataFrame:
     """(by..., r, key): the key at each wanted rank (from 0) of a group's keys in ascending order.
 
     ``cells`` has one row (by..., key, n) per group and distinct bigint key, n rows each; ``wanted``
     has rows (by..., r) with 0 <= r < the group's sum of n.  Repeated wishes give one row.
+    ``keep`` names columns of the key's cell that come along.
 
-    A level counts the next leading bits below the smallest and largest key still in question.
+    Where at most ``gathered`` keys are in question they are ranked in one row.  Else a level
+    counts the next leading bits below the smallest and largest key still in question.
     Counts combine before the shuffle, a histogram has 64 cells, and only the cells that hold
-    a wanted rank go on, stored, so the second level already reads a small part.  A cell
-    with one key ends the search.  Groups may have any size; adaptive execution splits a
-    hot group's cells in the join with its one row of bounds.
+    a wanted rank go on, stored, so the second level already reads a small part.  Groups may have
+    any size; adaptive execution splits a hot group's cells in the join with its one row of bounds.
     """
-    by = list(by)
-    ends = cells.groupBy(*by).agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    by, keep = list(by), list(keep)
+    ends = cells.groupBy(*by).agg(
+        F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("m"))
     open_ = settle(wanted.select(*by, "r").distinct().join(ends, by).selectExpr(
-        *by, "r", "lo", "hi", "CAST(0 AS BIGINT) AS below"), "open")
+        *by, "r", "lo", "hi", "m", "CAST(0 AS BIGINT) AS below"), "open")
     found: list[DataFrame] = []
     while True:
-        found.append(open_.where("lo = hi").select(*by, "r", F.col("lo").alias("key")))
-        left = open_.where("lo < hi")
+        found.append(_ranked(cells, open_.where(f"m <= {gathered}"), by, keep))
+        left = open_.where(f"m > {gathered}")
         if left.isEmpty():
             return reduce(DataFrame.unionByName, found)
         spans = left.select(*by, "lo", "hi").distinct().selectExpr(
             "*", f"{_shift('lo', 'hi')} AS shift")
         cells = settle(cells.join(spans.select(*by, "lo", "hi", "shift"), by).where(
             "key BETWEEN lo AND hi").selectExpr(
-            *by, "key", "n", "lo", "shiftright(key, shift) - shiftright(lo, shift) AS b"), "cells")
+            *by, "key", "n", *keep, "lo", "shiftright(key, shift) - shiftright(lo, shift) AS b"), "cells")
         hist = settle(cells.groupBy(*by, "lo", "b").agg(
-            F.sum("n").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")), "hist")
+            F.sum("n").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"),
+            F.count(F.lit(1)).alias("m")), "hist")
         counts = hist.groupBy(*by, "lo").agg(F.expr("array({})".format(", ".join(
             f"sum(CASE WHEN b = {j} THEN n ELSE 0 END)" for j in range(1 << BITS)))).alias("h"))
         # the cell whose running count passes r, and what lies below it
@@ -76,9 +99,9 @@ def select_ranks(cells: DataFrame, wanted: DataFrame, by: Sequence[str]) -> Data
                  "ELSE a.below END))")
         placed = left.join(counts, [*by, "lo"]).selectExpr(*by, "lo", "r", f"{place} AS p")
         open_ = settle(placed.selectExpr(*by, "lo", "r", "p.b AS b", "p.below AS below").join(
-            hist.select(*by, "lo", "b", "low", "high"), [*by, "lo", "b"]).selectExpr(
-            *by, "r", "low AS lo", "high AS hi", "below"), "open")
-        cells = cells.select(*by, "key", "n")
+            hist.select(*by, "lo", "b", "low", "high", "m"), [*by, "lo", "b"]).selectExpr(
+            *by, "r", "low AS lo", "high AS hi", "m", "below"), "open")
+        cells = cells.select(*by, "key", "n", *keep)
 
 
 def point_ranks(last: Column, points: Sequence[float]) -> Column:
@@ -91,7 +114,7 @@ def radix_points(df: DataFrame, by: str, cols: Sequence[str], points: Sequence[f
     """Exact interpolated percentiles ``__<col>_<i>`` of non-null values, by select_ranks().
 
     All columns are searched at once.  Equal values are counted before the shuffle; which
-    value a key stands for is kept beside its cell and joined to the few keys found.
+    value a key stands for is kept beside its cell and comes along with the keys found.
     """
     pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
     # 0D: a negative zero becomes the other one
@@ -101,8 +124,7 @@ def radix_points(df: DataFrame, by: str, cols: Sequence[str], points: Sequence[f
     cells = settle(counted.selectExpr("*", f"{order_key('v')} AS key"), "keys")
     lasts = settle(cells.groupBy(by, "c").agg((F.sum("n") - 1).alias("last")), "lasts")
     wanted = lasts.select(by, "c", F.explode(point_ranks(F.col("last"), points)).alias("r"))
-    keys = select_ranks(cells.select(by, "c", "key", "n"), wanted, [by, "c"])
-    found = keys.join(cells.select(by, "c", "key", "v"), [by, "c", "key"]).join(lasts, [by, "c"])
+    found = select_ranks(cells, wanted, [by, "c"], keep=["v"]).join(lasts, [by, "c"])
     aggs = []
     for j, c in enumerate(cols):
         for i, p in enumerate(points):
