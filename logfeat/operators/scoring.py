@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
 from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -49,7 +51,9 @@ def balanced_weight(df: DataFrame, label: str = "target", out: str = "weight") -
 
 # fixed values: most boosting rounds, and rounds without a better held-out AUC that end a fit
 ROUNDS, PATIENCE = 2600, 200
-FIT_ROWS = 10_000  # training rows of a partition; small tables would spend each round on scheduling
+FIT_ROWS = 10_000  # fewest training rows of a partition; small tables would spend each round on scheduling
+FIT_CELLS = 1 << 24  # most binned numbers of a partition, which lies in memory while trees grow
+ROW_CELLS = 32  # what a row takes beside its binned numbers, in such numbers
 
 
 def gbt(
@@ -81,25 +85,37 @@ def round_aucs(
     """Exact AUC on ``held`` (features, target) of the model's first r trees, for r > ``after``.
 
     A row's leaves are looked up in the stored trees and their values summed in the order of the
-    rounds, so all rounds take one pass.  One number per round comes to the driver.
+    rounds, inside the row, so all rounds take one pass and only (round, score, target) travel.
+    One number per leaf comes to the driver and goes to the tasks, and one per round comes back.
     """
-    path = scratch_path(held.sparkSession, "trees")
+    spark = held.sparkSession
+    path = scratch_path(spark, "trees")
     model.write().save(path)
-    leaves = held.sparkSession.read.parquet(f"{path}/data").where("nodeData.leftChild < 0")
+    leaves = spark.read.parquet(f"{path}/data").where("nodeData.leftChild < 0").select(
+        "treeID", F.col("nodeData.id").alias("node"), F.col("nodeData.prediction").alias("value"))
     # leaves are numbered from 0 in the order of their nodes
-    leaf = F.row_number().over(Window.partitionBy("treeID").orderBy("nodeData.id")) - 1
+    table = leaves.toPandas().sort_values(["treeID", "node"], ignore_index=True)
     weights = model.treeWeights
-    weight = F.get(F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>"), F.col("treeID"))
-    values = leaves.select(F.col("treeID").alias("round"), leaf.cast("double").alias("leaf"),
-                           (weight * F.col("nodeData.prediction")).alias("value"))
+    first = np.searchsorted(table["treeID"].to_numpy(), np.arange(len(weights)))
+    sent = spark.sparkContext.broadcast(
+        (first, np.asarray(weights)[table["treeID"]] * table["value"].to_numpy()))
+
+    @F.pandas_udf("array<double>")
+    def running(found: pd.Series) -> pd.Series:
+        first, values = sent.value
+        if not len(found):
+            return pd.Series([], dtype=object)
+        at = np.stack(found.to_numpy()).astype(np.int64) + first
+        return pd.Series(list(np.cumsum(values[at], axis=1)[:, after:]))
+
     model.setLeafCol("__leaves")
-    rows = model.transform(held).select("target", F.monotonically_increasing_id().alias("row"),
-                                        F.posexplode(vector_to_array("__leaves")).alias("round", "leaf"))
+    sums = model.transform(held).select("target", running(vector_to_array("__leaves")).alias("sums"))
     model.setLeafCol("")
-    so_far = Window.partitionBy("row").orderBy("round")
-    margins = rows.join(values, ["round", "leaf"]).withColumn("p", F.sum("value").over(so_far))
-    found = auc(margins.where(F.col("round") >= after), by=["round"], slices=slices)
+    margins = sums.select("target", F.posexplode("sums").alias("at", "p")).withColumn(
+        "round", F.col("at") + after)
+    found = auc(margins, by=["round"], slices=slices)
     by_round = {r["round"]: r["auc"] for r in found.collect()}
+    sent.destroy()
     return [by_round.get(r) for r in range(after, len(weights))]
 
 
@@ -148,10 +164,21 @@ def fit_patiently(
             return first_rounds(model, best), aucs
 
 
+def fit_parts(rows: int, width: int, cores: int, fits: int) -> int:
+    """Partitions for ``rows`` training rows of ``width`` features, with ``fits`` side by side.
+
+    A tree's levels are jobs that wait for each other, so a fit gets its share of the cores and no
+    more; one with fewer than ``FIT_ROWS`` a partition gets less, and one whose rows would not lie
+    in memory (``FIT_CELLS``) more.
+    """
+    share = min(max(1, cores // fits), -(-rows // FIT_ROWS))
+    return max(share, -(-rows * (width + ROW_CELLS) // FIT_CELLS))
+
+
 def crossfit(
     df: DataFrame, estimator: Callable[[int], Estimator], *, n_folds: int = 10, n_bags: int = 1,
     seed: int = 1, label: str = "target", fold: str = "fold", entity: str = "entity",
-    patience: int | None = PATIENCE, parallel: int = 8,
+    patience: int | None = PATIENCE, parallel: int = 12,
 ) -> DataFrame:
     """(entity, fold, bag, target, p): each model scores its held-out fold and the unlabelled rows.
 
@@ -175,8 +202,7 @@ def crossfit(
     def fit(f: int, bag: int, classes: dict[float, int]) -> DataFrame:
         train, held = fold_split(used, f)
         train = train.withColumn("weight", _class_weight(classes))
-        parts = -(-sum(classes.values()) // FIT_ROWS)
-        train = train.coalesce(parts) if parts < used.sparkSession.sparkContext.defaultParallelism else train
+        train = train.coalesce(fit_parts(sum(classes.values()), width, cores, min(parallel, len(jobs))))
         model = estimator(seed + f * n_bags + bag)
         if patience is not None and isinstance(model, GBTClassifier):
             fitted, _ = fit_patiently(model, train, held, patience)
@@ -197,6 +223,8 @@ def crossfit(
             jobs += [(f, bag, classes) for bag in range(n_bags)]
     if not jobs:
         raise ValueError("no fold has both training and held-out rows")
+    widest = labelled.where(F.col("features").isNotNull()).select("features").first()
+    width, cores = widest[0].size if widest else 0, used.sparkSession.sparkContext.defaultParallelism
     with ThreadPoolExecutor(parallel) as pool:
         run = inheritable_thread_target(used.sparkSession)(fit)
         return stack(list(pool.map(lambda job: run(*job), jobs)))

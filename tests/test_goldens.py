@@ -282,6 +282,43 @@ def test_boosting_stops_by_patience(spark):
         for a, b in zip(kept.trees, every.trees))
 
 
+def test_auc_of_a_round_is_that_of_all_trees_so_far(spark):
+    """Every round, not only the best one, has the AUC of the model cut there."""
+    table = settle(noisy_rows(spark).withColumn("weight", F.lit(1.0))).coalesce(1)
+    train, held = table.where("fold != 0"), settle(table.where("fold = 0"))
+    model = scoring.gbt(1, rounds=6, step=0.3, depth=3, leaf_rows=10).fit(train)
+
+    def cut(n):
+        p = scoring.first_rounds(model, n).transform(held)
+        return one(scoring.auc(p.select("target", vector_to_array("probability")[1].alias("p"))))["auc"]
+
+    want = [cut(n) for n in range(1, 7)]
+    assert len(set(want)) > 1
+    assert scoring.round_aucs(model, held) == pytest.approx(want)
+    assert scoring.round_aucs(model, held, 4) == pytest.approx(want[4:])
+
+
+def test_a_fit_takes_its_share_of_the_cores(spark, monkeypatch):
+    assert scoring.fit_parts(9_000, 5, 12, 1) == 1
+    assert scoring.fit_parts(92_000, 5, 12, 10) == 1  # levels wait for each other, fits do not
+    assert scoring.fit_parts(500_000, 5, 12, 1) == 12
+    assert scoring.fit_parts(500_000, 5, 12, 10) == 2  # more than lie in memory in one
+    assert scoring.fit_parts(10_000, 50_000, 12, 10) > 12
+
+    class Caught(Exception):
+        pass
+
+    def catch(estimator, train, held, patience):
+        raise Caught(train.rdd.getNumPartitions())
+
+    monkeypatch.setattr(scoring, "FIT_ROWS", 10)
+    monkeypatch.setattr(scoring, "fit_patiently", catch)
+    monkeypatch.setattr(scoring, "settle", lambda df, name="table": df)
+    with pytest.raises(Caught) as caught:
+        scoring.crossfit(noisy_rows(spark).repartition(8), scoring.gbt, n_folds=3, parallel=8)
+    assert caught.value.args == (1,)
+
+
 def test_best_round():
     assert scoring.best_round([0.5, 0.7, 0.6, 0.7], 2) == (2, True)
     assert scoring.best_round([0.5, 0.7, 0.6, 0.8, 0.8], 2) == (4, False)
