@@ -126,6 +126,22 @@ class Vocabulary:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
+class Coder:
+    """Codes texts one by one; one that comes again at once, as the copies of a document that a mix
+    takes more than once do, has the result of the one before."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.text, self.coded = None, None
+
+    def code(self, text: str) -> tuple[np.ndarray, float, str]:
+        """Ids and score of the whole text, and the text that the ids give back."""
+        if text != self.text:
+            ids, score = self.vocabulary.encode(text)
+            self.text, self.coded = text, (ids, score, self.vocabulary.decode(ids.tolist()))
+        return self.coded
+
+
 _LOADED: dict[int, Vocabulary] = {}
 
 
@@ -156,17 +172,17 @@ def encode_decode(
     blob = read_model(model)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = _vocabulary(blob)
+        v = Coder(_vocabulary(blob))
         for whole_batch in it:
             for start in range(0, whole_batch.num_rows, ROWS):
                 batch = whole_batch.slice(start, ROWS)
                 texts = batch.column(1).to_pylist()
-                coded = [v.encode(t) for t in texts]
+                coded = [v.code(t) for t in texts]
                 sizes = np.array([len(c[0]) for c in coded], np.int64)
                 offsets = np.zeros(len(coded) + 1, np.int32)
                 np.cumsum(sizes, out=offsets[1:])
                 flat = np.concatenate([c[0] for c in coded]) if coded else np.empty(0, np.int32)
-                decoded = [v.decode(c[0].tolist()) for c in coded]
+                decoded = [c[2] for c in coded]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), pa.array(sizes), pa.array([c[1] for c in coded], pa.float64()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),

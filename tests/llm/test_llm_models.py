@@ -200,6 +200,17 @@ def test_cache_does_not_change_results(monkeypatch):
     assert small.encode(text)[0].tolist() == large.viterbi(large.normalise(text))[0]
 
 
+def test_copies_in_succession_are_coded_once(vocabulary, monkeypatch):
+    asked, encode = [], pieces.Vocabulary.encode
+    monkeypatch.setattr(pieces.Vocabulary, "encode", lambda v, text: asked.append(text) or encode(v, text))
+    texts = ["", "", "one text", "one text", "one text", "another", "one text", ""]
+    coder = pieces.Coder(vocabulary)
+    for text, (ids, score, decoded) in [(t, coder.code(t)) for t in texts]:
+        plain = vocabulary.normalise(text)
+        assert (ids.tolist(), score, decoded) == (*vocabulary.viterbi(plain), text)
+    assert asked == ["", "one text", "another", "one text", ""]
+
+
 # -- quality
 
 def test_isotonic_fit():
