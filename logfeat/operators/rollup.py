@@ -6,16 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions import count_digits, integer_div
 from ..session import settle, settle_and_see
 from .keys import stack
 from .ordered import over_ordered
-from .selection import radix_points, select_ranks
+from .selection import (
+    FULL, SPAN, packed_counts, packed_place, radix_points, running_counts, select_ranks)
 
 STATS = ("mean", "std", "min", "median", "max", "10per", "25per", "75per", "90per")
 _RANKED = {"10per": 0.10, "25per": 0.25, "median": 0.50, "75per": 0.75, "90per": 0.90}
 GROUP_ROWS = 50_000
+PART_ROWS = 1_000_000  # rows per task where small groups are counted
+PACKED_WORDS = 256  # bigints of packed counts per group, for all columns together
 
 
 def rollup_stats(
@@ -46,16 +50,16 @@ def rollup_stats(
 
     ``radix=True`` finds the percentiles of all groups by radix selection: one way for every
     size, without lists or an order.  It takes more, smaller jobs and pays for logs whose
-    groups are mostly large or whose shuffled lists would not fit the disks.
+    groups are mostly large or whose shuffled lists would not fit the disks.  Columns of whole
+    numbers less than SPAN apart need one level: groups of at most FULL rows count them in packed
+    histograms, beside the other statistics.
     """
     source = df if source is None else source
     df = df.where(F.col(by).isNotNull())
     ranked = [s for s in stats if s in _RANKED]
     out = [f"{c}_{s}" for c in cols for s in stats]
     if ranked and radix:
-        df = settle(df, "rollup")
-        result = _with_points(df, by, cols, stats, ranked, extra, radix_points(
-            df, by, cols, [_RANKED[s] for s in ranked]))
+        result = _radix_rollup(df, by, cols, stats, ranked, extra)
         return result.fillna(fill, subset=out) if fill is not None else result
     if ranked:
         sizes = source.where(F.col(by).isNotNull()).groupBy(by).count()
@@ -71,20 +75,83 @@ def rollup_stats(
     return result.fillna(fill, subset=out) if fill is not None else result
 
 
-def _with_points(df, by, cols, stats, ranked, extra, points) -> DataFrame:
-    """All statistics, where the percentiles come as a table of their own."""
+def _radix_rollup(df, by, cols, stats, ranked, extra) -> DataFrame:
+    """rollup_stats() by radix selection: narrow columns of small groups in one level."""
+    points = [_RANKED[s] for s in ranked]
+    whole = [c for c in dict.fromkeys(cols) if isinstance(df.schema[c].dataType, IntegralType)]
+    if not whole:
+        df = settle(df, "rollup")
+        return _with_points(df, by, cols, stats, ranked, extra, radix_points(df, by, cols, points))
+    df, seen = settle_and_see(df, "rollup", rows=F.count(F.lit(1)), **{
+        f"{end}{i}": of(F.col(f"`{c}`").cast("long"))
+        for i, c in enumerate(whole) for end, of in (("low", F.min), ("high", F.max))})
+    packed, words = {}, 0
+    for i, c in enumerate(whole):
+        low, high = seen[f"low{i}"], seen[f"high{i}"]
+        if low is not None and high - low < SPAN:
+            counts = packed_counts(f"`{c}`", low, high)
+            if words + len(counts) <= PACKED_WORDS:
+                packed[c], words = (low, counts), words + len(counts)
+    if not packed:
+        return _with_points(df, by, cols, stats, ranked, extra, radix_points(df, by, cols, points))
+    large = settle(df.groupBy(by).count().where(F.col("count") > FULL).select(by), "large")
+    small, rest = df, [c for c in cols if c not in packed]
+    hot = not large.isEmpty()
+    if hot:
+        small = df.join(large, by, "left_anti")
+    # narrow rows are shuffled, not their wide sums: a small group has few to combine before
+    parts = -(-seen["rows"] // PART_ROWS)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = small.repartition(parts, by) if parts > least else small.repartition(by)
+    result = _with_points(
+        dealt, by, cols, stats, ranked, extra,
+        radix_points(small, by, rest, points) if rest else None, packed)
+    if hot:
+        rows = df.join(large, by, "left_semi")
+        result = result.unionByName(_with_points(
+            rows, by, cols, stats, ranked, extra, radix_points(rows, by, cols, points)))
+    return result
+
+
+def _packed_points(sums: DataFrame, ranked: Sequence[str], packed: dict) -> DataFrame:
+    """``sums`` with ``__<col>_<i>`` from the packed counts ``__w<k>_<j>`` of the k-th column."""
+    shares = ", ".join(f"{_RANKED[s]}D" for s in ranked)
+    found = []
+    for k, (c, (low, counts)) in enumerate(packed.items()):
+        at = f"((`__n_{c}` - 1) * p)"
+        words = running_counts(f"array({', '.join(f'__w{k}_{j}' for j in range(len(counts)))})")
+        ends = (f"transform(array(floor({at}), ceil({at})), r -> "
+                f"CAST(({low}L) + {packed_place('w', 'r')} AS DOUBLE))")
+        # arrays of one value stand for names, so that nothing is computed twice
+        point = (f"transform(array({ends}), x -> CASE WHEN floor({at}) = ceil({at}) THEN x[0] ELSE "
+                 f"(ceil({at}) - {at}) * x[0] + ({at} - floor({at})) * x[1] END)[0]")
+        found.append(f"CASE WHEN `__n_{c}` > 0 THEN transform(array({words}), w -> "
+                     f"transform(array({shares}), p -> {point}))[0] END AS __f{k}")
+    kept = [f"`{c}`" for c in sums.columns if not c.startswith("__w")]
+    values = [f"__f{k}[{i}] AS `__{c}_{i}`" for k, c in enumerate(packed) for i in range(len(ranked))]
+    return sums.selectExpr(*kept, *found).selectExpr(*kept, *values)
+
+
+def _with_points(df, by, cols, stats, ranked, extra, points, packed=None) -> DataFrame:
+    """All statistics, where the percentiles come as a table of their own, or of packed counts."""
     plain = [s for s in stats if s not in _RANKED]
     seen = [F.count(c).alias(f"__n_{c}") for c in cols]
-    sums = _rollup(df, by, cols, plain, [], [F.count(F.lit(1)).alias("__n"), *seen, *extra])
-    both = sums.join(points, by, "left")
+    packed = packed or {}
+    words = [F.expr(w).alias(f"__w{k}_{j}") for k, (_, counts) in enumerate(packed.values())
+             for j, w in enumerate(counts)]
+    sums = _rollup(df, by, cols, plain, [], [F.count(F.lit(1)).alias("__n"), *seen, *words, *extra])
+    both = _packed_points(sums, ranked, packed) if packed else sums
+    if points is not None:
+        both = both.join(points, by, "left")
     values = {}
     for c in cols:
         for i, s in enumerate(ranked):
             v = F.col(f"__{c}_{i}")
             values[f"{c}_{s}"] = v if s == "median" else F.when(
                 F.col(f"__n_{c}") == F.col("__n"), v)
-    riders = [c for c in sums.columns if c not in ("__n", by, *[f"__n_{c}" for c in cols],
-                                                   *[f"{c}_{s}" for c in cols for s in plain])]
+    riders = [c for c in sums.columns if c not in (
+        "__n", by, *[f"__n_{c}" for c in cols], *[f"{c}_{s}" for c in cols for s in plain],
+        *[f"__w{k}_{j}" for k, (_, counts) in enumerate(packed.values()) for j in range(len(counts))])]
     return both.withColumns(values).select(
         by, *[f"{c}_{s}" for c in cols for s in stats], *riders)
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..session import settle
 
 BITS = 6  # leading bits a level tells apart; 64-bit keys need eleven levels at most
+FIELDS, FULL = 7, 127  # counters of eight bits in a bigint of a packed histogram, rows they count
+SPAN = FIELDS << BITS  # cells of a histogram of as many bigints as a level's
 
 
 def order_key(x: str) -> str:
@@ -81,6 +83,39 @@ def select_ranks(cells: DataFrame, wanted: DataFrame, by: Sequence[str]) -> Data
         cells = cells.select(*by, "key", "n")
 
 
+def packed_counts(col: str, low: int, high: int) -> list[str]:
+    """SQL aggregates: the counts of each whole number from ``low`` to ``high`` in at most FULL rows.
+
+    The number's last bits at once, as a level that ends the search; nulls are not counted.
+    """
+    at = f"(CAST({col} AS BIGINT) - ({low}L))"
+    return [f"coalesce(sum(CASE WHEN {at} DIV {FIELDS} = {j} THEN shiftleft(1L, CAST("
+            f"8 * ({at} % {FIELDS}) AS INT)) END), 0L)" for j in range((high - low) // FIELDS + 1)]
+
+
+def running_counts(words: str) -> str:
+    """SQL for an array of packed counts with each counter, from the word's first one, summed up.
+
+    The sums stay within eight bits, so none reaches the next one; the last byte is the total.
+    """
+    return reduce(lambda x, n: f"transform({x}, w -> w + shiftleft(w, {n}))", (8, 16, 32), words)
+
+
+def packed_place(running: str, rank: str) -> str:
+    """SQL for the cell of a packed histogram, from its running counts, that has the row at ``rank``.
+
+    Words whose rows all lie before are passed over; in the next one every counter that exceeds
+    what is left keeps its byte's first bit in the subtraction, and the others are counted.
+    """
+    ones = sum(1 << 8 * k for k in range(FIELDS))
+    tops, bytes_ = ones << 7, (1 << 8 * FIELDS) - 1
+    return (f"aggregate({running}, named_struct('left', {rank}, 'at', 0L), (a, w) -> CASE "
+            f"WHEN a.left < 0 THEN a WHEN a.left >= shiftright(w, {8 * FIELDS}) THEN named_struct("
+            f"'left', a.left - shiftright(w, {8 * FIELDS}), 'at', a.at + {FIELDS}L) "
+            f"ELSE named_struct('left', -1L, 'at', a.at + {FIELDS}L - CAST(bit_count((((w & {bytes_}L) "
+            f"| {tops}L) - (a.left + 1L) * {ones}L) & {tops}L) AS BIGINT)) END, a -> a.at)")
+
+
 def point_ranks(last: Column, points: Sequence[float]) -> Column:
     """All ranks that interpolated percentiles of last + 1 values look at."""
     at = [last * F.lit(p) for p in points]
